@@ -1,0 +1,48 @@
+"""Finding the few users whose rows are too many for one task."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+@dataclass(frozen=True)
+class SkewPolicy:
+    """When and how a user's timeline is cut into slots.
+
+    Users with more than ``min_rows`` rows are hot. At most ``max_users`` of them, the hottest
+    first, take the sliced path, which bounds the broadcast list; any others stay on the ordinary
+    path, which gives the same result with a longer sort. ``slot_seconds`` is the slice width.
+    """
+
+    min_rows: int = 1_000_000
+    max_users: int = 100_000
+    slot_seconds: int = 60
+
+
+def hot_users(policy: SkewPolicy, *feeds: DataFrame) -> DataFrame | None:
+    """Users over the row limit, or None, which is the usual answer.
+
+    Runs one job over the ``user_id`` columns, counted with map-side combine. Only the bounded list
+    comes back, so later plans know its size, and the sliced path is planned only when needed.
+    """
+    ids = reduce(DataFrame.unionAll, [feed.select("user_id") for feed in feeds])
+    listed = (
+        ids.groupBy("user_id")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > policy.min_rows)
+        .orderBy(F.col("n").desc(), "user_id")
+        .limit(policy.max_users)
+        .select("user_id")
+    )
+    rows = listed.collect()
+    return listed.sparkSession.createDataFrame(rows, listed.schema) if rows else None
+
+
+def split_by_hot(feed: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ordinary rows, hot rows). The hot list is bounded by ``SkewPolicy.max_users``."""
+    hot = F.broadcast(hot)
+    return feed.join(hot, "user_id", "left_anti"), feed.join(hot, "user_id", "left_semi")
