@@ -25,11 +25,8 @@ def ensure_table(spark: SparkSession, root: str, schema: T.StructType) -> None:
 
 def stored_schema(schema: T.StructType) -> T.StructType:
     """Table columns plus the two folder levels."""
-    return (
-        T.StructType(schema.fields)
-        .add("event_date", T.DateType())
-        .add("batch_id", T.LongType())
-    )
+    folders = [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())]
+    return T.StructType(schema.fields + folders)
 
 
 def read_store(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
