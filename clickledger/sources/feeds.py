@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickledger.functions.times import parse_event_time
-from clickledger.schemas import MONEY
+from clickledger.schemas import CHECKOUT_REQUIRED, CLICK_REQUIRED, MONEY
 
 CORRUPT = "_corrupt_record"
 
 
 def read_stream(
-    spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | None = None, **options
+    spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
     """Streaming read from the oldest record on.
 
@@ -33,25 +33,38 @@ def decode(feed: DataFrame, schema: T.StructType, payload: str | Column = "data"
 
     Unknown fields are ignored and a field of the wrong type becomes NULL. Text that is no JSON gives
     NULLs everywhere; the original stays in ``_corrupt_record`` for :func:`split_valid`.
+
+    The record is flattened by a generator, which keeps later filters above the parser: pushed below
+    it, each filter on a parsed column would parse the text again.
     """
     text = (F.col(payload) if isinstance(payload, str) else payload).cast("string")
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return (
-        feed.select(parsed.alias("data"))
-        .select("data.*")
-        .withColumn("event_timestamp", parse_event_time(F.col("timestamp")))
+    parsed = F.from_json(
+        text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    )
+    return feed.select(F.inline(F.array(parsed))).withColumn(
+        "event_timestamp", parse_event_time(F.col("timestamp"))
     )
 
 
-def split_valid(decoded: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with all required columns, quarantined rest). Together they are the whole input."""
+def split_valid(
+    decoded: DataFrame, required: list[str], money: list[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(rows fit for the tables, quarantined rest as decoded). Together they are the whole input.
+
+    Required columns must be present. Money columns become exact decimals, cast once before any sum,
+    and have to be in range when required.
+    """
+    exact = {name: F.col(name).try_cast(MONEY) for name in money}
     complete = F.lit(True)
     for name in required:
-        complete = complete & F.col(name).isNotNull()
-    return decoded.where(complete).drop(CORRUPT), decoded.where(~complete)
+        complete = complete & exact.get(name, F.col(name)).isNotNull()
+    return decoded.where(complete).drop(CORRUPT).withColumns(exact), decoded.where(~complete)
+
+
+def valid_clicks(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_valid(decoded, CLICK_REQUIRED)
 
 
-def with_money(checkouts: DataFrame) -> DataFrame:
-    """Order totals as exact decimals, cast once before any sum; out-of-range totals become NULL."""
-    return checkouts.withColumn("total_amount", F.col("total_amount").try_cast(MONEY))
+def valid_checkouts(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_valid(decoded, CHECKOUT_REQUIRED, ["total_amount"])

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickledger.schemas import MONEY
-
 PRODUCTS = 50
 CATEGORIES = ["Electronics", "Clothing", "Home", "Books", "Sports", "Toys", "Beauty", "Garden"]
 REFERRERS = ["google", "facebook", "direct", "email", "organic"]
@@ -18,49 +16,73 @@ DEVICES = ["desktop", "mobile", "tablet"]
 PAYMENTS = ["credit_card", "debit_card", "paypal", "apple_pay"]
 USER_DIGITS = 9
 
+# Column types of the tables used, so that no read has to look at file footers first.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+    "props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
 
+def user_key(number: str) -> str:
+    """SQL text of a user id made from a numeric column."""
+    return f"concat('USER-', lpad(cast({number} AS STRING), {USER_DIGITS}, '0'))"
 
-def user_key(number: Column) -> Column:
-    return F.concat(F.lit("USER-"), F.lpad(number.cast("string"), USER_DIGITS, "0"))
 
+def _cycle(values: list[str], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), {index} % {len(values)} + 1)"
 
-def _cycle(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index % len(values) + 1)
+
+_SHARED = [
+    "cast(event_id AS STRING) AS event_id",
+    f"{user_key('user_id')} AS user_id",
+    "concat('SESSION-', cast(event_id AS STRING)) AS session_id",
+    "ts AS event_timestamp",
+]
+_CLICK_COLUMNS = [
+    *_SHARED,
+    "concat('PROD-', lpad(cast(product + 1 AS STRING), 4, '0')) AS product_id",
+    "concat('Product ', cast(product + 1 AS STRING)) AS product_name",
+    f"{_cycle(CATEGORIES, 'product')} AS product_category",
+    f"{_cycle(REFERRERS, 'k')} AS referrer",
+    f"{_cycle(DEVICES, 'k')} AS device_type",
+    "value AS product_price",
+]
+_CHECKOUT_COLUMNS = [
+    *_SHARED,
+    "cast(value AS DECIMAL(10,2)) AS total_amount",
+    f"{_cycle(PAYMENTS, 'k')} AS payment_method",
+]
 
 
 def shape_clicks(events: DataFrame) -> DataFrame:
-    product = F.col("k") % PRODUCTS
-    return _with_k(events, "click").select(
-        F.col("event_id").cast("string").alias("event_id"),
-        user_key(F.col("user_id")).alias("user_id"),
-        F.concat(F.lit("SESSION-"), F.col("event_id").cast("string")).alias("session_id"),
-        F.concat(F.lit("PROD-"), F.lpad((product + 1).cast("string"), 4, "0")).alias("product_id"),
-        F.concat(F.lit("Product "), (product + 1).cast("string")).alias("product_name"),
-        _cycle(CATEGORIES, product).alias("product_category"),
-        _cycle(REFERRERS, F.col("k")).alias("referrer"),
-        _cycle(DEVICES, F.col("k")).alias("device_type"),
-        F.col("ts").alias("event_timestamp"),
-        F.col("value").alias("product_price"),
+    return (
+        _with_k(events, "click")
+        .selectExpr("*", f"k % {PRODUCTS} AS product")
+        .selectExpr(*_CLICK_COLUMNS)
     )
 
 
 def shape_checkouts(events: DataFrame) -> DataFrame:
-    return _with_k(events, "purchase").select(
-        F.col("event_id").cast("string").alias("event_id"),
-        user_key(F.col("user_id")).alias("user_id"),
-        F.concat(F.lit("SESSION-"), F.col("event_id").cast("string")).alias("session_id"),
-        F.col("value").cast(MONEY).alias("total_amount"),
-        _cycle(PAYMENTS, F.col("k")).alias("payment_method"),
-        F.col("ts").alias("event_timestamp"),
-    )
+    return _with_k(events, "purchase").selectExpr(*_CHECKOUT_COLUMNS)
 
 
 def _with_k(events: DataFrame, event_type: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int").alias("k")
-    return events.where(F.col("event_type") == event_type).select(
+    k = "cast(get_json_object(props, '$.k') AS INT) AS k"
+    return events.where(f"event_type = '{event_type}'").selectExpr(
         "event_id", "ts", "user_id", "value", k
     )
 
@@ -74,10 +96,10 @@ def checkouts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "customer").select(
-        user_key(F.col("c_custkey")).alias("user_id"),
-        F.col("c_mktsegment").alias("customer_segment"),
-        F.col("c_acctbal").cast(MONEY).alias("lifetime_value"),
+    return table(spark, folder, "customer").selectExpr(
+        f"{user_key('c_custkey')} AS user_id",
+        "c_mktsegment AS customer_segment",
+        "cast(c_acctbal AS DECIMAL(10,2)) AS lifetime_value",
     )
 
 

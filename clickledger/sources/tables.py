@@ -25,6 +25,12 @@ def read_jdbc(
     return spark.read.jdbc(url, table, properties=properties)
 
 
+def register_views(**tables: DataFrame) -> None:
+    """Name tables for ``spark.sql``, e.g. ``raw_clicks=…, attributed_checkouts=…, users=…``."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+
+
 def raw_clicks(clicks: DataFrame) -> DataFrame:
     """Columns the raw click table stores."""
     return clicks.select(*RAW_CLICK_COLUMNS)

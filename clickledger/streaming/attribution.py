@@ -117,6 +117,18 @@ def settle_days(spark: SparkSession, root: str, schema: T.StructType, table: str
     )
 
 
+def read_attributed(
+    spark: SparkSession, root: str, schema: T.StructType, table: str, open_from: str
+) -> DataFrame:
+    """Attribution table: settled days as stored, days from ``open_from`` on from the batch store."""
+    day = F.col("event_date")
+    live = attribution_columns(
+        first_of_pairs(read_store(spark, root, schema).where(day >= F.lit(open_from).cast("date")))
+    )
+    settled = spark.read.schema(live.schema.add("event_date", T.DateType())).parquet(table)
+    return settled.where(day < F.lit(open_from).cast("date")).drop("event_date").unionByName(live)
+
+
 def final_winners(pairs: DataFrame) -> DataFrame:
     """Streaming aggregation to one row per checkout, emitted when no earlier click can come."""
     winners = pairs.groupBy("checkout_id", "user_id", "checkout_timestamp", "revenue").agg(

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clickledger.operators.first_click import ATTRIBUTION_WINDOW
+from clickledger.sources.feeds import valid_checkouts, valid_clicks
 from clickledger.sources.tables import raw_checkouts, raw_clicks
 from clickledger.streaming.attribution import TIME, WATERMARK, first_of_pairs, pair_stream
 from clickledger.streaming.sinks import (
     BatchWriter,
     ensure_table,
     keyed_writer,
+    quarantining_writer,
     reducing_writer,
     stored_schema,
 )
@@ -55,22 +58,33 @@ def start_attribution(
 def start_raw_clicks(
     clicks: DataFrame, root: str, checkpoint: str, trigger: dict = TRIGGER
 ) -> StreamingQuery:
-    """All clicks, late ones included, once per event id."""
-    return _start_raw(raw_clicks(clicks), root, checkpoint, "clicks", trigger)
+    """All clicks, late ones included, once per event id; unusable ones in ``<root>_quarantine``."""
+    return _start_raw(clicks, valid_clicks, raw_clicks, root, checkpoint, "clicks", trigger)
 
 
 def start_raw_checkouts(
     checkouts: DataFrame, root: str, checkpoint: str, trigger: dict = TRIGGER
 ) -> StreamingQuery:
-    """All checkouts, late ones included, once per event id."""
-    return _start_raw(raw_checkouts(checkouts), root, checkpoint, "checkouts", trigger)
+    """All checkouts, late ones included, once per event id; unusable ones in ``<root>_quarantine``."""
+    return _start_raw(
+        checkouts, valid_checkouts, raw_checkouts, root, checkpoint, "checkouts", trigger
+    )
 
 
 def _start_raw(
-    stream: DataFrame, root: str, checkpoint: str, name: str, trigger: dict
+    stream: DataFrame,
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+    shape: Callable[[DataFrame], DataFrame],
+    root: str,
+    checkpoint: str,
+    name: str,
+    trigger: dict,
 ) -> StreamingQuery:
-    ensure_table(stream.sparkSession, root, stored_schema(stream.schema))
-    writer = keyed_writer(root, stream.schema, "event_id", TIME)
+    schema = shape(split(stream)[0]).schema
+    ensure_table(stream.sparkSession, root, stored_schema(schema))
+    writer = quarantining_writer(
+        split, shape, keyed_writer(root, schema, "event_id", TIME), f"{root}_quarantine"
+    )
     return start_query(stream, writer, checkpoint, name, trigger)
 
 
@@ -84,11 +98,11 @@ def start_pipeline(
     trigger: dict = TRIGGER,
     hot_users: DataFrame | None = None,
 ) -> list[StreamingQuery]:
-    """Start all three queries; wait with ``spark.streams.awaitAnyTermination()``."""
+    """Start all three queries on decoded feeds; :func:`wait` for them."""
     return [
         start_attribution(
-            clicks,
-            checkouts,
+            valid_clicks(clicks)[0],
+            valid_checkouts(checkouts)[0],
             f"{tables}/attributed_checkouts",
             checkpoint,
             window,
@@ -99,3 +113,12 @@ def start_pipeline(
         start_raw_clicks(clicks, f"{tables}/raw_clicks", checkpoint, trigger),
         start_raw_checkouts(checkouts, f"{tables}/raw_checkouts", checkpoint, trigger),
     ]
+
+
+def wait(spark: SparkSession) -> None:
+    """Block until any query ends, then stop the others; a failed query raises here."""
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in spark.streams.active:
+            query.stop()

@@ -9,12 +9,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# A batch with more days than this is compared with all stored days instead of a list of them.
+MAX_DAYS = 1000
+
 log = logging.getLogger(__name__)
 
 
@@ -33,48 +36,73 @@ def read_store(spark: SparkSession, root: str, schema: T.StructType) -> DataFram
     return spark.read.schema(stored_schema(schema)).parquet(root)
 
 
-def _write_batch(batch: DataFrame, batch_id: int, root: str, time: str) -> None:
-    placed = batch.withColumns(
-        {"event_date": F.to_date(time), "batch_id": F.lit(batch_id).cast("long")}
-    )
+def _write_batch(batch: DataFrame, batch_id: int, root: str, *folders: str) -> None:
     counted = Observation()
     (
-        placed.observe(counted, F.count("*").alias("rows"))
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .observe(counted, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
+        .partitionBy(*folders, "batch_id")
         .parquet(root)
     )
     log.info("batch %s: %s rows to %s", batch_id, counted.get["rows"], root)
 
 
+def _write_by_date(batch: DataFrame, batch_id: int, root: str, time: str) -> None:
+    _write_batch(batch.withColumn("event_date", F.to_date(time)), batch_id, root, "event_date")
+
+
+def _on_days_of(batch: DataFrame, time: str) -> Column:
+    """Filter on a store's days to those of the batch; all days if the batch has very many."""
+    days = batch.select(F.to_date(time).alias("day")).distinct().limit(MAX_DAYS + 1).collect()
+    if len(days) > MAX_DAYS:
+        return F.lit(True)
+    known = [row.day for row in days if row.day is not None]
+    matches = F.col("event_date").isin(known)
+    return matches if len(known) == len(days) else matches | F.col("event_date").isNull()
+
+
 def keyed_writer(root: str, schema: T.StructType, key: str, time: str) -> BatchWriter:
     """Append writer that stores each key once.
 
     Copies inside the batch are combined first. Copies of earlier batches carry the same event time,
-    so they are found by an anti-join against the stored keys of the batch's own dates only.
+    so they are found by an anti-join against the stored keys of the batch's own days only.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.dropDuplicates([key]).persist()
         try:
-            first_day, last_day = batch.agg(
-                F.min(F.to_date(time)), F.max(F.to_date(time))
-            ).first()
-            if first_day is None:
+            if batch.isEmpty():
                 log.info("batch %s: nothing to write to %s", batch_id, root)
                 return
-            stored = read_store(batch.sparkSession, root, schema).where(
-                F.col("event_date").between(first_day, last_day) & (F.col("batch_id") != batch_id)
+            earlier = read_store(batch.sparkSession, root, schema).where(
+                _on_days_of(batch, time) & (F.col("batch_id") != batch_id)
             )
-            fresh = batch.join(stored.select(key), key, "left_anti")
-            _write_batch(fresh.select(*schema.names), batch_id, root, time)
+            fresh = batch.join(earlier.select(key), key, "left_anti")
+            _write_by_date(fresh.select(*schema.names), batch_id, root, time)
         finally:
             batch.unpersist()
 
     return write
 
 
+def quarantining_writer(
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+    shape: Callable[[DataFrame], DataFrame],
+    write_valid: BatchWriter,
+    quarantine: str,
+) -> BatchWriter:
+    """Writer that stores valid rows with another writer and keeps the others as they were decoded."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        valid, bad = split(batch)
+        write_valid(shape(valid), batch_id)
+        _write_batch(bad, batch_id, quarantine)
+
+    return write
+
+
 def reducing_writer(root: str, reduce_batch: Callable[[DataFrame], DataFrame], time: str) -> BatchWriter:
     """Writer for partial results: reduce the batch, store it under its batch id.
 
@@ -83,14 +111,17 @@ def reducing_writer(root: str, reduce_batch: Callable[[DataFrame], DataFrame], t
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(reduce_batch(batch), batch_id, root, time)
+        _write_by_date(reduce_batch(batch), batch_id, root, time)
 
     return write
 
 
-def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> BatchWriter:
+def jdbc_writer(
+    url: str, table: str, properties: dict[str, str], connections: int = 8
+) -> BatchWriter:
     """Append to a database table; empty batches are skipped and errors end the query.
 
+    ``connections`` limits how many tasks write at a time, whatever the size of the cluster.
     A plain append repeats rows when a batch is replayed. Where the target has a unique key, append to
     a staging table and let the database merge by key.
     """
@@ -100,8 +131,10 @@ def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> BatchWriter
             log.info("batch %s: nothing to write to %s", batch_id, table)
             return
         counted = Observation()
-        batch.observe(counted, F.count("*").alias("rows")).write.jdbc(
-            url, table, mode="append", properties=properties
+        (
+            batch.observe(counted, F.count("*").alias("rows"))
+            .write.option("numPartitions", connections)
+            .jdbc(url, table, mode="append", properties=properties)
         )
         log.info("batch %s: %s rows to %s", batch_id, counted.get["rows"], table)
 

@@ -7,8 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from clickledger.schemas import CHECKOUT_REQUIRED, CHECKOUT_SCHEMA, CLICK_REQUIRED, CLICK_SCHEMA
-from clickledger.sources.feeds import decode, split_valid, with_money
+from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA
+from clickledger.sources.feeds import decode, valid_checkouts, valid_clicks
 
 
 def click(**changes) -> str:
@@ -55,7 +55,7 @@ def test_bad_records_are_set_apart_and_nothing_is_lost(spark):
         click(event_id="c3", product_price="cheap"),
         click(event_id="c4", timestamp="never"),
     ]
-    valid, bad = split_valid(decode(feed(spark, *texts), CLICK_SCHEMA), CLICK_REQUIRED)
+    valid, bad = valid_clicks(decode(feed(spark, *texts), CLICK_SCHEMA))
     rows = {r.event_id: r for r in valid.collect()}
     assert set(rows) == {"c1", "c2", "c3"}
     assert rows["c3"].product_price is None and rows["c3"].user_id == "u1"
@@ -79,10 +79,17 @@ def test_nested_items(spark):
         "shipping_address": {"city": "X"},
     }
     huge = record | {"event_id": "k2", "total_amount": 1e12}
-    decoded = with_money(decode(feed(spark, json.dumps(record), json.dumps(huge)), CHECKOUT_SCHEMA))
-    valid, bad = split_valid(decoded, CHECKOUT_REQUIRED)
+    decoded = decode(feed(spark, json.dumps(record), json.dumps(huge)), CHECKOUT_SCHEMA)
+    valid, bad = valid_checkouts(decoded)
     row = valid.first()
     assert [(i.product_id, i.quantity) for i in row["items"]] == [("p1", 1), ("p2", 3)]
     assert str(row.total_amount) == "8.25"
     assert "shipping_address" not in valid.columns
-    assert [r.event_id for r in bad.collect()] == ["k2"]
+    assert [(r.event_id, r.total_amount) for r in bad.collect()] == [("k2", 1e12)]
+
+
+def test_one_parse_per_record(spark):
+    """Filters on parsed columns stay above the generator, so the text is parsed once."""
+    valid, _ = valid_clicks(decode(feed(spark, click()), CLICK_SCHEMA))
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

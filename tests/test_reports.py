@@ -142,3 +142,18 @@ def test_stats_and_samples(spark):
     table = spark.range(20).withColumnRenamed("id", "n")
     assert [tuple(r) for r in table_stats({"t": table}).collect()] == [("t", 20)]
     assert [r.n for r in table_sample(table, "n").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_tables_can_be_named_for_sql(spark, small):
+    clicks, checkouts, winners = small
+    tables.register_views(
+        raw_clicks=tables.raw_clicks(clicks),
+        raw_checkouts=tables.raw_checkouts(checkouts),
+        attributed_checkouts=winners,
+    )
+    in_sql = spark.sql(
+        "SELECT device_type, COUNT(*) AS n, SUM(revenue) AS total_revenue "
+        "FROM attributed_checkouts GROUP BY device_type"
+    ).first()
+    report = reports.device_conversion(winners).first()
+    assert (in_sql.n, in_sql.total_revenue) == (report.conversions, report.total_revenue)

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from clickledger.operators.first_click import first_click_attribution
 from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA
-from clickledger.sources.feeds import decode, read_stream, with_money
+from clickledger.sources.feeds import decode, read_stream, valid_checkouts, valid_clicks
 from clickledger.sources.tables import raw_checkouts
 from clickledger.streaming.attribution import (
     current_winners,
     final_winners,
     first_of_pairs,
     pair_stream,
+    read_attributed,
     settle_days,
 )
 from clickledger.streaming.pipeline import start_attribution, start_pipeline
@@ -66,10 +67,14 @@ class Feeds:
             )
             return decode(lines, schema, "value")
 
-        return stream("clicks", CLICK_SCHEMA), with_money(stream("checkouts", CHECKOUT_SCHEMA))
+        return stream("clicks", CLICK_SCHEMA), stream("checkouts", CHECKOUT_SCHEMA)
 
-    def attribute(self, **options):
+    def valid_streams(self):
         clicks, checkouts = self.streams()
+        return valid_clicks(clicks)[0], valid_checkouts(checkouts)[0]
+
+    def attribute(self, **options):
+        clicks, checkouts = self.valid_streams()
         query = start_attribution(
             clicks,
             checkouts,
@@ -82,7 +87,7 @@ class Feeds:
         return query
 
     def winners(self):
-        schema = pair_stream(*self.streams()).schema
+        schema = pair_stream(*self.valid_streams()).schema
         return current_winners(self.spark, str(self.root / "table"), schema)
 
 
@@ -112,7 +117,7 @@ def test_an_earlier_click_in_a_later_batch_moves_the_credit(feeds):
 def test_clicks_behind_the_watermark_are_dropped_from_the_join_only(spark, feeds, tmp_path):
     feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k1", "u", "2024-01-01T10:30:00")])
     feeds.add([("c2", "u", "2024-01-01T10:31:00")], [("k2", "u", "2024-01-01T10:31:00")])
-    feeds.add([("late", "u", "2024-01-01T10:10:00")], [])
+    feeds.add([("late", "u", "2024-01-01T10:10:00"), ("bad", "u", "noon")], [])
     clicks, checkouts = feeds.streams()
     queries = start_pipeline(
         clicks, checkouts, str(tmp_path / "tables"), str(tmp_path / "cp"), trigger=ONCE
@@ -121,10 +126,12 @@ def test_clicks_behind_the_watermark_are_dropped_from_the_join_only(spark, feeds
         query.awaitTermination()
     assert [q.name for q in queries] == ["attribution", "clicks", "checkouts"]
     store = str(tmp_path / "tables/attributed_checkouts")
-    winners = current_winners(spark, store, pair_stream(clicks, checkouts).schema)
+    winners = current_winners(spark, store, pair_stream(*feeds.valid_streams()).schema)
     assert credited(winners) == [("k1", "c1"), ("k2", "c1")]
     stored = spark.read.parquet(str(tmp_path / "tables/raw_clicks"))
     assert sorted(r.event_id for r in stored.collect()) == ["c1", "c2", "late"]
+    apart = spark.read.parquet(str(tmp_path / "tables/raw_clicks_quarantine")).collect()
+    assert [(r.event_id, r.timestamp) for r in apart] == [("bad", "noonZ")]
 
 
 def test_hot_users_are_spread_without_changing_the_result(spark, feeds):
@@ -161,7 +168,7 @@ def test_stream_equals_batch(spark, feeds):
 
     batch = first_click_attribution(
         static("clicks", CLICK_SCHEMA),
-        with_money(static("checkouts", CHECKOUT_SCHEMA)),
+        valid_checkouts(static("checkouts", CHECKOUT_SCHEMA))[0],
         timedelta(minutes=20),
     )
     winners = feeds.winners()
@@ -169,11 +176,14 @@ def test_stream_equals_batch(spark, feeds):
     expected = sorted(batch.collect())
     assert len(expected) > 30 and sorted(winners.collect()) == expected
 
-    schema = pair_stream(*feeds.streams()).schema
+    schema = pair_stream(*feeds.valid_streams()).schema
     settled = str(feeds.root / "settled")
     for _ in range(2):
         settle_days(spark, str(feeds.root / "table"), schema, settled, ["2024-01-01"])
         assert sorted(spark.read.parquet(settled).select(*batch.columns).collect()) == expected
+    for open_from in ("2024-01-01", "2024-01-02"):
+        table = read_attributed(spark, str(feeds.root / "table"), schema, settled, open_from)
+        assert sorted(table.collect()) == expected
 
 
 def test_final_winner_waits_for_window_and_watermark(spark, feeds):
@@ -183,7 +193,7 @@ def test_final_winner_waits_for_window_and_watermark(spark, feeds):
     )
 
     def emitted():
-        clicks, checkouts = feeds.streams()
+        clicks, checkouts = feeds.valid_streams()
         out = str(feeds.root / "final")
         stream = final_winners(pair_stream(clicks, checkouts))
         query = (
@@ -213,7 +223,9 @@ def checkout_store(spark, make_checkouts, tmp_path):
     return root, schema
 
 
-def test_keyed_writer_survives_replays_and_repeats(spark, make_checkouts, checkout_store):
+def test_keyed_writer_survives_replays_and_repeats(
+    spark, make_checkouts, checkout_store, monkeypatch
+):
     root, schema = checkout_store
     write = keyed_writer(root, schema, "event_id", "event_timestamp")
     k1 = ("k1", "u", "2024-01-01 23:59:00", "1")
@@ -233,6 +245,9 @@ def test_keyed_writer_survives_replays_and_repeats(spark, make_checkouts, checko
         assert stored() == [("k1", 0), ("k2", 0), ("k3", 1)]
     write(first.limit(0), 2)
     assert len(stored()) == 3
+    monkeypatch.setattr("clickledger.streaming.sinks.MAX_DAYS", 1)
+    write(first.union(second), 3)
+    assert len(stored()) == 3
 
 
 def test_stored_raw_amounts_are_exact_decimals(spark, make_checkouts, checkout_store):
