@@ -7,11 +7,20 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "clickledger", master: str | None = None, **conf: str) -> SparkSession:
+_STATE = "spark.sql.streaming.stateStore"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def build_session(
+    app_name: str = "clickledger", master: str | None = None, streaming: bool = False, **conf: str
+) -> SparkSession:
     """Create a session with the settings the library relies on.
 
-    Event times are compared across sources that spell UTC, so the session zone is UTC. Extra
-    Spark settings go in ``conf`` with ``__`` for dots (``spark__sql__shuffle__partitions="8"``).
+    Event times are compared across sources that spell UTC, so the session zone is UTC. With
+    ``streaming`` the join state lives in RocksDB, off the heap, and each batch uploads only its
+    changes. The number of shuffle partitions is fixed at a streaming query's first start, so set it
+    for the cluster before. Extra Spark settings go in ``conf`` with ``__`` for dots
+    (``spark__sql__shuffle__partitions="8"``).
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -19,6 +28,10 @@ def build_session(app_name: str = "clickledger", master: str | None = None, **co
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
+    if streaming:
+        builder = builder.config(f"{_STATE}.providerClass", _ROCKSDB).config(
+            f"{_STATE}.rocksdb.changelogCheckpointing.enabled", "true"
+        )
     if master is not None:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -96,9 +96,13 @@ def quarantining_writer(
     """Writer that stores valid rows with another writer and keeps the others as they were decoded."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, bad = split(batch)
-        write_valid(shape(valid), batch_id)
-        _write_batch(bad, batch_id, quarantine)
+        # Kept for both writes, so that the source is read and decoded once.
+        valid, bad = split(batch.persist())
+        try:
+            write_valid(shape(valid), batch_id)
+            _write_batch(bad, batch_id, quarantine)
+        finally:
+            batch.unpersist()
 
     return write
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import decimal
+import io
 import os
 
 import duckdb
@@ -44,3 +46,11 @@ def oracle_rows(connection, sql: str) -> list[tuple]:
 
 def column_names(connection, sql: str) -> list[str]:
     return sorted(d[0] for d in connection.execute(sql).description)
+
+
+def plan_text(df) -> str:
+    """Physical plan as ``explain`` prints it."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

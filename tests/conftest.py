@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "clickledger-tests",
         "local[4]",
+        streaming=True,
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

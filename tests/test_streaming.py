@@ -21,6 +21,7 @@ from clickledger.streaming.attribution import (
     read_attributed,
     settle_days,
 )
+from clickledger.streaming.job import parse_arguments, run
 from clickledger.streaming.pipeline import start_attribution, start_pipeline
 from clickledger.streaming.sinks import (
     ensure_table,
@@ -215,6 +216,19 @@ def test_final_winner_waits_for_window_and_watermark(spark, feeds):
     assert emitted()[:1] == [("k", "c2")]
 
 
+def test_job_runs_from_the_command_line_arguments(spark, feeds):
+    feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k", "u", "2024-01-01T10:40:00")])
+    args = [
+        *["--source", "text", "--clicks", f"path={feeds.root}/clicks"],
+        *["--checkouts", f"path={feeds.root}/checkouts", "--once"],
+        *["--tables", f"{feeds.root}/out", "--checkpoint", f"{feeds.root}/cp"],
+    ]
+    run(spark, parse_arguments(args))
+    schema = pair_stream(*feeds.valid_streams()).schema
+    winners = current_winners(spark, f"{feeds.root}/out/attributed_checkouts", schema)
+    assert credited(winners) == [("k", "c1")]
+
+
 @pytest.fixture
 def checkout_store(spark, make_checkouts, tmp_path):
     root = str(tmp_path / "raw")
