@@ -11,7 +11,7 @@ per checkout:
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,19 +95,25 @@ def first_of_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def current_winners(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Attribution table over all stored batches: the earliest click any of them found."""
-    return attribution_columns(first_of_pairs(read_store(spark, root, schema)))
+def current_winners(
+    spark: SparkSession, root: str, schema: T.StructType, days: list[str] | None = None
+) -> DataFrame:
+    """Attribution table over all stored batches: the earliest click any of them found.
+
+    ``days`` limits it to checkouts of those days.
+    """
+    return attribution_columns(first_of_pairs(read_store(spark, root, schema, days)))
 
 
-def settle_days(spark: SparkSession, root: str, schema: T.StructType, table: str, days: list[str]) -> None:
+def settle_days(
+    spark: SparkSession, root: str, schema: T.StructType, table: str, days: list[str]
+) -> None:
     """Rewrite the given checkout days of the settled table from the batch store.
 
     Once the watermark has passed a day no batch adds to it, so its rows can be merged once and read
     without the reduction. Running it again for a day gives the same folders.
     """
-    closed = read_store(spark, root, schema).where(F.col("event_date").isin(days))
-    winners = attribution_columns(first_of_pairs(closed))
+    winners = current_winners(spark, root, schema, days)
     (
         winners.withColumn("event_date", F.to_date("checkout_timestamp"))
         .write.mode("overwrite")
@@ -118,15 +124,14 @@ def settle_days(spark: SparkSession, root: str, schema: T.StructType, table: str
 
 
 def read_attributed(
-    spark: SparkSession, root: str, schema: T.StructType, table: str, open_from: str
+    spark: SparkSession, root: str, schema: T.StructType, table: str, open_days: list[str]
 ) -> DataFrame:
-    """Attribution table: settled days as stored, days from ``open_from`` on from the batch store."""
-    day = F.col("event_date")
-    live = attribution_columns(
-        first_of_pairs(read_store(spark, root, schema).where(day >= F.lit(open_from).cast("date")))
-    )
-    settled = spark.read.schema(live.schema.add("event_date", T.DateType())).parquet(table)
-    return settled.where(day < F.lit(open_from).cast("date")).drop("event_date").unionByName(live)
+    """Attribution table: open days from the batch store, all others as settled."""
+    live = current_winners(spark, root, schema, open_days)
+    day = T.StructField("event_date", T.DateType())
+    settled = spark.read.schema(T.StructType(live.schema.fields + [day])).parquet(table)
+    closed = settled.where(~F.col("event_date").isin([date.fromisoformat(d) for d in open_days]))
+    return closed.drop("event_date").unionByName(live)
 
 
 def final_winners(pairs: DataFrame) -> DataFrame:

@@ -8,15 +8,20 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-# A batch with more days than this is compared with all stored days instead of a list of them.
-MAX_DAYS = 1000
+# A batch with more days than this is compared with the whole table instead of single days.
+MAX_DAYS = 60
+
+# Folder that Spark uses for rows without a date.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 log = logging.getLogger(__name__)
 
@@ -32,8 +37,24 @@ def stored_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + folders)
 
 
-def read_store(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(stored_schema(schema)).parquet(root)
+def read_store(
+    spark: SparkSession, root: str, schema: T.StructType, days: list | None = None
+) -> DataFrame:
+    """Stored rows, of the given days if any.
+
+    Days are opened one by one, so only their folders are listed, however long the table's history.
+    """
+    reader = spark.read.schema(stored_schema(schema)).option("basePath", root)
+    if days is None:
+        return reader.parquet(root)
+    parts = [spark.createDataFrame([], stored_schema(schema))]
+    for day in days:
+        try:
+            parts.append(reader.parquet(f"{root}/event_date={NO_DAY if day is None else day}"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _write_batch(batch: DataFrame, batch_id: int, root: str, *folders: str) -> None:
@@ -53,14 +74,10 @@ def _write_by_date(batch: DataFrame, batch_id: int, root: str, time: str) -> Non
     _write_batch(batch.withColumn("event_date", F.to_date(time)), batch_id, root, "event_date")
 
 
-def _on_days_of(batch: DataFrame, time: str) -> Column:
-    """Filter on a store's days to those of the batch; all days if the batch has very many."""
+def _days_of(batch: DataFrame, time: str) -> list | None:
+    """Days of the batch, or None for all days if it spans very many."""
     days = batch.select(F.to_date(time).alias("day")).distinct().limit(MAX_DAYS + 1).collect()
-    if len(days) > MAX_DAYS:
-        return F.lit(True)
-    known = [row.day for row in days if row.day is not None]
-    matches = F.col("event_date").isin(known)
-    return matches if len(known) == len(days) else matches | F.col("event_date").isNull()
+    return None if len(days) > MAX_DAYS else [row.day for row in days]
 
 
 def keyed_writer(root: str, schema: T.StructType, key: str, time: str) -> BatchWriter:
@@ -73,13 +90,13 @@ def keyed_writer(root: str, schema: T.StructType, key: str, time: str) -> BatchW
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.dropDuplicates([key]).persist()
         try:
-            if batch.isEmpty():
+            days = _days_of(batch, time)
+            if days == []:
                 log.info("batch %s: nothing to write to %s", batch_id, root)
                 return
-            earlier = read_store(batch.sparkSession, root, schema).where(
-                _on_days_of(batch, time) & (F.col("batch_id") != batch_id)
-            )
-            fresh = batch.join(earlier.select(key), key, "left_anti")
+            stored = read_store(batch.sparkSession, root, schema, days)
+            earlier = stored.where(F.col("batch_id") != batch_id).select(key)
+            fresh = batch.join(earlier, key, "left_anti")
             _write_by_date(fresh.select(*schema.names), batch_id, root, time)
         finally:
             batch.unpersist()

@@ -182,8 +182,8 @@ def test_stream_equals_batch(spark, feeds):
     for _ in range(2):
         settle_days(spark, str(feeds.root / "table"), schema, settled, ["2024-01-01"])
         assert sorted(spark.read.parquet(settled).select(*batch.columns).collect()) == expected
-    for open_from in ("2024-01-01", "2024-01-02"):
-        table = read_attributed(spark, str(feeds.root / "table"), schema, settled, open_from)
+    for open_day in ("2024-01-01", "2024-01-02"):
+        table = read_attributed(spark, str(feeds.root / "table"), schema, settled, [open_day])
         assert sorted(table.collect()) == expected
 
 
@@ -244,7 +244,7 @@ def test_keyed_writer_survives_replays_and_repeats(
     write = keyed_writer(root, schema, "event_id", "event_timestamp")
     k1 = ("k1", "u", "2024-01-01 23:59:00", "1")
     k2 = ("k2", "u", "2024-01-02 00:01:00", "2")
-    k3 = ("k3", "v", "2024-01-02 00:02:00", "3")
+    k3 = ("k3", "v", None, "3")
     first = raw_checkouts(make_checkouts(k1, k2, k1))
     second = raw_checkouts(make_checkouts(k2, k3))
 
@@ -254,13 +254,13 @@ def test_keyed_writer_survives_replays_and_repeats(
 
     write(first, 0)
     assert stored() == [("k1", 0), ("k2", 0)]
-    for batch_id, batch in [(1, second), (1, second), (0, first)]:
+    for batch_id, batch in [(1, second), (1, second), (0, first), (2, second)]:
         write(batch, batch_id)
         assert stored() == [("k1", 0), ("k2", 0), ("k3", 1)]
-    write(first.limit(0), 2)
+    write(first.limit(0), 3)
     assert len(stored()) == 3
     monkeypatch.setattr("clickledger.streaming.sinks.MAX_DAYS", 1)
-    write(first.union(second), 3)
+    write(first.union(second), 4)
     assert len(stored()) == 3
 
 
