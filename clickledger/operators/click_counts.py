@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickledger.functions.times import slot_of, whole_seconds
-from clickledger.operators.first_click import ATTRIBUTION_WINDOW, _usable
+from clickledger.operators.first_click import ATTRIBUTION_WINDOW, usable
 from clickledger.operators.skew import SkewPolicy, hot_users, split_by_hot
 
 # Position of rows that share an instant: window starts come before clicks, window ends after.
@@ -29,7 +29,7 @@ def clicks_in_window(
 ) -> DataFrame:
     """(checkout_id, user_id, total_clicks_in_window) for checkouts with at least one click."""
     whole_seconds(window)
-    clicks, checkouts = _usable(clicks), _usable(checkouts)
+    clicks, checkouts = usable(clicks), usable(checkouts)
     hot = hot_users(skew, clicks, checkouts)
     clicks = clicks.select("user_id", F.col("event_timestamp").alias("at"))
     checkouts = checkouts.select(

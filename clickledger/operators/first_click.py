@@ -49,7 +49,7 @@ def first_click_attribution(
     """
     whole_seconds(window)
     length = F.lit(window)
-    clicks, checkouts = _usable(clicks), _usable(checkouts)
+    clicks, checkouts = usable(clicks), usable(checkouts)
     if since is not None:
         checkouts = checkouts.where(F.col("event_timestamp") >= since)
         clicks = clicks.where(F.col("event_timestamp") >= since - length)
@@ -87,7 +87,7 @@ def first_click_attribution(
     return attribution_columns(winners)
 
 
-def attribution_columns(winners: DataFrame) -> DataFrame:
+def attribution_columns(winners: DataFrame, *extra: str) -> DataFrame:
     """Attribution table layout from checkout columns plus the credited ``click`` struct."""
     first = F.col("click.event_timestamp")
     return winners.select(
@@ -103,10 +103,11 @@ def attribution_columns(winners: DataFrame) -> DataFrame:
         first.alias("first_click_timestamp"),
         "revenue",
         elapsed_seconds(first, F.col("checkout_timestamp")).alias("attribution_window_seconds"),
+        *extra,
     )
 
 
-def _usable(feed: DataFrame) -> DataFrame:
+def usable(feed: DataFrame) -> DataFrame:
     """Rows that can match at all: NULL users and times never satisfy the join condition."""
     return feed.where(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
 

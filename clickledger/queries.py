@@ -7,7 +7,8 @@ other engines return: exact decimals become doubles.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -277,6 +278,18 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """One state partition per core: a streaming query keeps the number it is started with."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def streamed_attribution(window: timedelta) -> Query:
     """Replay of the whole event table through the streaming join and its sink."""
 
@@ -284,11 +297,13 @@ def streamed_attribution(window: timedelta) -> Query:
         root = f"{shared_dir(spark)}/attribution-{uuid.uuid4().hex}"
         events = event_stream(spark, folder)
         clicks, checkouts = shop.shape_clicks(events), shop.shape_checkouts(events)
-        start_attribution(
-            clicks, checkouts, f"{root}/table", f"{root}/checkpoint", window, trigger=ONCE
-        ).awaitTermination()
+        with state_partitions(spark):
+            query = start_attribution(
+                clicks, checkouts, f"{root}/table", f"{root}/checkpoint", window, trigger=ONCE
+            )
+        query.awaitTermination()
         schema = pair_stream(clicks, checkouts, window).schema
-        winners = current_winners(spark, f"{root}/table", schema)
+        winners = current_winners(spark, f"{root}/table", schema).drop("processed_at")
         zone_less = {
             c: F.col(c).cast("timestamp_ntz")
             for c in ("checkout_timestamp", "first_click_timestamp")
@@ -304,7 +319,9 @@ def streamed_raw(shape: Callable, start: Callable, stored: Callable) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         root = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
         feed = shape(event_stream(spark, folder))
-        start(feed, f"{root}/table", f"{root}/checkpoint", ONCE).awaitTermination()
+        with state_partitions(spark):
+            query = start(feed, f"{root}/table", f"{root}/checkpoint", ONCE)
+        query.awaitTermination()
         columns = stored(feed).schema
         table = read_store(spark, f"{root}/table", columns).select(*columns.names)
         return comparable(

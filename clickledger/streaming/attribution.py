@@ -85,13 +85,13 @@ def pair_stream(
     )
 
 
-def first_of_pairs(pairs: DataFrame) -> DataFrame:
+def first_of_pairs(pairs: DataFrame, *extra: str) -> DataFrame:
     """Earliest click per checkout of a static set of pairs, combined map-side."""
+    kept = ["user_id", "checkout_timestamp", "revenue", *extra]
     return (
         pairs.groupBy("checkout_id")
-        .agg(F.min(F.struct("click", "user_id", "checkout_timestamp", "revenue")).alias("m"))
-        .select("checkout_id", "m.*")
-        .select("checkout_id", "user_id", "checkout_timestamp", "revenue", "click")
+        .agg(F.min(F.struct("click", *kept)).alias("m"))
+        .select("checkout_id", *[f"m.{name}" for name in kept], "m.click")
     )
 
 
@@ -100,9 +100,11 @@ def current_winners(
 ) -> DataFrame:
     """Attribution table over all stored batches: the earliest click any of them found.
 
-    ``days`` limits it to checkouts of those days.
+    ``processed_at`` tells when the winning batch was stored. ``days`` limits the table to checkouts
+    of those days.
     """
-    return attribution_columns(first_of_pairs(read_store(spark, root, schema, days)))
+    stored = read_store(spark, root, schema, days).withColumnRenamed("created_at", "processed_at")
+    return attribution_columns(first_of_pairs(stored, "processed_at"), "processed_at")
 
 
 def settle_days(

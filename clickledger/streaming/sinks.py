@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickledger.sources.tables import with_load_time
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 # A batch with more days than this is compared with the whole table instead of single days.
@@ -32,9 +34,13 @@ def ensure_table(spark: SparkSession, root: str, schema: T.StructType) -> None:
 
 
 def stored_schema(schema: T.StructType) -> T.StructType:
-    """Table columns plus the two folder levels."""
-    folders = [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())]
-    return T.StructType(schema.fields + folders)
+    """Table columns, the time of writing, and the two folder levels."""
+    added = [
+        T.StructField("created_at", T.TimestampType()),
+        T.StructField("event_date", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+    return T.StructType(schema.fields + added)
 
 
 def read_store(
@@ -60,7 +66,8 @@ def read_store(
 def _write_batch(batch: DataFrame, batch_id: int, root: str, *folders: str) -> None:
     counted = Observation()
     (
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        with_load_time(batch, "created_at")
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .observe(counted, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
