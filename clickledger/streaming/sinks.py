@@ -19,8 +19,11 @@ from clickledger.sources.tables import with_load_time
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-# A batch with more days than this is compared with the whole table instead of single days.
-MAX_DAYS = 60
+# A batch with more days than this is compared with the whole table instead of its days.
+MAX_DAYS = 1000
+
+# Up to this many days are read by folder.
+FEW_DAYS = 7
 
 # Folder that Spark uses for rows without a date.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -48,11 +51,16 @@ def read_store(
 ) -> DataFrame:
     """Stored rows, of the given days if any.
 
-    Days are opened one by one, so only their folders are listed, however long the table's history.
+    A few days are opened one by one, so that only their folders are listed, however long the table's
+    history; more are filtered from the whole table.
     """
     reader = spark.read.schema(stored_schema(schema)).option("basePath", root)
     if days is None:
         return reader.parquet(root)
+    if len(days) > FEW_DAYS:
+        day = F.col("event_date")
+        listed = day.isin([d for d in days if d is not None])
+        return reader.parquet(root).where(listed | day.isNull() if None in days else listed)
     parts = [spark.createDataFrame([], stored_schema(schema))]
     for day in days:
         try:
