@@ -47,7 +47,8 @@ def pair_stream(
     ``hot_users`` is an optional static list of busy users, for example from
     :func:`clickledger.operators.skew.hot_users` on stored tables, which bounds its length. Their
     clicks are spread over ``salts`` sub-keys and only their checkouts are repeated for each, so their
-    state and work leave the single task. The pairs are the same with or without it.
+    state and work leave the single task. The pairs are the same with or without it, but the list is
+    part of the state's layout: keep it unchanged for the life of a checkpoint.
     """
     whole_seconds(window)
     clicks, checkouts = watermarked(clicks, delay), watermarked(checkouts, delay)

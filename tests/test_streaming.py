@@ -219,16 +219,26 @@ def test_final_winner_waits_for_window_and_watermark(spark, feeds):
 
 
 def test_job_runs_from_the_command_line_arguments(spark, feeds):
-    feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k", "u", "2024-01-01T10:40:00")])
-    args = [
-        *["--source", "text", "--clicks", f"path={feeds.root}/clicks"],
-        *["--checkouts", f"path={feeds.root}/checkouts", "--once"],
-        *["--tables", f"{feeds.root}/out", "--checkpoint", f"{feeds.root}/cp"],
-    ]
-    run(spark, parse_arguments(args))
-    schema = pair_stream(*feeds.valid_streams()).schema
-    winners = current_winners(spark, f"{feeds.root}/out/attributed_checkouts", schema)
-    assert credited(winners) == [("k", "c1")]
+    """Twice on one checkpoint, then on a new one, where the stored tables name the hot user."""
+
+    def job(checkpoint):
+        args = [
+            *["--source", "text", "--clicks", f"path={feeds.root}/clicks"],
+            *["--checkouts", f"path={feeds.root}/checkouts", "--once", "--hot-user-rows", "3"],
+            *["--tables", f"{feeds.root}/out", "--checkpoint", f"{feeds.root}/{checkpoint}"],
+        ]
+        run(spark, parse_arguments(args))
+        listed = spark.read.parquet(f"{feeds.root}/{checkpoint}/hot_users")
+        schema = pair_stream(*feeds.valid_streams()).schema
+        store = f"{feeds.root}/out/attributed_checkouts"
+        return listed.count(), credited(current_winners(spark, store, schema))
+
+    feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k1", "u", "2024-01-01T10:40:00")])
+    assert job("first") == (0, [("k1", "c1")])
+    feeds.add([("c2", "u", "2024-01-01T10:41:00")], [("k2", "u", "2024-01-01T10:42:00")])
+    expected = [("k1", "c1"), ("k2", "c1")]
+    assert job("first") == (0, expected)
+    assert job("second") == (1, expected)
 
 
 @pytest.fixture
