@@ -13,7 +13,6 @@ from __future__ import annotations
 import argparse
 from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,6 +22,7 @@ from clickledger.session import build_session
 from clickledger.sources.feeds import decode, read_stream
 from clickledger.streaming.attribution import WATERMARK
 from clickledger.streaming.pipeline import start_pipeline, wait
+from clickledger.streaming.sinks import read_if_there
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -60,9 +60,9 @@ def pinned_hot_users(
     given up. A first start without stored tables pins an empty list.
     """
     path, ids = f"{checkpoint}/hot_users", "user_id STRING"
-    pinned = _read_if_there(spark, path, ids)
+    pinned = read_if_there(spark, path, ids)
     if pinned is None:
-        feeds = [_read_if_there(spark, f"{tables}/{n}", ids) for n in ("raw_clicks", "raw_checkouts")]
+        feeds = [read_if_there(spark, f"{tables}/{n}", ids) for n in ("raw_clicks", "raw_checkouts")]
         stored = [feed for feed in feeds if feed is not None]
         hot = hot_users(SkewPolicy(min_rows=min_rows), *stored) if stored else None
         (spark.createDataFrame([], ids) if hot is None else hot).write.parquet(path)
@@ -70,15 +70,6 @@ def pinned_hot_users(
     return pinned
 
 
-def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     hot = None
     if args.hot_user_rows is not None:

@@ -14,6 +14,7 @@ from clickledger.sources.tables import raw_checkouts, raw_clicks
 from clickledger.streaming.attribution import TIME, WATERMARK, first_of_pairs, pair_stream
 from clickledger.streaming.sinks import (
     BatchWriter,
+    checkpoint_run,
     ensure_table,
     keyed_writer,
     quarantining_writer,
@@ -51,7 +52,8 @@ def start_attribution(
     """Current-winner attribution into the batch store under ``root``."""
     pairs = pair_stream(clicks, checkouts, window, delay, hot_users)
     ensure_table(clicks.sparkSession, root, stored_schema(pairs.schema))
-    writer = reducing_writer(root, first_of_pairs, "checkout_timestamp")
+    run = checkpoint_run(clicks.sparkSession, checkpoint, "attribution")
+    writer = reducing_writer(root, first_of_pairs, "checkout_timestamp", run)
     return start_query(pairs, writer, checkpoint, "attribution", trigger)
 
 
@@ -82,9 +84,9 @@ def _start_raw(
 ) -> StreamingQuery:
     schema = shape(split(stream)[0]).schema
     ensure_table(stream.sparkSession, root, stored_schema(schema))
-    writer = quarantining_writer(
-        split, shape, keyed_writer(root, schema, "event_id", TIME), f"{root}_quarantine"
-    )
+    run = checkpoint_run(stream.sparkSession, checkpoint, name)
+    keyed = keyed_writer(root, schema, "event_id", TIME, run)
+    writer = quarantining_writer(split, shape, keyed, f"{root}_quarantine", run)
     return start_query(stream, writer, checkpoint, name, trigger)
 
 

@@ -1,12 +1,14 @@
 """Micro-batch writers that may be replayed.
 
 A micro-batch can be handed over again after a failure. Parquet tables are laid out by date and batch
-id and a batch overwrites exactly its own folders, so a replay changes nothing.
+and a batch overwrites exactly its own folders, so a replay changes nothing. Batch numbers start anew
+with a new checkpoint; the ``run`` that goes with a checkpoint keeps such batches apart.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -41,11 +43,34 @@ def stored_schema(schema: T.StructType) -> T.StructType:
     added = [
         T.StructField("created_at", T.TimestampType()),
         T.StructField("event_date", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("batch_id", T.StringType()),
     ]
     return T.StructType(schema.fields + added)
 
 
+def read_if_there(
+    spark: SparkSession, path: str, schema: str | T.StructType, base: str | None = None
+) -> DataFrame | None:
+    """The Parquet folder, or None where there is none yet; ``base`` is the root of its table."""
+    try:
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def checkpoint_run(spark: SparkSession, checkpoint: str, name: str) -> str:
+    """Name of the run that goes with a query's checkpoint; made up and stored at its first start."""
+    path = f"{checkpoint}/{name}_run"
+    stored = read_if_there(spark, path, "run STRING")
+    if stored is None:
+        fresh = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run"))
+        fresh.coalesce(1).write.parquet(path)
+        stored = spark.read.schema("run STRING").parquet(path)
+    return stored.first().run
+
+
 def read_store(
     spark: SparkSession, root: str, schema: T.StructType, days: list | None = None
 ) -> DataFrame:
@@ -54,28 +79,29 @@ def read_store(
     A few days are opened one by one, so that only their folders are listed, however long the table's
     history; more are filtered from the whole table.
     """
-    reader = spark.read.schema(stored_schema(schema)).option("basePath", root)
+    whole = stored_schema(schema)
     if days is None:
-        return reader.parquet(root)
+        return spark.read.schema(whole).parquet(root)
     if len(days) > FEW_DAYS:
         day = F.col("event_date")
         listed = day.isin([d for d in days if d is not None])
-        return reader.parquet(root).where(listed | day.isNull() if None in days else listed)
-    parts = [spark.createDataFrame([], stored_schema(schema))]
-    for day in days:
-        try:
-            parts.append(reader.parquet(f"{root}/event_date={NO_DAY if day is None else day}"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return reduce(DataFrame.unionAll, parts)
+        wanted = listed | day.isNull() if None in days else listed
+        return spark.read.schema(whole).parquet(root).where(wanted)
+    folders = [f"{root}/event_date={NO_DAY if day is None else day}" for day in days]
+    parts = [read_if_there(spark, folder, whole, root) for folder in folders]
+    there = [part for part in parts if part is not None]
+    return reduce(DataFrame.unionAll, there, spark.createDataFrame([], whole))
 
 
-def _write_batch(batch: DataFrame, batch_id: int, root: str, *folders: str) -> None:
+def batch_name(run: str, batch_id: int) -> str:
+    return f"{run}-{batch_id}" if run else str(batch_id)
+
+
+def _write_batch(batch: DataFrame, batch_id: str, root: str, *folders: str) -> None:
     counted = Observation()
     (
         with_load_time(batch, "created_at")
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .withColumn("batch_id", F.lit(batch_id))
         .observe(counted, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -85,7 +111,7 @@ def _write_batch(batch: DataFrame, batch_id: int, root: str, *folders: str) -> N
     log.info("batch %s: %s rows to %s", batch_id, counted.get["rows"], root)
 
 
-def _write_by_date(batch: DataFrame, batch_id: int, root: str, time: str) -> None:
+def _write_by_date(batch: DataFrame, batch_id: str, root: str, time: str) -> None:
     _write_batch(batch.withColumn("event_date", F.to_date(time)), batch_id, root, "event_date")
 
 
@@ -95,7 +121,9 @@ def _days_of(batch: DataFrame, time: str) -> list | None:
     return None if len(days) > MAX_DAYS else [row.day for row in days]
 
 
-def keyed_writer(root: str, schema: T.StructType, key: str, time: str) -> BatchWriter:
+def keyed_writer(
+    root: str, schema: T.StructType, key: str, time: str, run: str = ""
+) -> BatchWriter:
     """Append writer that stores each key once.
 
     Copies inside the batch are combined first. Copies of earlier batches carry the same event time,
@@ -103,16 +131,17 @@ def keyed_writer(root: str, schema: T.StructType, key: str, time: str) -> BatchW
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(run, batch_id)
         batch = batch.dropDuplicates([key]).persist()
         try:
             days = _days_of(batch, time)
             if days == []:
-                log.info("batch %s: nothing to write to %s", batch_id, root)
+                log.info("batch %s: nothing to write to %s", name, root)
                 return
             stored = read_store(batch.sparkSession, root, schema, days)
-            earlier = stored.where(F.col("batch_id") != batch_id).select(key)
+            earlier = stored.where(F.col("batch_id") != name).select(key)
             fresh = batch.join(earlier, key, "left_anti")
-            _write_by_date(fresh.select(*schema.names), batch_id, root, time)
+            _write_by_date(fresh.select(*schema.names), name, root, time)
         finally:
             batch.unpersist()
 
@@ -124,6 +153,7 @@ def quarantining_writer(
     shape: Callable[[DataFrame], DataFrame],
     write_valid: BatchWriter,
     quarantine: str,
+    run: str = "",
 ) -> BatchWriter:
     """Writer that stores valid rows with another writer and keeps the others as they were decoded."""
 
@@ -132,14 +162,16 @@ def quarantining_writer(
         valid, bad = split(batch.persist())
         try:
             write_valid(shape(valid), batch_id)
-            _write_batch(bad, batch_id, quarantine)
+            _write_batch(bad, batch_name(run, batch_id), quarantine)
         finally:
             batch.unpersist()
 
     return write
 
 
-def reducing_writer(root: str, reduce_batch: Callable[[DataFrame], DataFrame], time: str) -> BatchWriter:
+def reducing_writer(
+    root: str, reduce_batch: Callable[[DataFrame], DataFrame], time: str, run: str = ""
+) -> BatchWriter:
     """Writer for partial results: reduce the batch, store it under its batch id.
 
     Rows of one key in several batches are merged by the reader, which must be a reduction that does
@@ -147,7 +179,7 @@ def reducing_writer(root: str, reduce_batch: Callable[[DataFrame], DataFrame], t
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_by_date(reduce_batch(batch), batch_id, root, time)
+        _write_by_date(reduce_batch(batch), batch_name(run, batch_id), root, time)
 
     return write
 

@@ -24,6 +24,7 @@ from clickledger.streaming.attribution import (
 from clickledger.streaming.job import parse_arguments, run
 from clickledger.streaming.pipeline import start_attribution, start_pipeline
 from clickledger.streaming.sinks import (
+    checkpoint_run,
     ensure_table,
     jdbc_writer,
     keyed_writer,
@@ -265,10 +266,10 @@ def test_keyed_writer_survives_replays_and_repeats(
         return sorted((r.event_id, r.batch_id) for r in rows)
 
     write(first, 0)
-    assert stored() == [("k1", 0), ("k2", 0)]
+    assert stored() == [("k1", "0"), ("k2", "0")]
     for batch_id, batch in [(1, second), (1, second), (0, first), (2, second)]:
         write(batch, batch_id)
-        assert stored() == [("k1", 0), ("k2", 0), ("k3", 1)]
+        assert stored() == [("k1", "0"), ("k2", "0"), ("k3", "1")]
     write(first.limit(0), 3)
     assert len(stored()) == 3
     # Batches with many days find earlier copies too, by filter or in the whole table.
@@ -278,6 +279,18 @@ def test_keyed_writer_survives_replays_and_repeats(
         assert len(stored()) == 3
 
 
+def test_batches_of_a_new_checkpoint_do_not_replace_earlier_ones(
+    spark, make_checkouts, checkout_store, tmp_path
+):
+    root, schema = checkout_store
+    for number, checkpoint in enumerate(["a", "b", "a"]):
+        run_name = checkpoint_run(spark, str(tmp_path / checkpoint), "checkouts")
+        write = keyed_writer(root, schema, "event_id", "event_timestamp", run_name)
+        row = (f"k-{checkpoint}", "u", "2024-01-01 10:00:00", "1")
+        write(raw_checkouts(make_checkouts(row)), 0)
+        assert read_store(spark, root, schema).count() == min(number + 1, 2)
+
+
 def test_stored_raw_amounts_are_exact_decimals(spark, make_checkouts, checkout_store):
     root, schema = checkout_store
     write = keyed_writer(root, schema, "event_id", "event_timestamp")
