@@ -254,7 +254,8 @@ def stored_attribution(spark: SparkSession, folder: str) -> DataFrame:
 def audit(spark: SparkSession, folder: str) -> DataFrame:
     """All stored tables and summaries, and the feed with repeats, which breaks its key."""
     winners = stored_attribution(spark, folder)
-    checked = raw_tables(spark, folder) | {"attributed_checkouts": winners, "users": shop.users(spark, folder)}
+    checked = raw_tables(spark, folder)
+    checked |= {"attributed_checkouts": winners, "users": shop.users(spark, folder)}
     checked |= {name: build(winners) for name, build in SUMMARIES.items()}
     named = {name: (df, RULES[name]) for name, df in checked.items()}
     feed_rules = TableRules(key=("event_id",), required=("event_id", "user_id", "ts"))

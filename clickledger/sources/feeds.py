@@ -13,7 +13,11 @@ CORRUPT = "_corrupt_record"
 
 
 def read_stream(
-    spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | str | None = None, **options
+    spark: SparkSession,
+    fmt: str,
+    path: str | None = None,
+    schema: T.StructType | str | None = None,
+    **options: str | int,
 ) -> DataFrame:
     """Streaming read from the oldest record on.
 
