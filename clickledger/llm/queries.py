@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickledger.llm.common import table
 from clickledger.llm.neardup import near_duplicates
+from clickledger.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096
+    )
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
 
-QUERIES: dict[str, Query] = {"op10_superminhash": op10_superminhash}
+QUERIES: dict[str, Query] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op10_superminhash": op10_superminhash,
+}
