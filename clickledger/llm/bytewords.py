@@ -15,6 +15,12 @@ from clickledger.llm.common import mixed
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Marks that may close a word.
+_MARK, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_ALNUM[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")] = True
+_MOST_MARKS = 8
+
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -68,6 +74,30 @@ def word_bounds(data: np.ndarray, text_ends: np.ndarray) -> tuple[np.ndarray, np
     return starts, ends, np.concatenate([[0], np.searchsorted(starts, text_ends, side="left")])
 
 
+def cut_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut closing marks off each range where an ASCII or Latin letter or a digit stands before them.
+
+    Patterns that match letters, digits and other signs apart end a match there in any case, so both
+    parts tokenise as they do together.
+    """
+    cut = ends.copy()
+    for _ in range(_MOST_MARKS):
+        moved = (cut - 1 > starts) & _MARK[data[cut - 1]]
+        if not moved.any():
+            break
+        cut -= moved
+    if len(cut):
+        last, before = data[cut - 1], data[np.maximum(cut - 2, 0)]
+        wide = (last >= 0x80) & (last < 0xC0) & (before >= 0xC3) & (before <= 0xC9) & (cut - 2 >= starts)
+        wide &= ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7)))  # the times and division signs
+        wide &= ~((before == 0xC4) & (last == 0xB0))  # dotted I, whose small form ends in a mark
+        cut = np.where(_ALNUM[last] | wide, cut, ends)
+    begins = np.stack([starts, cut], axis=1).reshape(-1)
+    stops = np.stack([cut, ends], axis=1).reshape(-1)
+    real = stops > begins
+    return begins[real], stops[real]
+
+
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of each byte range, eight bytes at a time."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])

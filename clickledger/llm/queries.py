@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickledger.llm.bpe import decode, encode
 from clickledger.llm.common import table
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
@@ -30,11 +31,23 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return decode(encoded, ranks).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
 
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_distinct_word_bpe": op7_distinct_word_bpe,
     "op10_superminhash": op10_superminhash,
 }

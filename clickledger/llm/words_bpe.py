@@ -12,15 +12,10 @@ import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-from clickledger.llm.bytewords import Words, coded_ranges, lowered, text_bytes, word_bounds
+from clickledger.llm.bytewords import Words, coded_ranges, cut_marks, lowered, text_bytes, word_bounds
 
 #: Characters whose case, class and normal form every library agrees on.
 _PLAIN = re.compile("[!-~¡-įı-ɏ]+")
-#: Marks that may close a word, cut off it so far.
-_MARK, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
-_MARK[list(b".,;:!?")] = True
-_ALNUM[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
-_MOST_MARKS = 8
 #: Words a worker remembers; a full cache starts anew, so memory is bounded.
 CACHE = 1_000_000
 _JOINED = 256
@@ -99,28 +94,10 @@ class WordEncoder:
 
 
 def _cores_and_marks(texts: pa.Array) -> Words:
-    """Words between white space, with closing marks cut off where a letter or digit stands before them.
-
-    There the tokenizer's pattern ends a match in any case, so both parts encode as they do together.
-    """
+    """Words between white space, each cut into its core and the marks that close it."""
     data, text_ends = text_bytes(texts)
     starts, ends, _ = word_bounds(data, text_ends)
-    cut = ends.copy()
-    for _ in range(_MOST_MARKS):
-        moved = (cut - 1 > starts) & _MARK[data[cut - 1]]
-        if not moved.any():
-            break
-        cut -= moved
-    if len(cut):
-        last, before = data[cut - 1], data[np.maximum(cut - 2, 0)]
-        wide = (last >= 0x80) & (last < 0xC0) & (before >= 0xC3) & (before <= 0xC9) & (cut - 2 >= starts)
-        wide &= ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7)))  # the times and division signs
-        wide &= ~((before == 0xC4) & (last == 0xB0))  # its small form ends in a mark, not a letter
-        cut = np.where(_ALNUM[last] | wide, cut, ends)
-    begins = np.stack([starts, cut], axis=1).reshape(-1)
-    stops = np.stack([cut, ends], axis=1).reshape(-1)
-    real = stops > begins
-    begins, stops = begins[real], stops[real]
+    begins, stops = cut_marks(data, starts, ends)
     bounds = np.concatenate([[0], np.searchsorted(begins, text_ends, side="left")])
     return coded_ranges(data, text_ends, begins, stops, bounds)
 
