@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,29 +11,30 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickledger.llm.common import coded, mixed, slices, stage
+from clickledger.llm.bytewords import byte_words, lowered
+from clickledger.llm.common import mixed, slices, stage
 from clickledger.llm.components import components
 
 SLOTS = 128
 BANDS = 32
-#: Rows of a large bucket are compared tile by tile, each tile about so many rows.
-TILE = 1024
+#: A large cluster is compared tile by tile, each tile about so many shingles.
+TILE_ITEMS = 1 << 21
 #: One-bit signatures of documents at the threshold differ in fewer slots, but for six deviations.
 DEVIATIONS = 6.0
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(texts: Iterable[str | None], width: int) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its word n-grams, A-Z lower-cased.
 
     A text of fewer words is one shingle, its whole sequence; one without words has none.
     """
-    codes, bounds, words = coded(t.encode().lower().split() if t else [] for t in texts)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    if not len(codes):
+    words = byte_words(lowered(texts))
+    bounds = words.bounds
+    if not len(words.codes):
         return [np.empty(0, np.uint64) for _ in bounds[1:]]
-    word = hashes[codes]
+    word = words.hashes[words.codes]
     with np.errstate(over="ignore"):
         rolled = mixed(word + _STEP)
         for j in range(1, width):
@@ -120,7 +121,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            sets = shingle_sets(part.column("text").to_pylist(), width)
+            sets = shingle_sets(part.column("text"), width)
             signature = signatures(sets)
             keys, bits = band_keys(signature, BANDS), one_bit(signature)
             bands = pa.ListArray.from_arrays(
@@ -151,10 +152,11 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            sets = shingle_sets(part.column("text").to_pylist(), width)
+            sets = shingle_sets(part.column("text"), width)
             bounds = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([len(s) for s in sets], out=bounds[1:])
-            values = np.concatenate(sets).view(np.int64)
+            values = np.concatenate([np.empty(0, np.uint64), *sets])
+            values = values.view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.ListArray.from_arrays(bounds, pa.array(values))], ["id", "items"]
             )
@@ -185,62 +187,76 @@ def _alike(percent: int) -> int:
     return int(np.ceil(SLOTS * (1 - agree) + DEVIATIONS * np.sqrt(SLOTS * agree * (1 - agree))))
 
 
-def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs across components inside buckets, found tile by tile, none of them materialised.
+def _links_across(members: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links that join different components of a cluster, enough to span what they join.
 
-    ``members(key, rep, component, n, bits_a, bits_b, size)``: each row goes to every tile pair its own
-    tile is part of, one for buckets of up to TILE rows.
+    ``members(cluster, rep, component, n, bits_a, bits_b, items)``. A cluster is cut into tiles of about
+    TILE_ITEMS shingles, and each pair of tiles is compared in one task on the full sets, so neither
+    plausible pairs nor a whole cluster are ever held.
     """
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    placed = members.withColumn("tile", F.pmod(F.xxhash64("rep"), tiles).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), tiles - 1))
-    )
+    totals = members.groupBy("cluster").agg(F.ceil(F.sum("n") / TILE_ITEMS).cast("int").alias("tiles"))
+    placed = members.join(totals, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     placed = placed.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
-    order = ["key", "low", "high"]
-    grouped = (
-        placed.select(*order, "rep", "component", "n", "bits_a", "bits_b").repartition(*order).sortWithinPartitions(*order)
-    )
+    order = ["cluster", "low", "high"]
+    columns = [*order, "tile", "rep", "component", "n", "bits_a", "bits_b", "items"]
+    grouped = placed.select(*columns).repartition(*order).sortWithinPartitions(*order)
     most = _alike(percent)
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        group = rows.groupby(order, sort=False).ngroup().to_numpy()
-        rep, comp, n = (rows[c].to_numpy() for c in ("rep", "component", "n"))
-        bits = [rows[c].to_numpy().view(np.uint64) for c in ("bits_a", "bits_b")]
-        found, at, apart = [], np.arange(len(rows)), 1
-        while len(at := at[at + apart < len(rows)]) and len(at := at[group[at] == group[at + apart]]):
-            i, j = at, at + apart
-            near = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-            i, j = i[near], j[near]
-            far = sum(np.bitwise_count(b[i] ^ b[j]).astype(int) for b in bits)
-            i, j = i[far <= most], j[far <= most]
-            found.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])], axis=1))
-            apart += 1
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame(np.unique(pairs, axis=0), columns=["a", "b"])
+    def compare(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        tile, rep, label, n, one, two, items = (rows[c].to_numpy() for c in columns[3:])
+        label, inner = label.copy(), rows["low"].iloc[0] == rows["high"].iloc[0]
+        found = []
+        for i in range(len(rows) - 1):
+            rest = slice(i + 1, None)
+            near = label[rest] != label[i]
+            if not inner:
+                near &= tile[rest] != tile[i]
+            near &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
+            j = np.flatnonzero(near) + i + 1
+            far = np.bitwise_count((one[j] ^ one[i]).view(np.uint64)).astype(int)
+            far += np.bitwise_count((two[j] ^ two[i]).view(np.uint64))
+            for k in j[np.argsort(far, kind="stable")][: int((far <= most).sum())]:
+                if label[k] != label[i] and _overlap(items[i], items[k], percent):
+                    found.append((min(rep[i], rep[k]), max(rep[i], rep[k])))
+                    label[label == label[k]] = label[i]
+        return found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []
+        at = None
         for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = (rows[order] == rows[order].iloc[-1]).all(axis=1).to_numpy()
-            cut = len(rows) - int(last.sum()) if len(rows) else 0
-            held = rows.iloc[cut:]
-            if cut:
-                yield compare(rows.iloc[:cut])
-        if held is not None and len(held):
-            yield compare(held)
+            found = []
+            for key, rows in batch.groupby(order, sort=False):
+                if key != at:
+                    found += compare(pd.concat(held, ignore_index=True)) if held else []
+                    at, held = key, []
+                held.append(rows)
+            yield pd.DataFrame(found, columns=["a", "b"])
+        if held:
+            yield pd.DataFrame(compare(pd.concat(held, ignore_index=True)), columns=["a", "b"])
 
     return grouped.mapInPandas(run, "a long, b long").distinct()
 
 
+def _overlap(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets of distinct hashes overlap enough."""
+    if len(a) > len(b):
+        a, b = b, a
+    a, b = a.view(np.uint64), b.view(np.uint64)
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    shared = int((b[at] == a).sum())
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents linked by ``100 * |A and B| >= percent * |A or B|`` of word shingles.
 
     Returns ``doc_id, n_shingles, component_id, kept`` per row. Texts with equal sets are one class,
     joined later by its least doc_id, so thousands of copies cost one row. Bands put classes into
-    buckets; each class is first compared with the least of its bucket, one row per member. Buckets
-    that still hold several components are compared completely, tile by tile on one-bit signatures,
-    and the plausible pairs confirmed too: every candidate that banding gives is decided on full sets.
+    buckets; each class is first compared with the least of its bucket, one row per member. Classes of
+    buckets that still hold several components form clusters, and these are compared completely, tile
+    by tile: every candidate that banding gives is decided on full sets, but no list of pairs is made.
 
     Null or wordless texts have an empty set and are linked with nothing. Rows without a doc_id are
     linked with nothing either: component_id null and kept true. Rows that share a doc_id are one node.
@@ -277,16 +293,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labels = components(links)
 
     member = buckets.filter("size > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    member = member.withColumn("component", F.coalesce("component", "rep"))
-    mixed_keys = (
+    open_keys = (
         member.groupBy("key")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .agg(F.min(F.coalesce("component", "rep")).alias("least"), F.max(F.coalesce("component", "rep")).alias("most"))
         .filter("least <> most")
-        .select("key")
     )
-    open_members = member.join(mixed_keys, "key").join(facts, "rep")
-    further = _tile_pairs(open_members, percent).join(near, ["a", "b"], "left_anti")
-    later = stage(_confirm(further, sets, percent), "links")
+    together = buckets.filter("rep <> pivot").join(open_keys.select("key"), "key", "left_semi")
+    clusters = components(together.select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+    members = (
+        clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
+        .join(facts, "rep")
+        .join(sets.withColumnRenamed("id", "rep"), "rep")
+    )
+    later = stage(_links_across(members, percent), "links")
     if not later.isEmpty():
         labels = components(links.unionAll(later))
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brute import near_components, shingles
@@ -35,6 +36,11 @@ def test_chains_groups_and_borderline_pairs(make_docs):
         a = [f"u{i}_{k}" for k in range(50)]
         texts[3000 + 2 * i] = " ".join(a)
         texts[3001 + 2 * i] = " ".join(a[: 50 - i % 14] + ["new"])
+    for i in range(150):  # alike below the threshold, some linked to one another, not to the least
+        text = [f"t{k}" for k in range(100)]
+        for k in range(6):
+            text[(17 * i + 15 * k) % 100] = f"s{i % 70}_{k}"
+        texts[4000 + i] = " ".join([*text, f"e{i}"])
     got = result(near_duplicates(make_docs(texts.items()), 4))
     assert got == near_components(texts, 4, 80)
 
@@ -52,7 +58,7 @@ def test_edge_cases(make_docs, spark):
 
 def test_signature_estimates_similarity():
     words = [f"w{i}" for i in range(1000)]
-    a, b = shingle_sets([" ".join(words[:900]), " ".join(words[100:])], 1)
+    a, b = shingle_sets(pa.array([" ".join(words[:900]), " ".join(words[100:])]), 1)
     sig = signatures([a, b], 1024)
     assert np.mean(sig[0] == sig[1]) == pytest.approx(0.8, abs=0.05)
     assert len(a) == len(shingles(" ".join(words[:900]), 1))
