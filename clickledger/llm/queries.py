@@ -9,13 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickledger.llm.bpe import decode, encode
-from clickledger.llm.common import table
+from clickledger.llm.common import fold, table
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
+from clickledger.llm.quality import score, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(fold("doc_id", 5) != 0)
+    model = train(docs, labels.select("doc_id", F.col("quality").alias("target")))
+    return score(docs, model).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(
         table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096
@@ -47,6 +60,7 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_factorisation_machine": op1_factorisation_machine,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
     "op10_superminhash": op10_superminhash,
