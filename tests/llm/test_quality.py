@@ -32,7 +32,7 @@ def test_statistics_count_what_they_say():
     words, _, upper, digit, symbol, bang, stop, high, distinct, same, most, lines, _ = found.statistics[0]
     assert words == pytest.approx(np.log(10)) and distinct == pytest.approx(4 / 9) and same == pytest.approx(4 / 9)
     assert most == pytest.approx(6 / 9) and lines == pytest.approx(1 / 4) and symbol == bang == pytest.approx(1 / 9)
-    assert upper == pytest.approx(7 / 26) and digit == pytest.approx(1 / 26) and stop == high == 0
+    assert upper == pytest.approx(7 / 25) and digit == pytest.approx(1 / 25) and stop == high == 0
     assert np.isfinite(found.statistics).all() and (found.statistics[1] == found.statistics[2]).all()
 
 
