@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickledger.llm.bpe import decode, encode
 from clickledger.llm.common import fold, table
+from clickledger.llm import langid
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
 from clickledger.llm.quality import score, train
@@ -44,6 +45,14 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_conditional_random_field(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs.filter(fold("doc_id", 3) != 1))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -62,6 +71,7 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_conditional_random_field": op4_conditional_random_field,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
     "op10_superminhash": op10_superminhash,
 }
