@@ -14,6 +14,7 @@ from clickledger.llm import langid
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
 from clickledger.llm.quality import score, train
+from clickledger.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,18 @@ def op4_conditional_random_field(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(table(spark, folder, "documents"), 16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -72,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_conditional_random_field": op4_conditional_random_field,
+    "op6_label_propagation": op6_label_propagation,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
     "op10_superminhash": op10_superminhash,
 }
