@@ -293,17 +293,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labels = components(links)
 
     member = buckets.filter("size > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    member = member.select("key", "rep", F.coalesce("component", "rep").alias("component"))
     open_keys = (
         member.groupBy("key")
-        .agg(F.min(F.coalesce("component", "rep")).alias("least"), F.max(F.coalesce("component", "rep")).alias("most"))
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
         .filter("least <> most")
     )
-    together = buckets.filter("rep <> pivot").join(open_keys.select("key"), "key", "left_semi")
-    clusters = components(together.select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+    opened = stage(member.join(open_keys.select("key", "least"), "key"), "open")
+    meeting = opened.filter("component <> least").select(F.col("least").alias("a"), F.col("component").alias("b"))
+    clusters = components(meeting.distinct()).select(F.col("component").alias("cluster"), F.col("node").alias("component"))
     members = (
-        clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
+        opened.select("rep", "component")
+        .distinct()
+        .join(clusters, "component")
         .join(facts, "rep")
         .join(sets.withColumnRenamed("id", "rep"), "rep")
     )
