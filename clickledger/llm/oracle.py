@@ -2,4 +2,60 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLE: dict[str, str] = {
+    "op8_rule_cascade": rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+    SELECT *,
+        regexp_extract_all(text, '{_WORD}') AS words,
+        list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '{_WORD}')) AS lines
+    FROM texts
+), placed AS (
+    SELECT row_no, generate_subscripts(words, 1) AS place, unnest(words) AS word FROM cut
+), windows AS (
+    SELECT row_no, place, word,
+        lead(word, 1) OVER seq AS second, lead(word, 2) OVER seq AS third
+    FROM placed WINDOW seq AS (PARTITION BY row_no ORDER BY place)
+), again AS (
+    SELECT row_no, unnest([place, place + 1, place + 2]) AS place
+    FROM (
+        SELECT *, count(*) OVER (PARTITION BY row_no, word, second, third) AS n
+        FROM windows WHERE third IS NOT NULL
+    ) WHERE n > 1
+), repeated AS (
+    SELECT row_no, count(DISTINCT place) AS n FROM again GROUP BY row_no
+), commonest AS (
+    SELECT row_no, max(n) AS n
+    FROM (SELECT row_no, word, count(*) AS n FROM placed GROUP BY row_no, word) GROUP BY row_no
+), counted AS (
+    SELECT doc_id,
+        len(words)::BIGINT AS n_words,
+        length(array_to_string(words, ''))::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        len(lines)::BIGINT AS n_lines,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
+        coalesce(commonest.n, 0) AS n_commonest,
+        length(text) - length(replace(text, '!', '')) AS n_bangs,
+        length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+        length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) AS n_digits
+    FROM cut LEFT JOIN repeated USING (row_no) LEFT JOIN commonest USING (row_no)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed
+        OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+        OR 10 * n_symbols > n_words
+        OR 2 * n_bangs > n_words
+        OR 10 * n_capitals > 3 * word_chars
+        OR 5 * n_digits > word_chars
+        OR 2 * n_dup_lines > n_lines
+        OR 10 * n_commonest > 3 * n_words
+        OR 5 * n_repeat_words > 2 * n_words) AS kept
+FROM judged
+""",
+}

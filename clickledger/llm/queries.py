@@ -14,6 +14,7 @@ from clickledger.llm import langid
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
 from clickledger.llm.quality import score, train
+from clickledger.llm.rules import apply_rules
 from clickledger.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +78,10 @@ def op7_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    return apply_rules(table(spark, folder, "documents")).drop("rejected_by")
+
+
 def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
@@ -87,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op4_conditional_random_field": op4_conditional_random_field,
     "op6_label_propagation": op6_label_propagation,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
+    "op8_rule_cascade": op8_rule_cascade,
     "op10_superminhash": op10_superminhash,
 }
