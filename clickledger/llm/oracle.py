@@ -5,6 +5,22 @@ from __future__ import annotations
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE: dict[str, str] = {
+    "op3_zstandard_archives": """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html FROM pages
+), named AS (
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM payloads
+), copied AS (
+    SELECT payload_digest, min(page_id) AS first
+    FROM named WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1
+), joined AS (
+    SELECT named.*, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM named LEFT JOIN copied USING (payload_digest)
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM joined
+""",
     "op8_rule_cascade": rf"""
 WITH texts AS (
     SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents

@@ -16,6 +16,7 @@ from clickledger.llm.packing import pack
 from clickledger.llm.quality import score, train
 from clickledger.llm.rules import apply_rules
 from clickledger.llm.sharding import shard_documents
+from clickledger.llm.warc import archive_and_read, page_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,18 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_zstandard_archives(spark: SparkSession, folder: str) -> DataFrame:
+    read = archive_and_read(table(spark, folder, "pages"))
+    fault = F.raise_error(F.concat_ws(" ", "path", "number", "error"))
+    return read.select(
+        F.when(F.col("error").isNotNull(), fault.cast("long")).otherwise(page_of("record_id")).alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), "digest").alias("payload_digest"),
+        "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
 def op4_conditional_random_field(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = langid.train(docs.filter(fold("doc_id", 3) != 1))
@@ -89,6 +102,7 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_zstandard_archives": op3_zstandard_archives,
     "op4_conditional_random_field": op4_conditional_random_field,
     "op6_label_propagation": op6_label_propagation,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
