@@ -14,11 +14,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickledger.llm.bytewords import Words, coded_ranges, cut_marks, text_bytes, word_bounds
+from clickledger.llm.bytewords import Words, coded_ranges, cut_marks, hashed, leading, text_bytes, word_bounds
 from clickledger.llm.common import mixed, slices
 
 #: Texts of one block are coded against one word list; its size bounds the memory of a task.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 _DDL = "block long, bucket int, blob binary, doc_ids array<long>, counts array<int>"
 _SCHEMA = pa.schema(
@@ -73,7 +73,10 @@ def _pieces(texts: pa.Array) -> Words:
     whole = np.zeros(len(text_ends), bool)
     whole[where] = True
     ends = ends[~whole[np.searchsorted(text_ends, ends - 1, side="right")]]
-    ends = np.unique(np.concatenate([ends, text_ends[text_ends > 0]]))
+    place = np.searchsorted(ends, text_ends)
+    listed = np.append(ends, -1)[place] == text_ends
+    trailing = np.unique(text_ends[~listed & (text_ends > 0)])
+    ends = np.sort(np.concatenate([ends, trailing]), kind="stable")
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     is_whole = whole[np.searchsorted(text_ends, starts, side="right")]
     begins, stops = cut_marks(data, starts[~is_whole], ends[~is_whole])
@@ -93,7 +96,7 @@ def _spread(parts_size: np.ndarray, flat: np.ndarray, codes: np.ndarray, bounds:
 
 
 class Block:
-    """Pre-tokens of a slice: distinct words by (bucket, word) and each text's positions among them."""
+    """Pre-tokens of a slice: distinct words by bucket and leading bytes, each text's positions among them."""
 
     def __init__(self, texts: pa.Array, pattern: regex.Pattern, buckets: int):
         pieces = _pieces(texts)
@@ -111,11 +114,10 @@ class Block:
         words = [w.encode() for w in index]
         ends = np.cumsum([len(w) for w in words], dtype=np.int64)
         blob = np.frombuffer(b"".join(words), np.uint8)
-        hashes = np.empty(0, np.uint64)
-        if words:
-            hashes = coded_ranges(blob, ends, ends - np.diff(ends, prepend=0), ends, ends).hashes
+        starts = ends - np.diff(ends, prepend=0)
+        hashes = hashed(blob, starts, ends)[0]
         bucket = (mixed(hashes) >> np.uint64(33)).astype(np.int64) % buckets
-        order = np.array(sorted(range(len(words)), key=lambda i: (bucket[i], words[i])), np.int64)
+        order = np.lexsort((hashes, leading(blob, starts, ends), bucket))
         rank = np.empty(len(words), np.int32)
         rank[order] = np.arange(len(words), dtype=np.int32)
         self.words = [words[i] for i in order]
@@ -142,9 +144,11 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None = None, round_trip: bool = False) -> DataFrame:
     """``doc_id, ids``: each text's ids as little-endian 32-bit integers, as tiktoken would give them.
 
+    With ``round_trip`` also ``decoded``, the ids decoded in the task that put them in order.
+
     Texts are cut into blocks of about BLOCK_BYTES. A block's distinct pre-tokens go to ``buckets`` hash
     buckets (default: the shuffle partitions), one row per block and bucket, so the commonest word costs
     a row no more than a rare one; each bucket encodes each of its words once for the whole corpus. The
@@ -207,21 +211,23 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                 flat = np.frombuffer(b"".join(parts), "<u4")
                 bounds = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
                 ids, bounds = _spread(size, flat, np.frombuffer(codes, "<u4"), bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.LargeBinaryArray.from_buffers(
-                            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(4 * bounds.astype(np.int64)), pa.py_buffer(ids.tobytes())]
-                        ).cast(pa.binary()),
-                    ],
-                    ["doc_id", "ids"],
-                )
+                ids = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+                columns = {"doc_id": pa.array(row["doc_ids"], pa.int64()), "ids": pa.array([i.tobytes() for i in ids], pa.binary())}
+                if round_trip:
+                    columns["decoded"] = pa.array([decoded_bytes(i, rank_file) for i in ids], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
                 parts = []
 
     listed = texts.mapInArrow(words, _DDL).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     known = listed.mapInArrow(ids_of_words, _DDL)
     both = known.unionAll(texts.mapInArrow(positions, _DDL))
-    return both.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(assemble, "doc_id long, ids binary")
+    ddl = "doc_id long, ids binary" + ", decoded binary" * round_trip
+    return both.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(assemble, ddl)
+
+
+def decoded_bytes(ids: np.ndarray, rank_file: str) -> bytes:
+    """The bytes of some ids, looked up in the token-byte table and put in order."""
+    return b"".join(map(token_bytes(rank_file).__getitem__, ids.tolist()))
 
 
 def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
@@ -233,7 +239,6 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
 
     @F.udf("binary", useArrow=True)
     def bytes_of(ids: bytes | None) -> bytes | None:
-        table = token_bytes(rank_file)
-        return None if ids is None else b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return None if ids is None else decoded_bytes(np.frombuffer(ids, "<u4"), rank_file)
 
     return encoded.withColumn("decoded", bytes_of("ids"))

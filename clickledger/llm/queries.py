@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickledger.llm.bpe import decode, encode
+from clickledger.llm.bpe import encode
 from clickledger.llm.common import fold, table
 from clickledger.llm import langid
 from clickledger.llm.neardup import near_duplicates
@@ -82,8 +82,8 @@ def op6_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    return decode(encoded, ranks).select(
+    docs = table(spark, folder, "documents")
+    return encode(docs, ranks, public_tokenizers.PATTERN, round_trip=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
