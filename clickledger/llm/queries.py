@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickledger.llm.ann import nearest_neighbours
 from clickledger.llm.bpe import encode
 from clickledger.llm.common import fold, table
 from clickledger.llm import langid
@@ -95,6 +96,10 @@ def op8_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return apply_rules(table(spark, folder, "documents")).drop("rejected_by")
 
 
+def op9_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(table(spark, folder, "embeddings"), every=100, k=10)
+
+
 def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
@@ -107,5 +112,6 @@ QUERIES: dict[str, Query] = {
     "op6_label_propagation": op6_label_propagation,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
     "op8_rule_cascade": op8_rule_cascade,
+    "op9_one_bit_codes": op9_one_bit_codes,
     "op10_superminhash": op10_superminhash,
 }
