@@ -26,11 +26,15 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stage(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    A ``narrow`` table, of ids and counts, is written in at most four files a core, since small tables in
+    as many files as there are shuffle partitions cost more in files than in rows.
+    """
+    spark, path = df.sparkSession, stage_path(df.sparkSession, name)
+    (df.coalesce(4 * spark.sparkContext.defaultParallelism) if narrow else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold(doc_id: str, folds: int) -> F.Column:

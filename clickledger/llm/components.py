@@ -16,11 +16,11 @@ def components(links: DataFrame) -> DataFrame:
     sees one number a round. Repeated links and self links are harmless; no links give no rows.
     """
     flipped = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    edges = stage(links.select("a", "b").unionAll(flipped).distinct(), "edges")
+    edges = stage(links.select("a", "b").unionAll(flipped).distinct(), "edges", narrow=True)
     labels = edges.groupBy(F.col("a").alias("node")).agg(
         F.least(F.col("node"), F.min("b")).alias("component")
     )
-    labels = stage(labels, "labels")
+    labels = stage(labels, "labels", narrow=True)
     while True:
         seen = labels.select(F.col("node").alias("b"), F.col("component").alias("near"))
         nearest = edges.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
@@ -29,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
         step = stage(
-            step.join(jump, "component").select("node", "was", F.col("further").alias("component")), "labels"
+            step.join(jump, "component").select("node", "was", F.col("further").alias("component")), "labels", narrow=True
         )
         if step.filter("was <> component").isEmpty():
             return step.select("node", "component")

@@ -285,11 +285,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     near = near.filter(
         (differ <= _alike(percent)) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     ).select("a", "b")
-    near = stage(near, "candidates")
+    near = stage(near, "candidates", narrow=True)
 
     ids = buckets.select(F.col("rep").alias("doc_id")).distinct()
     sets = stage(_sets(docs, ids, width), "sets")
-    links = stage(_confirm(near, sets, percent), "links")
+    links = stage(_confirm(near, sets, percent), "links", narrow=True)
     labels = components(links)
 
     member = buckets.filter("size > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .agg(F.min("component").alias("least"), F.max("component").alias("most"))
         .filter("least <> most")
     )
-    opened = stage(member.join(open_keys.select("key", "least"), "key"), "open")
+    opened = stage(member.join(open_keys.select("key", "least"), "key"), "open", narrow=True)
     meeting = opened.filter("component <> least").select(F.col("least").alias("a"), F.col("component").alias("b"))
     clusters = components(meeting.distinct()).select(F.col("component").alias("cluster"), F.col("node").alias("component"))
     members = (
@@ -309,7 +309,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .join(facts, "rep")
         .join(sets.withColumnRenamed("id", "rep"), "rep")
     )
-    later = stage(_links_across(members, percent), "links")
+    later = stage(_links_across(members, percent), "links", narrow=True)
     if not later.isEmpty():
         labels = components(links.unionAll(later))
 

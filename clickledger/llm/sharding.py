@@ -47,9 +47,9 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int, rounds: int = R
     their first shard, a hash. Rounds are written to the shared folder.
     """
     state = nodes.select("node", "size", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"))
-    state = stage(state, "shards")
+    state = stage(state, "shards", narrow=True)
     linked = members.groupBy("link").agg(F.count("*").alias("n")).filter("n > 1").select("link")
-    members = stage(members.join(linked, "link", "left_semi").select("node", "link"), "members")
+    members = stage(members.join(linked, "link", "left_semi").select("node", "link"), "members", narrow=True)
     for number in range(rounds):
         placed = members.join(state, "node")
         votes = placed.groupBy("link", "shard").agg(F.count("*").alias("votes"), F.sum("size").alias("bytes"))
@@ -66,7 +66,7 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int, rounds: int = R
             .filter("to <> shard")
             .join(large, "link")
         )
-        moves = stage(moves.select("node", "link", "size", "shard", "to", "bytes"), "moves")
+        moves = stage(moves.select("node", "link", "size", "shard", "to", "bytes"), "moves", narrow=True)
         flows = {(r["shard"], r["to"]): float(r["size"]) for r in moves.groupBy("shard", "to").agg(F.sum("size").alias("size")).collect()}
         if not flows:
             break
@@ -77,7 +77,7 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int, rounds: int = R
         drawn = F.when(apart, _unit("node", F.lit(number))).otherwise(_unit("link", F.lit(number)))
         let_in = moves.filter(drawn < F.element_at(share, F.col("to") + 1)).select("node", "to")
         state = state.join(let_in, "node", "left").select("node", "size", F.coalesce("to", "shard").alias("shard"))
-        state = stage(state, "shards")
+        state = stage(state, "shards", narrow=True)
     return state.select("node", "shard")
 
 
@@ -122,7 +122,7 @@ def even_out(rows: DataFrame, shards: int) -> DataFrame:
     row = row.crossJoin(F.broadcast(whole)).withColumns(  # one row
         {"shard": F.least(cut, F.lit(shards - 1)), "index": F.col("n_0") + F.col("n_2")}
     )
-    row = stage(row.drop(*block[1:], "parts", "bytes_0", "bytes_2", "n_0", "n_2", "whole"), "line")
+    row = stage(row.drop(*block[1:], "parts", "bytes_0", "bytes_2", "n_0", "n_2", "whole"), "line", narrow=True)
     first = row.groupBy("shard").agg(F.min("index").alias("first"))  # one row per shard
     return row.join(F.broadcast(first), "shard").withColumn("slot", (F.col("index") - F.col("first")).cast("long")).drop("index", "first")
 
@@ -144,7 +144,7 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
         F.xxhash64(text).alias("link"),
     )
     unnamed = F.lit(-1) - F.pmod(F.xxhash64("link", "size"), F.lit(1 << 62))
-    rows = stage(rows.withColumn("node", F.coalesce("doc_id", unnamed)), "documents")
+    rows = stage(rows.withColumn("node", F.coalesce("doc_id", unnamed)), "documents", narrow=True)
     nodes = rows.groupBy("node").agg(F.sum("size").alias("size"))
     labels = propagate(nodes, rows.select("node", "link").distinct(), shards)
     labelled = rows.withColumnRenamed("link", "group").join(labels, "node")
