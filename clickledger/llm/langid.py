@@ -305,3 +305,20 @@ def _identified(part: pa.RecordBatch, model: Model | None) -> pa.RecordBatch:
         [part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score), pa.ListArray.from_arrays(pa.array(spans), runs)],
         ["doc_id", "lang_pred", "score", "spans"],
     )
+
+
+def keep_identified(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is told with a share of ``least``.
+
+    Texts that are null or hold no letter go; without a model every row stays.
+    """
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            found = _identified(pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text")], ["doc_id", "text"]), model)
+            told = pa.compute.not_equal(found.column("lang_pred"), UNDETERMINED)
+            yield part.filter(pa.compute.and_(told, pa.compute.greater_equal(found.column("score"), least)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -2,6 +2,27 @@
 
 from __future__ import annotations
 
+from clickledger.llm.licence_texts import LICENCES
+from clickledger.llm.licences import OWNER_LINE, SIGNS, SPELLINGS
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    text = f"chr(10) || translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+    text = f"regexp_replace({text}, {_quoted(OWNER_LINE)}, chr(10), 'g')"
+    text = f"regexp_replace({text}, {_quoted(SIGNS)}, ' ', 'g')"
+    for other, one in SPELLINGS:
+        text = f"replace({text}, '{other}', '{one}')"
+    return f"trim({text})"
+
+
+_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, title, body in LICENCES for text in (body, f"{title}\n\n{body}"))
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE: dict[str, str] = {
@@ -20,6 +41,14 @@ WITH payloads AS (
 SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
 FROM joined
+""",
+    "op5_canonical_digests": f"""
+WITH known (license_id, text) AS (VALUES {_KNOWN}), listed AS (
+    SELECT sha256({_canonical("text")}) AS license_digest, min(license_id) AS license_id FROM known GROUP BY 1
+), texts AS (
+    SELECT doc_id, sha256({_canonical("text")}) AS license_digest FROM documents
+)
+SELECT doc_id, license_digest, license_id FROM texts LEFT JOIN listed USING (license_digest)
 """,
     "op8_rule_cascade": rf"""
 WITH texts AS (

@@ -245,3 +245,18 @@ def score(docs: DataFrame, model: Model | None, metadata: Sequence[str] = ()) ->
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), scores], ["doc_id", "score"])
 
     return _narrow(docs, metadata).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``least`` or more; in one pass, no shuffle.
+
+    Without a model every row stays.
+    """
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            yield part.filter(pa.array(model.scores(features(part.column("text"))) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickledger.llm import langid
 from clickledger.llm.ann import nearest_neighbours
 from clickledger.llm.bpe import encode
 from clickledger.llm.common import fold, table
-from clickledger.llm import langid
+from clickledger.llm.licences import known_licences, scan
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
 from clickledger.llm.quality import score, train
@@ -69,6 +70,10 @@ def op4_conditional_random_field(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_canonical_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"), known_licences(spark))
+
+
 def op6_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"), 16).select(
         "doc_id",
@@ -109,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_zstandard_archives": op3_zstandard_archives,
     "op4_conditional_random_field": op4_conditional_random_field,
+    "op5_canonical_digests": op5_canonical_digests,
     "op6_label_propagation": op6_label_propagation,
     "op7_distinct_word_bpe": op7_distinct_word_bpe,
     "op8_rule_cascade": op8_rule_cascade,
