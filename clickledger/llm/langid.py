@@ -231,9 +231,12 @@ def train(docs: DataFrame, docs_per_language: int = TRAINING_DOCS) -> Model | No
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).dropna()
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    named = labelled.select("doc_id", "lang")  # no text goes through the shuffle by language
+    counts = named.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_007)) / 1_000_000_007
-    chosen = labelled.join(counts, "lang").filter(place < docs_per_language / F.col("n"))
+    ids = named.join(counts, "lang").filter(place < docs_per_language / F.col("n")).select("doc_id").distinct()
+    # about docs_per_language ids a language
+    chosen = labelled.join(F.broadcast(ids), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
