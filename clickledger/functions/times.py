@@ -40,6 +40,11 @@ def slot_of(column: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(column) / F.lit(seconds))
 
 
+def slots_between(first: Column, last: Column, seconds: int) -> Column:
+    """Indices of all slots from that of one time to that of another, both included."""
+    return F.sequence(slot_of(first, seconds), slot_of(last, seconds))
+
+
 def whole_seconds(window: timedelta) -> int:
     """Length of an attribution window, which must be a positive whole number of seconds."""
     seconds = int(window.total_seconds())

@@ -1,113 +1,62 @@
 """Number of clicks in the window before each checkout, without forming the pairs.
 
 The count of clicks in ``[t - w, t]`` is the running click count at ``t`` (its own instant included)
-less the running count just before ``t - w``. Both are read off one sorted timeline per user. Hot
-users are handled in time slots, as in :mod:`clickledger.operators.first_click`: per-instant sums are
-combined map-side and each slot starts from the carried total of the earlier slots.
+less the running count just before ``t - w``. Timelines are cut into time slots as in
+:mod:`clickledger.operators.first_click`, and running counts start anew in each: a checkout adds the
+count at ``t`` of every slot its window touches and subtracts the count before ``t - w`` of the first.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickledger.functions.times import slot_of, whole_seconds
-from clickledger.operators.first_click import ATTRIBUTION_WINDOW, usable
-from clickledger.operators.skew import SkewPolicy, hot_users, split_by_hot
+from clickledger.functions.times import slot_of, slots_between
+from clickledger.operators.first_click import ATTRIBUTION_WINDOW, slot_seconds, usable
 
 # Position of rows that share an instant: window starts come before clicks, window ends after.
-_CARRIED, _START, _CLICK, _END = -1, 0, 1, 2
+_START, _CLICK, _END = 0, 1, 2
 
 
 def clicks_in_window(
-    clicks: DataFrame,
-    checkouts: DataFrame,
-    window: timedelta = ATTRIBUTION_WINDOW,
-    skew: SkewPolicy = SkewPolicy(),
+    clicks: DataFrame, checkouts: DataFrame, window: timedelta = ATTRIBUTION_WINDOW
 ) -> DataFrame:
     """(checkout_id, user_id, total_clicks_in_window) for checkouts with at least one click."""
-    whole_seconds(window)
-    clicks, checkouts = usable(clicks), usable(checkouts)
-    hot = hot_users(skew, clicks, checkouts)
-    clicks = clicks.select("user_id", F.col("event_timestamp").alias("at"))
-    checkouts = checkouts.select(
-        "user_id", F.col("event_timestamp").alias("until"), F.col("event_id").alias("checkout_id")
-    )
-    if hot is None:
-        counts = _counts(clicks, checkouts, window)
-    else:
-        clicks, hot_clicks = split_by_hot(clicks, hot)
-        checkouts, hot_checkouts = split_by_hot(checkouts, hot)
-        sliced = hot_checkouts.join(
-            _counts_in_slots(hot_clicks, hot_checkouts, window, skew.slot_seconds),
-            ["user_id", "until"],
-        )
-        counts = _counts(clicks, checkouts, window).unionByName(
-            sliced.select("checkout_id", "user_id", "n")
-        )
-    return (
-        counts.groupBy("checkout_id", "user_id")
-        .agg(F.sum("n").alias("total_clicks_in_window"))
-        .where(F.col("total_clicks_in_window") > 0)
-    )
-
-
-def _counts(clicks: DataFrame, checkouts: DataFrame, window: timedelta) -> DataFrame:
-    steps = clicks.select("user_id", "at", F.lit(1).alias("weight"), _place(_CLICK))
-    timeline = steps.unionByName(_bounds(checkouts, window), allowMissingColumns=True)
-    return _bounded_counts(timeline, ["user_id"]).select("checkout_id", "user_id", "n")
-
-
-def _place(position: int) -> Column:
-    return F.lit(position).alias("place")
-
-
-def _bounds(checkouts: DataFrame, window: timedelta) -> DataFrame:
-    """Two probes per checkout: one at each end of its window."""
-    ends = F.array(
-        F.struct((F.col("until") - F.lit(window)).alias("at"), _place(_START)),
-        F.struct(F.col("until").alias("at"), _place(_END)),
-    )
-    return checkouts.select("*", F.inline(ends))
-
-
-def _bounded_counts(timeline: DataFrame, keys: list[str]) -> DataFrame:
-    """Probe rows with the signed running count ``n``: plus at window ends, minus at starts."""
+    width = slot_seconds(window)
+    at = F.col("event_timestamp")
+    start = at - F.lit(window)
+    steps = usable(clicks).select(
+        "user_id",
+        at.alias("at"),
+        F.lit(_CLICK).alias("place"),
+        F.lit(1).alias("weight"),
+        slot_of(at, width).alias("slot"),
+    )
+    ends = F.transform(
+        slots_between(start, at, width),
+        lambda slot: F.struct(at.alias("at"), F.lit(_END).alias("place"), slot.alias("slot")),
+    )
+    begin = F.struct(start.alias("at"), F.lit(_START).alias("place"), slot_of(start, width).alias("slot"))
+    probes = usable(checkouts).select(
+        "user_id",
+        F.col("event_id").alias("checkout_id"),
+        F.lit(True).alias("probe"),
+        F.inline(F.concat(F.array(begin), ends)),
+    )
+    timeline = steps.unionByName(probes, allowMissingColumns=True)
     forwards = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("user_id", "slot")
         .orderBy("at", "place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = F.coalesce(F.sum("weight").over(forwards), F.lit(0))
-    return timeline.withColumn(
+    counted = timeline.withColumn(
         "n", F.when(F.col("place") == _START, -running).otherwise(running)
-    ).where(F.col("until").isNotNull())
-
-
-def _counts_in_slots(
-    clicks: DataFrame, checkouts: DataFrame, window: timedelta, slot_seconds: int
-) -> DataFrame:
-    slot = slot_of(F.col("at"), slot_seconds).alias("slot")
-    instants = clicks.groupBy("user_id", slot, "at").agg(F.count("*").alias("weight"))
-    probes = _bounds(checkouts.select("user_id", "until").distinct(), window).withColumn("slot", slot)
-    per_slot = (
-        instants.select("user_id", "slot", "weight")
-        .unionByName(probes.select("user_id", "slot"), allowMissingColumns=True)
-        .groupBy("user_id", "slot")
-        .agg(F.sum("weight").alias("weight"))
-    )
-    earlier_slots = (
-        Window.partitionBy("user_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = per_slot.select(
-        "user_id", "slot", F.sum("weight").over(earlier_slots).alias("weight"), _place(_CARRIED)
-    )
-    timeline = (
-        instants.withColumn("place", F.lit(_CLICK))
-        .unionByName(probes, allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
+    ).where("probe")
+    return (
+        counted.groupBy("checkout_id", "user_id")
+        .agg(F.sum("n").alias("total_clicks_in_window"))
+        .where(F.col("total_clicks_in_window") > 0)
     )
-    counted = _bounded_counts(timeline, ["user_id", "slot"])
-    return counted.groupBy("user_id", "until").agg(F.sum("n").alias("n"))

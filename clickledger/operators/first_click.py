@@ -2,13 +2,12 @@
 
 Joining every checkout to all clicks of its window and ranking the pairs is quadratic in a busy
 user's traffic. The earliest click of ``[t - w, t]`` is the first click at or after ``t - w``,
-provided it is not later than ``t``. So clicks and probes (one per checkout, placed at ``t - w``)
-are put on one timeline per user, and one backward pass over it carries the nearest click along: one
-shuffle and one sort, no pairs.
+provided it is not later than ``t``. So clicks and probes (placed at ``t - w``) are put on one timeline,
+and one backward pass over it carries the nearest click along: one shuffle and one sort, no pairs.
 
-A hot user's timeline is cut into time slots that different tasks handle. Clicks are first combined
-per instant and probes per checkout time, both map-side, so a slot holds a bounded number of rows
-whatever the traffic; each slot also gets a carried row with the first click of the later slots.
+Every user's timeline is cut into slots of an eighth of the window, so a busy user's rows spread over
+many tasks. A click is in one slot; a checkout's probe is in each slot its window touches, and the
+earliest of its answers counts.
 """
 
 from __future__ import annotations
@@ -18,8 +17,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickledger.functions.times import elapsed_seconds, slot_of, whole_seconds
-from clickledger.operators.skew import SkewPolicy, hot_users, split_by_hot
+from clickledger.functions.times import elapsed_seconds, slot_of, slots_between, whole_seconds
 
 ATTRIBUTION_WINDOW = timedelta(hours=1)
 
@@ -41,39 +39,46 @@ def first_click_attribution(
     checkouts: DataFrame,
     window: timedelta = ATTRIBUTION_WINDOW,
     since: Column | None = None,
-    skew: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
     """One row per checkout that has a click of the same user in ``[checkout - window, checkout]``.
 
     ``since`` limits the result to checkouts from that time on; it reaches both scans.
     """
-    whole_seconds(window)
+    return attribution_columns(first_clicks(clicks, checkouts, window, since))
+
+
+def first_clicks(
+    clicks: DataFrame,
+    checkouts: DataFrame,
+    window: timedelta = ATTRIBUTION_WINDOW,
+    since: Column | None = None,
+) -> DataFrame:
+    """As :func:`first_click_attribution`, with checkout columns and the credited ``click`` struct."""
+    width = slot_seconds(window)
     length = F.lit(window)
     clicks, checkouts = usable(clicks), usable(checkouts)
     if since is not None:
         checkouts = checkouts.where(F.col("event_timestamp") >= since)
         clicks = clicks.where(F.col("event_timestamp") >= since - length)
 
-    hot = hot_users(skew, clicks, checkouts)
     clicks = clicks.select(
-        "user_id", F.col("event_timestamp").alias("at"), F.struct(*CLICK_FIELDS).alias("click")
+        "user_id",
+        F.col("event_timestamp").alias("at"),
+        F.struct(*CLICK_FIELDS).alias("click"),
+        slot_of(F.col("event_timestamp"), width).alias("slot"),
     )
-    checkouts = checkouts.select(
+    until = F.col("event_timestamp")
+    probes = checkouts.select(
         "user_id",
-        F.col("event_timestamp").alias("until"),
+        (until - length).alias("at"),
+        until.alias("until"),
         F.struct(*CHECKOUT_FIELDS).alias("checkout"),
+        F.explode(slots_between(until - length, until, width)).alias("slot"),
     )
-    if hot is None:
-        matched = _matched(clicks, checkouts, length)
-    else:
-        clicks, hot_clicks = split_by_hot(clicks, hot)
-        checkouts, hot_checkouts = split_by_hot(checkouts, hot)
-        matched = _matched(clicks, checkouts, length).unionByName(
-            _matched_in_slots(hot_clicks, hot_checkouts, length, skew.slot_seconds)
-        )
+    matched = _nearest_click(clicks.unionByName(probes, allowMissingColumns=True))
 
-    # Repeated deliveries of one checkout end as one row, combined map-side.
-    winners = (
+    # Answers of several slots and repeated deliveries end as one row a checkout, combined map-side.
+    return (
         matched.groupBy(F.col("checkout.event_id").alias("checkout_id"))
         .agg(F.min(F.struct("click", "user_id", "until", "checkout")).alias("m"))
         .select(
@@ -84,7 +89,6 @@ def first_click_attribution(
             F.col("m.checkout.total_amount").alias("revenue"),
         )
     )
-    return attribution_columns(winners)
 
 
 def attribution_columns(winners: DataFrame, *extra: str) -> DataFrame:
@@ -112,21 +116,21 @@ def usable(feed: DataFrame) -> DataFrame:
     return feed.where(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
 
 
-def _matched(clicks: DataFrame, checkouts: DataFrame, length: Column) -> DataFrame:
-    probes = checkouts.withColumn("at", F.col("until") - length)
-    return _nearest_click(clicks.unionByName(probes, allowMissingColumns=True), ["user_id"])
+def slot_seconds(window: timedelta) -> int:
+    """Width of the time slots: a window touches nine of them at most, ten if it has no eighth."""
+    return max(1, whole_seconds(window) // 8)
 
 
-def _nearest_click(timeline: DataFrame, keys: list[str]) -> DataFrame:
-    """Probes of the timeline with the first click at or after them, if not after ``until``.
+def _nearest_click(timeline: DataFrame) -> DataFrame:
+    """Probes of the timeline with their slot's first click at or after them, if not after ``until``.
 
     Walking backwards, a click at a probe's own instant has to be passed before the probe, and the
-    lowest id of equal times last. Rows without a time stand for everything later.
+    lowest id of equal times last. A probe of an earlier slot stands before all clicks.
     """
     backwards = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("user_id", "slot")
         .orderBy(
-            F.col("at").desc_nulls_first(),
+            F.col("at").desc(),
             F.col("until").isNotNull(),
             F.col("click.event_id").desc(),
         )
@@ -134,36 +138,4 @@ def _nearest_click(timeline: DataFrame, keys: list[str]) -> DataFrame:
     )
     return timeline.withColumn("click", F.last("click", ignorenulls=True).over(backwards)).where(
         F.col("until").isNotNull() & (F.col("click.event_timestamp") <= F.col("until"))
-    ).drop("at")
-
-
-def _matched_in_slots(
-    clicks: DataFrame, checkouts: DataFrame, length: Column, slot_seconds: int
-) -> DataFrame:
-    slot = slot_of(F.col("at"), slot_seconds).alias("slot")
-    instants = clicks.groupBy("user_id", slot, "at").agg(F.min("click").alias("click"))
-    probes = (
-        checkouts.select("user_id", "until")
-        .distinct()
-        .withColumn("at", F.col("until") - length)
-        .withColumn("slot", slot)
-    )
-    per_slot = (
-        instants.select("user_id", "slot", "click")
-        .unionByName(probes.select("user_id", "slot"), allowMissingColumns=True)
-        .groupBy("user_id", "slot")
-        .agg(F.min("click").alias("click"))
-    )
-    # One row per user and slot, so a user's share is bounded by the time span, not by traffic.
-    later_slots = (
-        Window.partitionBy("user_id")
-        .orderBy(F.col("slot").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = per_slot.withColumn("click", F.last("click", ignorenulls=True).over(later_slots))
-    timeline = (
-        instants.unionByName(probes, allowMissingColumns=True)
-        .unionByName(carried.where(F.col("click").isNotNull()), allowMissingColumns=True)
     )
-    answers = _nearest_click(timeline, ["user_id", "slot"]).drop("slot")
-    return checkouts.join(answers, ["user_id", "until"])

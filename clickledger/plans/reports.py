@@ -23,7 +23,6 @@ from clickledger.functions.measures import exact_ratio, mean, rounded_mean, tota
 from clickledger.functions.times import hour_of, within_last
 from clickledger.operators.click_counts import clicks_in_window
 from clickledger.operators.first_click import ATTRIBUTION_WINDOW
-from clickledger.operators.skew import SkewPolicy
 
 AsOf = Column | datetime | None
 
@@ -185,10 +184,9 @@ def clicks_per_checkout(
     clicks: DataFrame,
     checkouts: DataFrame,
     window: timedelta = ATTRIBUTION_WINDOW,
-    skew: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
     """How many checkouts had one, a few or many clicks in the window before them."""
-    counts = clicks_in_window(clicks, checkouts, window, skew)
+    counts = clicks_in_window(clicks, checkouts, window)
     rank = click_count_rank(F.col("total_clicks_in_window")).alias("bucket_rank")
     return (
         counts.groupBy(rank)

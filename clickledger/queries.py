@@ -27,7 +27,7 @@ from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA, RULES, TableRules
 from clickledger.session import shared_dir
 from clickledger.sources import feeds, tables
 from clickledger.sources import shop_events as shop
-from clickledger.streaming.attribution import current_winners, pair_stream
+from clickledger.streaming.attribution import read_attributed
 from clickledger.streaming.pipeline import start_attribution, start_raw_checkouts, start_raw_clicks
 from clickledger.streaming.sinks import read_store
 
@@ -303,8 +303,7 @@ def streamed_attribution(window: timedelta) -> Query:
                 clicks, checkouts, f"{root}/table", f"{root}/checkpoint", window, trigger=ONCE
             )
         query.awaitTermination()
-        schema = pair_stream(clicks, checkouts, window).schema
-        winners = current_winners(spark, f"{root}/table", schema).drop("processed_at")
+        winners = read_attributed(spark, f"{root}/table").drop("processed_at")
         zone_less = {
             c: F.col(c).cast("timestamp_ntz")
             for c in ("checkout_timestamp", "first_click_timestamp")

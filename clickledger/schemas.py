@@ -58,25 +58,63 @@ USER_SCHEMA = _struct(
     lifetime_value=MONEY,
 )
 
-RAW_CLICK_COLUMNS = [
-    "event_id",
-    "user_id",
-    "session_id",
-    "product_id",
-    "product_category",
-    "referrer",
-    "device_type",
-    "event_timestamp",
-]
-
-RAW_CHECKOUT_COLUMNS = [
-    "event_id",
-    "user_id",
-    "session_id",
-    "total_amount",
-    "payment_method",
-    "event_timestamp",
-]
+_TIME = T.TimestampType()
+_CLICK = _struct(
+    event_timestamp=_TIME,
+    event_id=_TEXT,
+    product_id=_TEXT,
+    product_name=_TEXT,
+    product_category=_TEXT,
+    referrer=_TEXT,
+    device_type=_TEXT,
+)
+
+# The tables that the streaming queries store.
+EVENT_SCHEMA = _struct(
+    user_id=_TEXT,
+    event_timestamp=_TIME,
+    click=_CLICK,
+    checkout=_struct(event_id=_TEXT, total_amount=MONEY),
+)
+WINNER_SCHEMA = _struct(
+    checkout_id=_TEXT, user_id=_TEXT, checkout_timestamp=_TIME, revenue=MONEY, click=_CLICK
+)
+ATTRIBUTED_SCHEMA = _struct(
+    checkout_id=_TEXT,
+    user_id=_TEXT,
+    checkout_timestamp=_TIME,
+    attributed_click_id=_TEXT,
+    attributed_product_id=_TEXT,
+    attributed_product_name=_TEXT,
+    attributed_category=_TEXT,
+    traffic_source=_TEXT,
+    device_type=_TEXT,
+    first_click_timestamp=_TIME,
+    revenue=MONEY,
+    attribution_window_seconds=T.LongType(),
+    processed_at=_TIME,
+)
+RAW_CLICK_SCHEMA = _struct(
+    event_id=_TEXT,
+    user_id=_TEXT,
+    session_id=_TEXT,
+    product_id=_TEXT,
+    product_category=_TEXT,
+    referrer=_TEXT,
+    device_type=_TEXT,
+    event_timestamp=_TIME,
+)
+RAW_CHECKOUT_SCHEMA = _struct(
+    event_id=_TEXT,
+    user_id=_TEXT,
+    session_id=_TEXT,
+    total_amount=MONEY,
+    payment_method=_TEXT,
+    event_timestamp=_TIME,
+)
+
+RAW_CLICK_COLUMNS = RAW_CLICK_SCHEMA.names
+RAW_CHECKOUT_COLUMNS = RAW_CHECKOUT_SCHEMA.names
 
 CLICK_REQUIRED = ["event_id", "user_id", "product_id", "event_timestamp"]
 CHECKOUT_REQUIRED = ["event_id", "user_id", "total_amount", "event_timestamp"]

@@ -16,7 +16,8 @@ def build_session(
 ) -> SparkSession:
     """Create a session with the settings the library relies on.
 
-    Event times are compared across sources that spell UTC, so the session zone is UTC. With
+    Event times are compared across sources that spell UTC, so the session zone is UTC, and stored
+    times carry statistics that prune scans. With
     ``streaming`` the join state lives in RocksDB, off the heap, and each batch uploads only its
     changes. The number of shuffle partitions is fixed at a streaming query's first start, so set it
     for the cluster before. Extra Spark settings go in ``conf`` with ``__`` for dots
@@ -27,6 +28,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     )
     if streaming:
         builder = builder.config(f"{_STATE}.providerClass", _ROCKSDB).config(

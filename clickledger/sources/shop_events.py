@@ -37,8 +37,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def user_key(number: str) -> str:
-    """SQL text of a user id made from a numeric column."""
-    return f"concat('USER-', lpad(cast({number} AS STRING), {USER_DIGITS}, '0'))"
+    """SQL text of a user id made from a numeric column; numbers with more digits stay whole."""
+    return f"concat('USER-', {padded(number, USER_DIGITS)})"
+
+
+def padded(number: str, width: int) -> str:
+    text = f"cast({number} AS STRING)"
+    return f"lpad({text}, greatest(length({text}), {width}), '0')"
 
 
 def _cycle(values: list[str], index: str) -> str:
@@ -54,7 +59,7 @@ _SHARED = [
 ]
 _CLICK_COLUMNS = [
     *_SHARED,
-    "concat('PROD-', lpad(cast(product + 1 AS STRING), 4, '0')) AS product_id",
+    f"concat('PROD-', {padded('product + 1', 4)}) AS product_id",
     "concat('Product ', cast(product + 1 AS STRING)) AS product_name",
     f"{_cycle(CATEGORIES, 'product')} AS product_category",
     f"{_cycle(REFERRERS, 'k')} AS referrer",

@@ -66,8 +66,7 @@ def user_defaults(users: DataFrame) -> DataFrame:
 def users_dimension(numbers: DataFrame, as_of, width: int = 5) -> DataFrame:
     """Users by rule from their number ``i``, age in days and lifetime value.
 
-    Segments follow ``i % 3``; identifiers are padded to ``width`` digits, which must hold the largest
-    number since padding would cut longer ones.
+    Segments follow ``i % 3``; identifiers are padded to ``width`` digits, longer numbers stay whole.
     """
     i = F.col("i")
     text = i.cast("string")
@@ -75,7 +74,7 @@ def users_dimension(numbers: DataFrame, as_of, width: int = 5) -> DataFrame:
         F.when(i % 3 == 0, "premium").when(i % 3 == 1, "regular").otherwise("new")
     )
     return numbers.select(
-        F.concat(F.lit("USER-"), F.lpad(text, width, "0")).alias("user_id"),
+        F.concat(F.lit("USER-"), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))).alias("user_id"),
         F.concat(F.lit("user"), text, F.lit("@email.com")).alias("email"),
         F.concat(F.lit("FirstName"), text).alias("first_name"),
         F.concat(F.lit("LastName"), text).alias("last_name"),

@@ -16,13 +16,11 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from clickledger.operators.skew import SkewPolicy, hot_users
 from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA
 from clickledger.session import build_session
 from clickledger.sources.feeds import decode, read_stream
 from clickledger.streaming.attribution import WATERMARK
 from clickledger.streaming.pipeline import start_pipeline, wait
-from clickledger.streaming.sinks import read_if_there
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -35,9 +33,6 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--checkpoint", required=True, help="folder of the query checkpoints")
     parser.add_argument("--window-minutes", type=int, default=60)
     parser.add_argument("--watermark", default=WATERMARK)
-    parser.add_argument(
-        "--hot-user-rows", type=int, help="spread users with more stored rows than this over tasks"
-    )
     parser.add_argument("--trigger", default="30 seconds")
     parser.add_argument("--once", action="store_true", help="process what is there, then end")
     return parser.parse_args(arguments)
@@ -51,29 +46,7 @@ def open_feed(
     return decode(stream, schema, payload)
 
 
-def pinned_hot_users(
-    spark: SparkSession, tables: str, checkpoint: str, min_rows: int
-) -> DataFrame:
-    """Busy users of the stored raw tables, listed at the first start and kept with the checkpoint.
-
-    The list decides where the join keeps its state, so it must stay the same until the checkpoint is
-    given up. A first start without stored tables pins an empty list.
-    """
-    path, ids = f"{checkpoint}/hot_users", "user_id STRING"
-    pinned = read_if_there(spark, path, ids)
-    if pinned is None:
-        feeds = [read_if_there(spark, f"{tables}/{n}", ids) for n in ("raw_clicks", "raw_checkouts")]
-        stored = [feed for feed in feeds if feed is not None]
-        hot = hot_users(SkewPolicy(min_rows=min_rows), *stored) if stored else None
-        (spark.createDataFrame([], ids) if hot is None else hot).write.parquet(path)
-        pinned = spark.read.schema(ids).parquet(path)
-    return pinned
-
-
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    hot = None
-    if args.hot_user_rows is not None:
-        hot = pinned_hot_users(spark, args.tables, args.checkpoint, args.hot_user_rows)
     queries = start_pipeline(
         open_feed(spark, args.source, args.clicks, args.payload, CLICK_SCHEMA),
         open_feed(spark, args.source, args.checkouts, args.payload, CHECKOUT_SCHEMA),
@@ -82,13 +55,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         timedelta(minutes=args.window_minutes),
         args.watermark,
         {"availableNow": True} if args.once else {"processingTime": args.trigger},
-        hot,
     )
-    if args.once:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        wait(spark)
+    wait(queries, until_all=args.once)
 
 
 if __name__ == "__main__":

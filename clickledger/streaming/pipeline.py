@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -11,14 +12,21 @@ from pyspark.sql.streaming import StreamingQuery
 from clickledger.operators.first_click import ATTRIBUTION_WINDOW
 from clickledger.sources.feeds import valid_checkouts, valid_clicks
 from clickledger.sources.tables import raw_checkouts, raw_clicks
-from clickledger.streaming.attribution import TIME, WATERMARK, first_of_pairs, pair_stream
+from clickledger.schemas import EVENT_SCHEMA, RAW_CHECKOUT_SCHEMA, RAW_CLICK_SCHEMA, WINNER_SCHEMA
+from clickledger.streaming.attribution import (
+    TIME,
+    WATERMARK,
+    attributing_writer,
+    event_stream,
+    events_of,
+)
 from clickledger.streaming.sinks import (
     BatchWriter,
     checkpoint_run,
     ensure_table,
     keyed_writer,
     quarantining_writer,
-    reducing_writer,
+    read_once,
     stored_schema,
 )
 
@@ -47,14 +55,15 @@ def start_attribution(
     window: timedelta = ATTRIBUTION_WINDOW,
     delay: str = WATERMARK,
     trigger: dict = TRIGGER,
-    hot_users: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Current-winner attribution into the batch store under ``root``."""
-    pairs = pair_stream(clicks, checkouts, window, delay, hot_users)
-    ensure_table(clicks.sparkSession, root, stored_schema(pairs.schema))
-    run = checkpoint_run(clicks.sparkSession, checkpoint, "attribution")
-    writer = reducing_writer(root, first_of_pairs, "checkout_timestamp", run)
-    return start_query(pairs, writer, checkpoint, "attribution", trigger)
+    """Current-winner attribution into the batch store under ``root`` and the event store beside it."""
+    spark = clicks.sparkSession
+    ensure_table(spark, root, stored_schema(WINNER_SCHEMA))
+    ensure_table(spark, events_of(root), stored_schema(EVENT_SCHEMA))
+    run = checkpoint_run(spark, checkpoint, "attribution")
+    writer = attributing_writer(root, window, run)
+    events = event_stream(clicks, checkouts, delay)
+    return start_query(events, writer, checkpoint, "attribution", trigger)
 
 
 def start_raw_clicks(
@@ -98,7 +107,6 @@ def start_pipeline(
     window: timedelta = ATTRIBUTION_WINDOW,
     delay: str = WATERMARK,
     trigger: dict = TRIGGER,
-    hot_users: DataFrame | None = None,
 ) -> list[StreamingQuery]:
     """Start all three queries on decoded feeds; :func:`wait` for them."""
     return [
@@ -110,17 +118,35 @@ def start_pipeline(
             window,
             delay,
             trigger,
-            hot_users,
         ),
         start_raw_clicks(clicks, f"{tables}/raw_clicks", checkpoint, trigger),
         start_raw_checkouts(checkouts, f"{tables}/raw_checkouts", checkpoint, trigger),
     ]
 
 
-def wait(spark: SparkSession) -> None:
-    """Block until any query ends, then stop the others; a failed query raises here."""
+def wait(queries: list[StreamingQuery], until_all: bool = False, poll_seconds: float = 1.0) -> None:
+    """Block until any of the queries ends, or all of them, then stop the rest of these queries only.
+
+    A failed query raises here, at once in either case.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while True:
+            ended = [query for query in queries if not query.isActive]
+            for query in ended:
+                query.awaitTermination()
+            if ended and (not until_all or len(ended) == len(queries)):
+                return
+            time.sleep(poll_seconds)
     finally:
-        for query in spark.streams.active:
+        for query in queries:
             query.stop()
+
+
+def read_raw_clicks(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:
+    """The stored click table, each event once."""
+    return read_once(spark, root, RAW_CLICK_SCHEMA, "event_id", TIME, days)
+
+
+def read_raw_checkouts(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:
+    """The stored checkout table, each event once."""
+    return read_once(spark, root, RAW_CHECKOUT_SCHEMA, "event_id", TIME, days)

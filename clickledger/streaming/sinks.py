@@ -10,7 +10,6 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,12 +20,6 @@ from clickledger.sources.tables import with_load_time
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-# A batch with more days than this is compared with the whole table instead of its days.
-MAX_DAYS = 1000
-
-# Up to this many days are read by folder.
-FEW_DAYS = 7
-
 # Folder that Spark uses for rows without a date.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -76,21 +69,21 @@ def read_store(
 ) -> DataFrame:
     """Stored rows, of the given days if any.
 
-    A few days are opened one by one, so that only their folders are listed, however long the table's
-    history; more are filtered from the whole table.
+    Days are opened by their folders, so that only these are listed, however long the table's history.
     """
     whole = stored_schema(schema)
     if days is None:
         return spark.read.schema(whole).parquet(root)
-    if len(days) > FEW_DAYS:
-        day = F.col("event_date")
-        listed = day.isin([d for d in days if d is not None])
-        wanted = listed | day.isNull() if None in days else listed
-        return spark.read.schema(whole).parquet(root).where(wanted)
     folders = [f"{root}/event_date={NO_DAY if day is None else day}" for day in days]
-    parts = [read_if_there(spark, folder, whole, root) for folder in folders]
-    there = [part for part in parts if part is not None]
-    return reduce(DataFrame.unionAll, there, spark.createDataFrame([], whole))
+    there = [folder for folder in folders if _exists(spark, folder)]
+    if not there:
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).option("basePath", root).parquet(*there)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def batch_name(run: str, batch_id: int) -> str:
@@ -111,14 +104,26 @@ def _write_batch(batch: DataFrame, batch_id: str, root: str, *folders: str) -> N
     log.info("batch %s: %s rows to %s", batch_id, counted.get["rows"], root)
 
 
-def _write_by_date(batch: DataFrame, batch_id: str, root: str, time: str) -> None:
+def write_by_date(batch: DataFrame, batch_id: str, root: str, time: str) -> None:
     _write_batch(batch.withColumn("event_date", F.to_date(time)), batch_id, root, "event_date")
 
 
-def _days_of(batch: DataFrame, time: str) -> list | None:
-    """Days of the batch, or None for all days if it spans very many."""
-    days = batch.select(F.to_date(time).alias("day")).distinct().limit(MAX_DAYS + 1).collect()
-    return None if len(days) > MAX_DAYS else [row.day for row in days]
+def _span_of(batch: DataFrame, time: str) -> tuple | None:
+    """Earliest and latest time and the days of the batch, or None for an empty one."""
+    days = F.collect_set(F.coalesce(F.to_date(time).cast("string"), F.lit(NO_DAY)))
+    row = batch.agg(F.count("*").alias("n"), F.min(time).alias("low"), F.max(time).alias("high"), days.alias("days")).first()
+    if not row.n:
+        return None
+    return row.low, row.high, [None if day == NO_DAY else day for day in sorted(row.days)]
+
+
+def first_copies(events: DataFrame, key: str, time: str) -> DataFrame:
+    """One row per key: of different copies that with the earliest time, then the least columns."""
+    others = [F.col(c) for c in events.columns if c not in (key, time)]
+    copy = F.struct(F.col(time).isNull().alias("untimed"), F.col(time), *others)
+    return events.groupBy(key).agg(F.min(copy).alias("copy")).select(
+        *[F.col(key) if c == key else F.col(f"copy.{c}").alias(c) for c in events.columns]
+    )
 
 
 def keyed_writer(
@@ -126,28 +131,68 @@ def keyed_writer(
 ) -> BatchWriter:
     """Append writer that stores each key once.
 
-    Copies inside the batch are combined first. Copies of earlier batches carry the same event time,
-    so they are found by an anti-join against the stored keys of the batch's own days only.
+    Of the copies inside a batch the first one stays, whatever their order, so a replay writes the same
+    folders. Repeats of earlier batches carry the same event time: they are found by an anti-join on
+    time and key, against rows stored between the batch's earliest and latest time only. Copies that
+    differ in their time are both stored; :func:`read_once` keeps the earlier.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         name = batch_name(run, batch_id)
-        batch = batch.dropDuplicates([key]).persist()
+        batch = first_copies(batch.select(*schema.names), key, time).persist()
         try:
-            days = _days_of(batch, time)
-            if days == []:
+            span = _span_of(batch, time)
+            if span is None:
                 log.info("batch %s: nothing to write to %s", name, root)
                 return
-            stored = read_store(batch.sparkSession, root, schema, days)
-            earlier = stored.where(F.col("batch_id") != name).select(key)
-            fresh = batch.join(earlier, key, "left_anti")
-            _write_by_date(fresh.select(*schema.names), name, root, time)
+            low, high, days = span
+            stored = read_store(batch.sparkSession, root, schema, days).where(F.col("batch_id") != name)
+            timed = stored.where(F.col(time).isNull() | F.col(time).between(F.lit(low), F.lit(high)))
+            earlier = timed.select(F.col(key).alias("stored_key"), F.col(time).alias("stored_time"))
+            repeated = (F.col(key) == F.col("stored_key")) & F.col(time).eqNullSafe(F.col("stored_time"))
+            write_by_date(batch.join(earlier, repeated, "left_anti"), name, root, time)
         finally:
             batch.unpersist()
 
     return write
 
 
+def read_once(
+    spark: SparkSession, root: str, schema: T.StructType, key: str, time: str, days: list | None = None
+) -> DataFrame:
+    """The table's rows, one per key: of copies with different times the earliest."""
+    return first_copies(read_store(spark, root, schema, days).select(*schema.names), key, time)
+
+
+def compact_days(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    days: list[str],
+    time: str,
+    merge: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Put the files of closed days, which no batch adds to any more, into one folder a day.
+
+    ``merge`` is the reduction that readers of the table apply, so a stop between writing the merged
+    folder and dropping the old ones shows them nothing twice, and the next call finishes the work.
+    """
+    stored = read_store(spark, root, schema, days)
+    folders = stored.select("event_date", "batch_id").distinct().collect()  # of these days only
+    name = f"compacted-{uuid.uuid4().hex}"
+    merged = merge(stored.drop("event_date", "batch_id"))
+    merged = merged.withColumn("event_date", F.to_date(time)).withColumn("batch_id", F.lit(name))
+    merged = merged.repartition("event_date")
+    merged.write.mode("append").partitionBy("event_date", "batch_id").parquet(root)
+    for row in folders:
+        _delete(spark, f"{root}/event_date={row.event_date}/batch_id={row.batch_id}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def quarantining_writer(
     split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
     shape: Callable[[DataFrame], DataFrame],
@@ -162,28 +207,14 @@ def quarantining_writer(
         valid, bad = split(batch.persist())
         try:
             write_valid(shape(valid), batch_id)
-            _write_batch(bad, batch_name(run, batch_id), quarantine)
+            if not bad.isEmpty():
+                _write_batch(bad, batch_name(run, batch_id), quarantine)
         finally:
             batch.unpersist()
 
     return write
 
 
-def reducing_writer(
-    root: str, reduce_batch: Callable[[DataFrame], DataFrame], time: str, run: str = ""
-) -> BatchWriter:
-    """Writer for partial results: reduce the batch, store it under its batch id.
-
-    Rows of one key in several batches are merged by the reader, which must be a reduction that does
-    not depend on order.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _write_by_date(reduce_batch(batch), batch_name(run, batch_id), root, time)
-
-    return write
-
-
 def jdbc_writer(
     url: str, table: str, properties: dict[str, str], connections: int = 8
 ) -> BatchWriter:

@@ -12,7 +12,7 @@ AS_OF = "(SELECT max(ts) FROM events)"
 FEEDS = f"""
 raw_clicks AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
-         concat('USER-', lpad(CAST(user_id AS VARCHAR), 9, '0')) AS user_id,
+         concat('USER-', lpad(CAST(user_id AS VARCHAR), greatest(length(CAST(user_id AS VARCHAR)), 9), '0')) AS user_id,
          concat('SESSION-', CAST(event_id AS VARCHAR)) AS session_id,
          concat('PROD-', lpad(CAST({K} % 50 + 1 AS VARCHAR), 4, '0')) AS product_id,
          concat('Product ', CAST({K} % 50 + 1 AS VARCHAR)) AS product_name,
@@ -27,7 +27,7 @@ raw_clicks AS (
   FROM events WHERE event_type = 'click'),
 raw_checkouts AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
-         concat('USER-', lpad(CAST(user_id AS VARCHAR), 9, '0')) AS user_id,
+         concat('USER-', lpad(CAST(user_id AS VARCHAR), greatest(length(CAST(user_id AS VARCHAR)), 9), '0')) AS user_id,
          concat('SESSION-', CAST(event_id AS VARCHAR)) AS session_id,
          CAST(value AS DECIMAL(10,2)) AS total_amount,
          CASE {K} % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' WHEN 2 THEN 'paypal'
@@ -35,7 +35,7 @@ raw_checkouts AS (
          ts AS event_timestamp
   FROM events WHERE event_type = 'purchase'),
 users AS (
-  SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS user_id,
+  SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 9), '0')) AS user_id,
          c_mktsegment AS customer_segment,
          CAST(c_acctbal AS DECIMAL(10,2)) AS lifetime_value
   FROM customer)
@@ -314,7 +314,7 @@ ORACLE: dict[str, str] = {
        product_category, product_price, session_id, device_type,
        concat('/products/', product_id) AS page_url, referrer, event_timestamp FROM raw_clicks"""),
     "parse_checkouts_nested": """SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
-       concat('USER-', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) AS user_id,
+       concat('USER-', lpad(CAST(o_custkey AS VARCHAR), greatest(length(CAST(o_custkey AS VARCHAR)), 9), '0')) AS user_id,
        o_orderdate AS event_timestamp,
        CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS total_amount,
        COUNT(*) AS item_count, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity,
@@ -353,7 +353,7 @@ GROUP BY o_orderkey, o_custkey, o_orderdate, o_totalprice""",
     "mv_category_performance": with_attributed(CATEGORY),
     "mv_device_analysis": with_attributed(MV_DEVICE),
     "refresh_summaries": with_attributed(MV_SOURCE),
-    "users_dimension": """SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS user_id,
+    "users_dimension": """SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 9), '0')) AS user_id,
        concat('user', CAST(c_custkey AS VARCHAR), '@email.com') AS email,
        concat('FirstName', CAST(c_custkey AS VARCHAR)) AS first_name,
        concat('LastName', CAST(c_custkey AS VARCHAR)) AS last_name,

@@ -1,4 +1,4 @@
-"""First click and click counts: hand cases, and brute force on both the ordinary and sliced path."""
+"""First click and click counts: hand cases and brute force."""
 
 from __future__ import annotations
 
@@ -11,38 +11,29 @@ from pyspark.sql import functions as F
 from clickledger.operators.click_counts import clicks_in_window
 from clickledger.operators.first_click import first_click_attribution
 from clickledger.operators.interval_join import attribution_pairs
-from clickledger.operators.skew import SkewPolicy, hot_users
-
-ORDINARY = SkewPolicy()
-ALL_HOT = SkewPolicy(min_rows=0, slot_seconds=60)
-ONE_HOT = SkewPolicy(min_rows=0, max_users=1, slot_seconds=7)
-PATHS = pytest.mark.parametrize("skew", [ORDINARY, ALL_HOT, ONE_HOT], ids=["plain", "hot", "one"])
 
 
 def credited(df):
     return {r.checkout_id: r.attributed_click_id for r in df.collect()}
 
 
-@PATHS
-def test_earliest_click_wins(make_clicks, make_checkouts, skew):
+def test_earliest_click_wins(make_clicks, make_checkouts):
     clicks = make_clicks(
         ("c1", "u", "2024-01-01 10:30:00"),
         ("c2", "u", "2024-01-01 10:27:00"),
         ("c3", "v", "2024-01-01 10:20:00"),
     )
     checkouts = make_checkouts(("k", "u", "2024-01-01 10:40:00", "9.99"))
-    assert credited(first_click_attribution(clicks, checkouts, skew=skew)) == {"k": "c2"}
+    assert credited(first_click_attribution(clicks, checkouts)) == {"k": "c2"}
 
 
-@PATHS
-def test_equal_times_go_to_the_lower_id_as_text(make_clicks, make_checkouts, skew):
+def test_equal_times_go_to_the_lower_id_as_text(make_clicks, make_checkouts):
     at = "2024-01-01 10:30:00"
     clicks = make_clicks(("9", "u", at), ("10", "u", at), ("11", "u", at))
     checkouts = make_checkouts(("k", "u", "2024-01-01 10:40:00", "1"), ("m", "u", at, "1"))
-    assert credited(first_click_attribution(clicks, checkouts, skew=skew)) == {"k": "10", "m": "10"}
+    assert credited(first_click_attribution(clicks, checkouts)) == {"k": "10", "m": "10"}
 
 
-@PATHS
 @pytest.mark.parametrize(
     "at, inside",
     [
@@ -52,12 +43,12 @@ def test_equal_times_go_to_the_lower_id_as_text(make_clicks, make_checkouts, ske
         ("2024-01-01 08:59:59.999999", False),
     ],
 )
-def test_both_bounds_are_included(make_clicks, make_checkouts, skew, at, inside):
+def test_both_bounds_are_included(make_clicks, make_checkouts, at, inside):
     clicks = make_clicks(("c", "u", at))
     checkouts = make_checkouts(("k", "u", "2024-01-01 10:00:00", "1"))
     expected = 1 if inside else 0
-    assert first_click_attribution(clicks, checkouts, skew=skew).count() == expected
-    assert clicks_in_window(clicks, checkouts, skew=skew).count() == expected
+    assert first_click_attribution(clicks, checkouts).count() == expected
+    assert clicks_in_window(clicks, checkouts).count() == expected
     assert attribution_pairs(clicks, checkouts).count() == expected
 
 
@@ -68,9 +59,8 @@ def test_seconds_truncate_each_side_first(make_clicks, make_checkouts):
     assert row.attribution_window_seconds == 2
 
 
-@PATHS
 def test_a_click_may_serve_two_checkouts_and_a_checkout_may_have_none(
-    make_clicks, make_checkouts, skew
+    make_clicks, make_checkouts
 ):
     clicks = make_clicks(("c", "u", "2024-01-01 10:00:00"))
     checkouts = make_checkouts(
@@ -79,12 +69,11 @@ def test_a_click_may_serve_two_checkouts_and_a_checkout_may_have_none(
         ("k3", "u", "2024-01-01 12:00:00", "1"),
         ("k4", "w", "2024-01-01 10:10:00", "1"),
     )
-    result = first_click_attribution(clicks, checkouts, skew=skew)
+    result = first_click_attribution(clicks, checkouts)
     assert credited(result) == {"k1": "c", "k2": "c"}
 
 
-@PATHS
-def test_repeated_deliveries_and_nulls(make_clicks, make_checkouts, skew):
+def test_repeated_deliveries_and_nulls(make_clicks, make_checkouts):
     clicks = make_clicks(
         ("c", "u", "2024-01-01 10:00:00"),
         ("c", "u", "2024-01-01 10:00:00"),
@@ -97,9 +86,9 @@ def test_repeated_deliveries_and_nulls(make_clicks, make_checkouts, skew):
         ("n", None, "2024-01-01 10:10:00", "1"),
         ("z", "u", None, "1"),
     )
-    assert credited(first_click_attribution(clicks, checkouts, skew=skew)) == {"k": "c"}
+    assert credited(first_click_attribution(clicks, checkouts)) == {"k": "c"}
     # Two copies of the click for each of two copies of the checkout, as a join would count them.
-    counts = clicks_in_window(clicks, checkouts, skew=skew).collect()
+    counts = clicks_in_window(clicks, checkouts).collect()
     assert [(r.checkout_id, r.total_clicks_in_window) for r in counts] == [("k", 4)]
 
 
@@ -121,9 +110,8 @@ def _random_feeds(seed: int):
     return events("c", 120), events("k", 80)
 
 
-@PATHS
 @pytest.mark.parametrize("seed, window", [(1, 60), (2, 61), (3, 300), (4, 3600)])
-def test_brute_force(make_clicks, make_checkouts, skew, seed, window):
+def test_brute_force(make_clicks, make_checkouts, seed, window):
     clicks, checkouts = _random_feeds(seed)
     span = timedelta(seconds=window)
     found = {
@@ -132,12 +120,12 @@ def test_brute_force(make_clicks, make_checkouts, skew, seed, window):
     }
     click_df = make_clicks(*[(c, u, str(t)) for c, u, t in clicks])
     checkout_df = make_checkouts(*[(k, u, str(t), "1.50") for k, u, t in checkouts])
-    first = first_click_attribution(click_df, checkout_df, span, skew=skew).collect()
+    first = first_click_attribution(click_df, checkout_df, span).collect()
     assert {r.checkout_id: (r.first_click_timestamp, r.attributed_click_id) for r in first} == {
         k: pairs[0] for (k, _), pairs in found.items() if pairs
     }
     assert all(0 <= r.attribution_window_seconds <= window for r in first)
-    counts = clicks_in_window(click_df, checkout_df, span, skew=skew).collect()
+    counts = clicks_in_window(click_df, checkout_df, span).collect()
     assert {r.checkout_id: r.total_clicks_in_window for r in counts} == {
         k: len(pairs) for (k, _), pairs in found.items() if pairs
     }
@@ -159,14 +147,6 @@ def test_since_prunes_without_changing_rows(make_clicks, make_checkouts):
     assert sorted(pruned.collect()) == sorted(kept.collect())
 
 
-def test_hot_list_takes_the_busiest_users_up_to_its_bound(spark):
-    feed = spark.createDataFrame([(u,) for u in "aaaabbbc"], "user_id STRING")
-    assert hot_users(SkewPolicy(min_rows=3), feed, feed).count() == 2
-    top = hot_users(SkewPolicy(min_rows=1, max_users=1), feed)
-    assert [r.user_id for r in top.collect()] == ["a"]
-    assert hot_users(SkewPolicy(min_rows=100), feed) is None
-
-
 def test_windows_are_whole_seconds(make_clicks, make_checkouts):
     clicks, checkouts = make_clicks(("c", "u", None)), make_checkouts(("k", "u", None, "1"))
     for window in (timedelta(0), timedelta(milliseconds=1500), timedelta(seconds=-5)):

@@ -8,7 +8,6 @@ import pytest
 
 import compare
 from clickledger.operators.first_click import first_click_attribution
-from clickledger.operators.skew import SkewPolicy
 from clickledger.queries import QUERIES
 from clickledger.session import shared_dir
 from clickledger.sources import shop_events as shop
@@ -47,17 +46,5 @@ def test_attribution_shuffles_each_feed_once_by_user(spark):
     assert tree.count("Exchange") == 2 and "Join" not in tree
 
 
-def test_hot_users_are_the_only_broadcast(spark):
-    clicks, checkouts = shop.clicks(spark, SMALL), shop.checkouts(spark, SMALL)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = first_click_attribution(clicks, checkouts, skew=SkewPolicy(min_rows=5))
-        tree = compare.plan_text(split).split("(1) Scan")[0]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert tree.count("BroadcastHashJoin LeftAnti") == 2
-    assert tree.count("BroadcastHashJoin Inner") == 0 and tree.count("SortMergeJoin Inner") == 1
-
-
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -10,26 +10,34 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickledger.operators.first_click import first_click_attribution
-from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA
+from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA, EVENT_SCHEMA, WINNER_SCHEMA
 from clickledger.sources.feeds import decode, read_stream, valid_checkouts, valid_clicks
 from clickledger.sources.tables import raw_checkouts
 from clickledger.streaming.attribution import (
+    attributing_writer,
     current_winners,
+    events_of,
     final_winners,
-    first_of_pairs,
     pair_stream,
     read_attributed,
     settle_days,
 )
 from clickledger.streaming.job import parse_arguments, run
-from clickledger.streaming.pipeline import start_attribution, start_pipeline
+from clickledger.streaming.pipeline import (
+    read_raw_checkouts,
+    read_raw_clicks,
+    start_attribution,
+    start_pipeline,
+    wait,
+)
 from clickledger.streaming.sinks import (
     checkpoint_run,
+    compact_days,
     ensure_table,
+    first_copies,
     jdbc_writer,
     keyed_writer,
     read_store,
-    reducing_writer,
     stored_schema,
 )
 
@@ -89,8 +97,7 @@ class Feeds:
         return query
 
     def winners(self):
-        schema = pair_stream(*self.valid_streams()).schema
-        return current_winners(self.spark, str(self.root / "table"), schema)
+        return current_winners(self.spark, str(self.root / "table"))
 
 
 @pytest.fixture
@@ -128,7 +135,7 @@ def test_clicks_behind_the_watermark_are_dropped_from_the_join_only(spark, feeds
         query.awaitTermination()
     assert [q.name for q in queries] == ["attribution", "clicks", "checkouts"]
     store = str(tmp_path / "tables/attributed_checkouts")
-    winners = current_winners(spark, store, pair_stream(*feeds.valid_streams()).schema)
+    winners = current_winners(spark, store)
     assert credited(winners) == [("k1", "c1"), ("k2", "c1")]
     stored = spark.read.parquet(str(tmp_path / "tables/raw_clicks"))
     assert sorted(r.event_id for r in stored.collect()) == ["c1", "c2", "late"]
@@ -136,17 +143,6 @@ def test_clicks_behind_the_watermark_are_dropped_from_the_join_only(spark, feeds
     assert [(r.event_id, r.timestamp) for r in apart] == [("bad", "noonZ")]
 
 
-def test_hot_users_are_spread_without_changing_the_result(spark, feeds):
-    clicks = [(f"c{i}", "ab"[i % 2], f"2024-01-01T10:{i:02d}:00") for i in range(20)]
-    checkouts = [(f"k{i}", "ab"[i % 2], f"2024-01-01T10:{i:02d}:30") for i in range(20)]
-    feeds.add(clicks, checkouts)
-    hot = spark.createDataFrame([("a",)], "user_id STRING")
-    feeds.attribute(hot_users=hot)
-    assert credited(feeds.winners()) == sorted(
-        [(f"k{i}", "c0" if i % 2 == 0 else "c1") for i in range(20)]
-    )
-
-
 def test_stream_equals_batch(spark, feeds):
     """Time-ordered events in several files, every fourth one delivered twice."""
     start = datetime(2024, 1, 1)
@@ -180,13 +176,12 @@ def test_stream_equals_batch(spark, feeds):
     expected = sorted(batch.collect())
     assert len(expected) > 30 and sorted(winners.collect()) == expected
 
-    schema = pair_stream(*feeds.valid_streams()).schema
     settled = str(feeds.root / "settled")
     for _ in range(2):
-        settle_days(spark, str(feeds.root / "table"), schema, settled, ["2024-01-01"])
+        settle_days(spark, str(feeds.root / "table"), settled, ["2024-01-01"])
         assert sorted(spark.read.parquet(settled).select(*batch.columns).collect()) == expected
     for open_day in ("2024-01-01", "2024-01-02"):
-        table = read_attributed(spark, str(feeds.root / "table"), schema, settled, [open_day])
+        table = read_attributed(spark, str(feeds.root / "table"), settled, [open_day])
         assert sorted(table.drop("processed_at").collect()) == expected
 
 
@@ -220,26 +215,42 @@ def test_final_winner_waits_for_window_and_watermark(spark, feeds):
 
 
 def test_job_runs_from_the_command_line_arguments(spark, feeds):
-    """Twice on one checkpoint, then on a new one, where the stored tables name the hot user."""
+    """Twice on one checkpoint, then on a new one."""
 
     def job(checkpoint):
         args = [
             *["--source", "text", "--clicks", f"path={feeds.root}/clicks"],
-            *["--checkouts", f"path={feeds.root}/checkouts", "--once", "--hot-user-rows", "3"],
+            *["--checkouts", f"path={feeds.root}/checkouts", "--once"],
             *["--tables", f"{feeds.root}/out", "--checkpoint", f"{feeds.root}/{checkpoint}"],
         ]
         run(spark, parse_arguments(args))
-        listed = spark.read.parquet(f"{feeds.root}/{checkpoint}/hot_users")
-        schema = pair_stream(*feeds.valid_streams()).schema
-        store = f"{feeds.root}/out/attributed_checkouts"
-        return listed.count(), credited(current_winners(spark, store, schema))
+        return credited(read_attributed(spark, f"{feeds.root}/out/attributed_checkouts"))
 
     feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k1", "u", "2024-01-01T10:40:00")])
-    assert job("first") == (0, [("k1", "c1")])
+    assert job("first") == [("k1", "c1")]
     feeds.add([("c2", "u", "2024-01-01T10:41:00")], [("k2", "u", "2024-01-01T10:42:00")])
     expected = [("k1", "c1"), ("k2", "c1")]
-    assert job("first") == (0, expected)
-    assert job("second") == (1, expected)
+    assert job("first") == expected
+    assert job("second") == expected
+    clicks = read_raw_clicks(spark, f"{feeds.root}/out/raw_clicks")
+    assert sorted(r.event_id for r in clicks.collect()) == ["c1", "c2"]
+    assert read_raw_checkouts(spark, f"{feeds.root}/out/raw_checkouts").count() == 2
+
+
+def test_waiting_ends_with_a_failed_query_and_leaves_others_alone(spark, feeds, tmp_path, monkeypatch):
+    """The 30-second form, with a failing raw sink: the pipeline stops, another query runs on."""
+    feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k1", "u", "2024-01-01T10:40:00")])
+    other = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "other")).start()
+    clicks, checkouts = feeds.streams()
+
+    monkeypatch.setattr("clickledger.streaming.pipeline.raw_clicks", lambda df: df.select("event_id", F.raise_error(F.lit("disk full"))))
+    try:
+        queries = start_pipeline(clicks, checkouts, str(tmp_path / "tables"), str(tmp_path / "cp"))
+        with pytest.raises(Exception):
+            wait(queries, poll_seconds=0.2)
+        assert not any(query.isActive for query in queries) and other.isActive
+    finally:
+        other.stop()
 
 
 @pytest.fixture
@@ -250,9 +261,7 @@ def checkout_store(spark, make_checkouts, tmp_path):
     return root, schema
 
 
-def test_keyed_writer_survives_replays_and_repeats(
-    spark, make_checkouts, checkout_store, monkeypatch
-):
+def test_keyed_writer_survives_replays_and_repeats(spark, make_checkouts, checkout_store):
     root, schema = checkout_store
     write = keyed_writer(root, schema, "event_id", "event_timestamp")
     k1 = ("k1", "u", "2024-01-01 23:59:00", "1")
@@ -272,11 +281,35 @@ def test_keyed_writer_survives_replays_and_repeats(
         assert stored() == [("k1", "0"), ("k2", "0"), ("k3", "1")]
     write(first.limit(0), 3)
     assert len(stored()) == 3
-    # Batches with many days find earlier copies too, by filter or in the whole table.
-    for limit in ("FEW_DAYS", "MAX_DAYS"):
-        monkeypatch.setattr(f"clickledger.streaming.sinks.{limit}", 1)
-        write(first.union(second), 4)
-        assert len(stored()) == 3
+    days = [(f"d{i}", "u", f"2023-{i % 12 + 1:02d}-{i // 12 + 1:02d} 10:00:00", "1") for i in range(60)]
+    for batch_id in (4, 5):
+        write(raw_checkouts(make_checkouts(*days)), batch_id)
+        assert len(stored()) == 63
+
+
+def test_copies_that_differ_are_read_once(spark, make_checkouts, checkout_store):
+    """The earliest copy counts, in any order of rows and batches; a replay changes nothing."""
+    root, schema = checkout_store
+    write = keyed_writer(root, schema, "event_id", "event_timestamp")
+    early = ("k", "u", "2024-01-01 23:00:00", "1")
+    late, later = ("k", "u", "2024-01-02 01:00:00", "2"), ("k", "u", "2024-01-03 01:00:00", "3")
+    write(raw_checkouts(make_checkouts(late, later)), 0)
+    for rows in ((early, later), (later, early)):
+        write(raw_checkouts(make_checkouts(*rows)), 1)
+        assert read_store(spark, root, schema).count() == 2
+    assert [str(r.total_amount) for r in read_raw_checkouts(spark, root).collect()] == ["1.00"]
+
+
+def test_closed_days_are_compacted(spark, make_checkouts, checkout_store):
+    root, schema = checkout_store
+    write = keyed_writer(root, schema, "event_id", "event_timestamp")
+    for i in range(4):
+        write(raw_checkouts(make_checkouts((f"k{i}", "u", "2024-01-01 10:00:00", "1"))), i)
+    before = sorted(read_raw_checkouts(spark, root).collect())
+    for _ in range(2):
+        compact_days(spark, root, schema, ["2024-01-01"], "event_timestamp", lambda df: first_copies(df, "event_id", "event_timestamp"))
+        assert sorted(read_raw_checkouts(spark, root).collect()) == before
+        assert read_store(spark, root, schema).select("batch_id").distinct().count() == 1
 
 
 def test_batches_of_a_new_checkpoint_do_not_replace_earlier_ones(
@@ -298,31 +331,26 @@ def test_stored_raw_amounts_are_exact_decimals(spark, make_checkouts, checkout_s
     assert dict(read_store(spark, root, schema).dtypes)["total_amount"] == "decimal(10,2)"
 
 
-def test_reducing_writer_is_idempotent(spark, make_clicks, tmp_path):
-    pairs = spark.sql(
-        "SELECT 'k' AS checkout_id, 'u' AS user_id, TIMESTAMP'2024-01-01 10:00:00' AS "
-        "checkout_timestamp, CAST(1 AS DECIMAL(10,2)) AS revenue"
-    ).crossJoin(
-        make_clicks(("c2", "u", "2024-01-01 09:50:00"), ("c1", "u", "2024-01-01 09:40:00")).select(
-            F.struct(
-                "event_timestamp",
-                "event_id",
-                "product_id",
-                "product_name",
-                "product_category",
-                "referrer",
-                "device_type",
-            ).alias("click")
-        )
-    )
+def test_attributing_writer_is_idempotent_and_skips_empty_batches(spark, tmp_path):
     root = str(tmp_path / "winners")
-    ensure_table(spark, root, stored_schema(pairs.schema))
-    write = reducing_writer(root, first_of_pairs, "checkout_timestamp")
-    for _ in range(2):
-        write(pairs, 0)
-        assert read_store(spark, root, pairs.schema).count() == 1
-    write(pairs.limit(0), 1)
-    assert credited(current_winners(spark, root, pairs.schema)) == [("k", "c1")]
+    ensure_table(spark, root, stored_schema(WINNER_SCHEMA))
+    ensure_table(spark, events_of(root), stored_schema(EVENT_SCHEMA))
+
+    def event(kind, key, at):
+        at = datetime.fromisoformat(f"2024-01-01T{at}")
+        click = (at, key, "P", None, None, None, None) if kind == "click" else None
+        return ("u", at, click, None if click else (key, None))
+
+    def batch(*events):
+        return spark.createDataFrame([event(*e) for e in events], EVENT_SCHEMA)
+
+    write = attributing_writer(root)
+    first = batch(("click", "c2", "09:50:00"), ("checkout", "k", "10:00:00"), ("checkout", "m", "12:00:00"))
+    second = batch(("click", "c1", "09:40:00"), ("click", "c3", "09:55:00"))
+    for rows, batch_id in [(first, 0), (first, 0), (second, 1), (second, 1), (first.limit(0), 2)]:
+        write(rows, batch_id)
+    assert credited(current_winners(spark, root)) == [("k", "c1")]
+    assert sorted(r.batch_id for r in read_store(spark, root, WINNER_SCHEMA).collect()) == ["0", "1"]
 
 
 def test_a_failing_sink_ends_the_query(feeds, monkeypatch):
