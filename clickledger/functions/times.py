@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -23,16 +24,26 @@ def hour_of(df: DataFrame, name: str) -> Column:
     return F.date_trunc("hour", F.col(name)).cast(df.schema[name].dataType)
 
 
-def as_of_column(as_of: Column | datetime | None) -> Column:
-    """The clock that "last N hours" filters follow: given, or now."""
+#: A clock: given, a function of how far to look back, or None for now.
+AsOf = Column | datetime | Callable[[timedelta], Column] | None
+
+
+def before(as_of: AsOf, back: timedelta) -> Column:
+    """The time ``back`` before the clock.
+
+    A clock that is a subquery should be a function, which subtracts inside the subquery: only then is
+    the bound a plain value to the scan, and pushed into it.
+    """
+    if callable(as_of) and not isinstance(as_of, Column):
+        return as_of(back)
     if as_of is None:
-        return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+        as_of = F.current_timestamp()
+    return (as_of if isinstance(as_of, Column) else F.lit(as_of)) - F.lit(back)
 
 
-def within_last(column: Column, hours: float, as_of: Column | datetime | None = None) -> Column:
+def within_last(column: Column, hours: float, as_of: AsOf = None) -> Column:
     """True for times not older than ``hours`` before ``as_of``."""
-    return column >= as_of_column(as_of) - F.lit(timedelta(hours=hours))
+    return column >= before(as_of, timedelta(hours=hours))
 
 
 def slot_of(column: Column, seconds: int) -> Column:

@@ -17,7 +17,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickledger.functions.times import elapsed_seconds, slot_of, slots_between, whole_seconds
+from clickledger.functions.times import AsOf, before, elapsed_seconds, slot_of, slots_between, whole_seconds
 
 ATTRIBUTION_WINDOW = timedelta(hours=1)
 
@@ -38,7 +38,7 @@ def first_click_attribution(
     clicks: DataFrame,
     checkouts: DataFrame,
     window: timedelta = ATTRIBUTION_WINDOW,
-    since: Column | None = None,
+    since: AsOf = None,
 ) -> DataFrame:
     """One row per checkout that has a click of the same user in ``[checkout - window, checkout]``.
 
@@ -51,15 +51,15 @@ def first_clicks(
     clicks: DataFrame,
     checkouts: DataFrame,
     window: timedelta = ATTRIBUTION_WINDOW,
-    since: Column | None = None,
+    since: AsOf = None,
 ) -> DataFrame:
     """As :func:`first_click_attribution`, with checkout columns and the credited ``click`` struct."""
     width = slot_seconds(window)
     length = F.lit(window)
     clicks, checkouts = usable(clicks), usable(checkouts)
     if since is not None:
-        checkouts = checkouts.where(F.col("event_timestamp") >= since)
-        clicks = clicks.where(F.col("event_timestamp") >= since - length)
+        checkouts = checkouts.where(F.col("event_timestamp") >= before(since, timedelta(0)))
+        clicks = clicks.where(F.col("event_timestamp") >= before(since, window))
 
     clicks = clicks.select(
         "user_id",

@@ -13,19 +13,25 @@ from clickledger.schemas import MONEY, TableRules
 def audit_table(name: str, table: DataFrame, rules: TableRules) -> DataFrame:
     """(table_name, rule, column_name, violations), zero where the rule holds.
 
-    A UNIQUE violation is one key value stored more than once. Rules on columns that the table lacks
-    are left out.
+    A UNIQUE violation is one key value stored more than once. A required column or a key that the
+    table lacks is violated by every row; length and money rules on absent columns are left out. All
+    rules of a table share one scan and one shuffle: row checks are counted along with the keys.
     """
-    parts = [_duplicate_keys(name, table, rules)]
+    keys = [c for c in rules.key if c in table.columns]
     checks = _row_checks(table, rules)
-    if checks:
-        # All row checks share one pass; only one row of counters leaves each task.
-        counters = [F.count_if(failed).alias(f"c{n}") for n, (_, _, failed) in enumerate(checks)]
-        rows = [
-            _result(name, rule, column, F.col(f"c{n}")) for n, (rule, column, _) in enumerate(checks)
-        ]
-        parts.append(table.agg(*counters).select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionAll, parts)
+    counters = [F.count_if(failed).alias(f"c{n}") for n, (_, _, failed) in enumerate(checks)]
+    by_key = table.groupBy(*keys).agg(F.count("*").alias("rows"), *counters)
+    if len(keys) < len(rules.key):
+        repeated = F.coalesce(F.sum("rows"), F.lit(0))
+    else:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+        repeated = F.count_if(present & (F.col("rows") > 1))
+    results = [_result(name, "UNIQUE", ",".join(rules.key), repeated)]
+    results += [
+        _result(name, rule, column, F.coalesce(F.sum(f"c{n}"), F.lit(0)))
+        for n, (rule, column, _) in enumerate(checks)
+    ]
+    return by_key.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
 def audit_constraints(tables: dict[str, tuple[DataFrame, TableRules]]) -> DataFrame:
@@ -34,16 +40,11 @@ def audit_constraints(tables: dict[str, tuple[DataFrame, TableRules]]) -> DataFr
     )
 
 
-def _duplicate_keys(name: str, table: DataFrame, rules: TableRules) -> DataFrame:
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rules.key])
-    repeated = table.where(present).groupBy(*rules.key).agg(F.count("*").alias("n"))
-    result = _result(name, "UNIQUE", ",".join(rules.key), F.count_if(F.col("n") > 1))
-    return repeated.agg(result.alias("r")).select("r.*")
-
-
 def _row_checks(table: DataFrame, rules: TableRules) -> list[tuple[str, str, Column]]:
     stored = set(table.columns)
-    checks = [("NOT NULL", c, F.col(c).isNull()) for c in rules.required if c in stored]
+    checks = [
+        ("NOT NULL", c, F.col(c).isNull() if c in stored else F.lit(True)) for c in rules.required
+    ]
     checks += [
         ("MAX LENGTH", c, F.length(c) > n) for c, n in rules.max_length.items() if c in stored
     ]

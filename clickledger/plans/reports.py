@@ -7,7 +7,7 @@ first.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +20,10 @@ from clickledger.functions.buckets import (
     purchase_delay_rank,
 )
 from clickledger.functions.measures import exact_ratio, mean, rounded_mean, total, wide
-from clickledger.functions.times import hour_of, within_last
+from clickledger.functions.times import AsOf, hour_of, within_last
 from clickledger.operators.click_counts import clicks_in_window
 from clickledger.operators.first_click import ATTRIBUTION_WINDOW
 
-AsOf = Column | datetime | None
 
 
 def revenue_by_source(attributed: DataFrame) -> DataFrame:

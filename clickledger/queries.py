@@ -23,13 +23,20 @@ from clickledger.plans import reports
 from clickledger.plans.quality import audit_constraints
 from clickledger.plans.stats import table_sample, table_stats
 from clickledger.plans.summaries import SUMMARIES, read_summary, refresh_all
-from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA, RULES, TableRules
+from clickledger.schemas import (
+    CHECKOUT_SCHEMA,
+    CLICK_SCHEMA,
+    RAW_CHECKOUT_SCHEMA,
+    RAW_CLICK_SCHEMA,
+    RULES,
+    TableRules,
+)
 from clickledger.session import shared_dir
 from clickledger.sources import feeds, tables
 from clickledger.sources import shop_events as shop
 from clickledger.streaming.attribution import read_attributed
 from clickledger.streaming.pipeline import start_attribution, start_raw_checkouts, start_raw_clicks
-from clickledger.streaming.sinks import read_store
+from clickledger.streaming.sinks import keyed_writer, read_recent, read_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +64,11 @@ def attributed(
     """Attribution over the folder's feeds; ``last_hours`` prunes both scans for recent reports."""
     since = None
     if last_hours is not None:
-        since = shop.latest_event_time(spark, folder) - F.lit(timedelta(hours=last_hours))
+        clock, span = shop.clock(spark, folder), timedelta(hours=last_hours)
+
+        def since(back: timedelta) -> F.Column:
+            return clock(span + back)
+
     return first_click_attribution(
         shop.clicks(spark, folder), shop.checkouts(spark, folder), window, since
     )
@@ -100,10 +111,7 @@ def parse_clicks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def checkout_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """One message per order line, its item nested in an array; no line is collected anywhere.
-
-    Orders grow with their lines, so that join is a shuffled one at any scale.
-    """
+    """One message per order with all its lines as items, so as many as a basket holds."""
     part = shop.table(spark, folder, "part").select("p_partkey", "p_name")
     lines = shop.table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity"
@@ -117,17 +125,18 @@ def checkout_payloads(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),
     )
-    record = (
+    baskets = (
         lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("o_orderkey").cast("string").alias("event_id"),
-            F.expr(shop.user_key("o_custkey")).alias("user_id"),
-            wire_time("o_orderdate").alias("timestamp"),
-            F.array(item).alias("items"),
-            F.col("o_totalprice").alias("total_amount"),
-            F.struct(F.lit("US").alias("country")).alias("shipping_address"),
-        )
+        .groupBy("l_orderkey")
+        .agg(F.collect_list(item).alias("items"))
+    )
+    record = baskets.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderkey").cast("string").alias("event_id"),
+        F.expr(shop.user_key("o_custkey")).alias("user_id"),
+        wire_time("o_orderdate").alias("timestamp"),
+        "items",
+        F.col("o_totalprice").alias("total_amount"),
+        F.struct(F.lit("US").alias("country")).alias("shipping_address"),
     )
     return record.select(F.to_json(F.struct("*")).cast("binary").alias("data"))
 
@@ -135,14 +144,22 @@ def checkout_payloads(spark: SparkSession, folder: str) -> DataFrame:
 def parse_checkouts_nested(spark: SparkSession, folder: str) -> DataFrame:
     decoded = feeds.decode(checkout_payloads(spark, folder), CHECKOUT_SCHEMA)
     valid, _ = feeds.valid_checkouts(decoded)
-    items = utc_clock(valid).select(
-        "event_id", "user_id", "event_timestamp", "total_amount", F.inline("items")
-    )
+
+    def over_items(kind: str, field: Callable[[F.Column], F.Column]) -> F.Column:
+        zero = F.lit(0).cast(kind)
+        return F.aggregate("items", zero, lambda total, item: (total + field(item)).cast(kind))
+
+    quantity = over_items("bigint", lambda item: item.quantity.cast("bigint"))
+    price = over_items("decimal(22,2)", lambda item: item.price.cast("decimal(12,2)"))
     return comparable(
-        items.groupBy("event_id", "user_id", "event_timestamp", "total_amount").agg(
-            F.count("*").alias("item_count"),
-            F.sum("quantity").alias("total_quantity"),
-            F.sum(F.col("price").cast("decimal(12,2)")).alias("items_price"),
+        utc_clock(valid).select(
+            "event_id",
+            "user_id",
+            "event_timestamp",
+            "total_amount",
+            F.size("items").cast("bigint").alias("item_count"),
+            quantity.alias("total_quantity"),
+            price.alias("items_price"),
         )
     )
 
@@ -157,7 +174,7 @@ def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def hourly_revenue(hours: float) -> Query:
     return lambda spark, folder: reports.hourly_revenue(
-        attributed(spark, folder, last_hours=hours), hours, shop.latest_event_time(spark, folder)
+        attributed(spark, folder, last_hours=hours), hours, shop.clock(spark, folder)
     )
 
 
@@ -169,7 +186,7 @@ def click_to_checkout_rate(spark: SparkSession, folder: str) -> DataFrame:
     return reports.click_to_checkout_rate(
         shop.clicks(spark, folder),
         shop.checkouts(spark, folder),
-        as_of=shop.latest_event_time(spark, folder),
+        as_of=shop.clock(spark, folder),
     )
 
 
@@ -191,13 +208,32 @@ def pairs(window: timedelta) -> Query:
     )
 
 
+def stored_click_to_checkout_rate(spark: SparkSession, folder: str) -> DataFrame:
+    """The rate over stored raw tables, of which only the days and times in question are read."""
+    root = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
+    clock = shop.clock(spark, folder)
+
+    def stored(feed: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+        timed = feed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+        keyed_writer(f"{root}/{name}", schema, "event_id", "event_timestamp")(timed, 0)
+        return read_recent(spark, f"{root}/{name}", schema, "event_timestamp", clock(HOUR).cast("timestamp"))
+
+    raw = raw_tables(spark, folder)
+    return reports.click_to_checkout_rate(
+        stored(raw["raw_clicks"], "raw_clicks", RAW_CLICK_SCHEMA),
+        stored(raw["raw_checkouts"], "raw_checkouts", RAW_CHECKOUT_SCHEMA),
+        hours=HOUR.total_seconds() / 3600,
+        as_of=lambda back: clock(back).cast("timestamp"),
+    )
+
+
 def pipeline_health(hours: float) -> Query:
     return lambda spark, folder: reports.pipeline_health(
         shop.clicks(spark, folder),
         shop.checkouts(spark, folder),
         attributed(spark, folder, last_hours=hours),
         hours,
-        shop.latest_event_time(spark, folder),
+        shop.clock(spark, folder),
     )
 
 
@@ -252,14 +288,22 @@ def stored_attribution(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def audit(spark: SparkSession, folder: str) -> DataFrame:
-    """All stored tables and summaries, and the feed with repeats, which breaks its key."""
+    """All stored tables and summaries, and a feed with repeats that breaks a rule of every kind."""
     winners = stored_attribution(spark, folder)
     checked = raw_tables(spark, folder)
-    checked |= {"attributed_checkouts": winners, "users": shop.users(spark, folder)}
+    checked |= {"attributed_checkouts": winners, "users": users_dimension(spark, folder)}
     checked |= {name: build(winners) for name, build in SUMMARIES.items()}
     named = {name: (df, RULES[name]) for name, df in checked.items()}
-    feed_rules = TableRules(key=("event_id",), required=("event_id", "user_id", "ts"))
-    named["event_feed"] = (repeated_events(spark, folder), feed_rules)
+    feed = repeated_events(spark, folder)
+    feed = feed.withColumn("user_id", F.when(F.col("user_id") % 7 > 0, F.col("user_id")))
+    feed = feed.withColumn("amount", F.col("value") * 1e6)
+    feed_rules = TableRules(
+        key=("event_id",),
+        required=("event_id", "user_id", "ts", "session_id"),
+        max_length={"event_type": 5},
+        money=("amount",),
+    )
+    named["event_feed"] = (feed, feed_rules)
     return audit_constraints(named)
 
 
@@ -359,6 +403,7 @@ _REPORTS: dict[str, Query] = {
     "top_products": on_attributed(reports.top_products),
     "top_products_24h": on_attributed(reports.top_products, DAY),
     "click_to_checkout_rate": click_to_checkout_rate,
+    "stored_click_to_checkout_rate": stored_click_to_checkout_rate,
     "clicks_per_checkout": clicks_per_checkout(HOUR),
     "clicks_per_checkout_24h": clicks_per_checkout(DAY),
     "clicks_per_checkout_30d": clicks_per_checkout(MONTH),

@@ -6,6 +6,9 @@ give it product, category, referrer, device and payment columns. Value lists are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +111,6 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def latest_event_time(spark: SparkSession, folder: str) -> Column:
-    """Scalar subquery that stands for the clock."""
-    return table(spark, folder, "events").agg(F.max("ts")).scalar()
+def clock(spark: SparkSession, folder: str) -> Callable[[timedelta], Column]:
+    """The latest event stands for now: gives the time so long before it, as a scalar subquery."""
+    return lambda back: table(spark, folder, "events").agg(F.max("ts") - F.lit(back)).scalar()

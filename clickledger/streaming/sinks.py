@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,6 +164,15 @@ def read_once(
     return first_copies(read_store(spark, root, schema, days).select(*schema.names), key, time)
 
 
+def read_recent(
+    spark: SparkSession, root: str, schema: T.StructType, time: str, since: Column
+) -> DataFrame:
+    """Stored rows from a time on; both the day folders and the files' statistics prune the scan."""
+    stored = read_store(spark, root, schema)
+    recent = stored.where((F.col("event_date") >= since.cast("date")) & (F.col(time) >= since))
+    return recent.select(*schema.names)
+
+
 def compact_days(
     spark: SparkSession,
     root: str,

@@ -12,7 +12,7 @@ AS_OF = "(SELECT max(ts) FROM events)"
 FEEDS = f"""
 raw_clicks AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
-         concat('USER-', lpad(CAST(user_id AS VARCHAR), greatest(length(CAST(user_id AS VARCHAR)), 9), '0')) AS user_id,
+         concat('USER-', lpad(CAST(user_id AS VARCHAR), greatest(length(CAST(user_id AS VARCHAR)), 9)::INTEGER, '0')) AS user_id,
          concat('SESSION-', CAST(event_id AS VARCHAR)) AS session_id,
          concat('PROD-', lpad(CAST({K} % 50 + 1 AS VARCHAR), 4, '0')) AS product_id,
          concat('Product ', CAST({K} % 50 + 1 AS VARCHAR)) AS product_name,
@@ -27,7 +27,7 @@ raw_clicks AS (
   FROM events WHERE event_type = 'click'),
 raw_checkouts AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
-         concat('USER-', lpad(CAST(user_id AS VARCHAR), greatest(length(CAST(user_id AS VARCHAR)), 9), '0')) AS user_id,
+         concat('USER-', lpad(CAST(user_id AS VARCHAR), greatest(length(CAST(user_id AS VARCHAR)), 9)::INTEGER, '0')) AS user_id,
          concat('SESSION-', CAST(event_id AS VARCHAR)) AS session_id,
          CAST(value AS DECIMAL(10,2)) AS total_amount,
          CASE {K} % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' WHEN 2 THEN 'paypal'
@@ -35,7 +35,7 @@ raw_checkouts AS (
          ts AS event_timestamp
   FROM events WHERE event_type = 'purchase'),
 users AS (
-  SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 9), '0')) AS user_id,
+  SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 9)::INTEGER, '0')) AS user_id,
          c_mktsegment AS customer_segment,
          CAST(c_acctbal AS DECIMAL(10,2)) AS lifetime_value
   FROM customer)
@@ -227,6 +227,16 @@ FROM (SELECT * FROM {'attributed' if table == 'attributed_checkouts' else table}
 
 
 # (table, key, required columns, column lengths, money columns) as the table rules state them.
+USERS_DIMENSION = """SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 9)::INTEGER, '0')) AS user_id,
+       concat('user', CAST(c_custkey AS VARCHAR), '@email.com') AS email,
+       concat('FirstName', CAST(c_custkey AS VARCHAR)) AS first_name,
+       concat('LastName', CAST(c_custkey AS VARCHAR)) AS last_name,
+       DATE '2024-01-31' - CAST(c_custkey % 731 AS INTEGER) AS registration_date,
+       CASE c_custkey % 3 WHEN 0 THEN 'premium' WHEN 1 THEN 'regular' ELSE 'new' END
+         AS customer_segment,
+       CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS DOUBLE) AS lifetime_value
+FROM customer"""
+
 _AUDITED = [
     (
         "raw_clicks",
@@ -274,11 +284,23 @@ _AUDITED = [
         },
         ["revenue"],
     ),
-    ("users", "user_id", ["user_id"], {"user_id": 50, "customer_segment": 20}, ["lifetime_value"]),
+    (
+        "users",
+        "user_id",
+        ["user_id"],
+        {"user_id": 50, "email": 100, "first_name": 50, "last_name": 50, "customer_segment": 20},
+        ["lifetime_value"],
+    ),
     ("mv_revenue_by_source", "hour,traffic_source", [], {}, []),
     ("mv_category_performance", "attributed_category", [], {}, []),
     ("mv_device_analysis", "device_type", [], {}, []),
-    ("event_feed", "event_id", ["event_id", "user_id", "ts"], {}, []),
+    (
+        "event_feed",
+        "event_id",
+        ["event_id", "user_id", "ts", "session_id"],
+        {"event_type": 5},
+        ["amount"],
+    ),
 ]
 
 
@@ -286,7 +308,9 @@ def audit() -> str:
     parts = []
     for table, key, required, lengths, money in _AUDITED:
         present = " AND ".join(f"{k} IS NOT NULL" for k in key.split(","))
-        checks = [("NOT NULL", c, f"{c} IS NULL") for c in required]
+        source = "users_table" if table == "users" else table
+        absent = ["session_id"] if table == "event_feed" else []
+        checks = [("NOT NULL", c, "TRUE" if c in absent else f"{c} IS NULL") for c in required]
         checks += [("MAX LENGTH", c, f"length({c}) > {n}") for c, n in lengths.items()]
         checks += [
             ("MONEY RANGE", c, f"{c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL(10,2)) IS NULL")
@@ -294,16 +318,21 @@ def audit() -> str:
         ]
         parts.append(f"""SELECT '{table}' AS table_name, 'UNIQUE' AS rule, '{key}' AS column_name,
        COUNT(*) AS violations
-FROM (SELECT {key} FROM {table} WHERE {present} GROUP BY {key} HAVING COUNT(*) > 1)""")
+FROM (SELECT {key} FROM {source} WHERE {present} GROUP BY {key} HAVING COUNT(*) > 1)""")
         parts += [
-            f"SELECT '{table}', '{rule}', '{column}', COUNT(*) FROM {table} WHERE {failed}"
+            f"SELECT '{table}', '{rule}', '{column}', COUNT(*) FROM {source} WHERE {failed}"
             for rule, column, failed in checks
         ]
     tables = f""", attributed_checkouts AS (SELECT *, now() AS processed_at FROM attributed),
 mv_revenue_by_source AS ({MV_SOURCE}),
 mv_category_performance AS ({CATEGORY}),
 mv_device_analysis AS ({MV_DEVICE}),
-event_feed AS (SELECT * FROM events UNION ALL SELECT * FROM events)
+users_table AS ({USERS_DIMENSION}),
+event_feed AS (
+  SELECT event_id, ts, CASE WHEN user_id % 7 > 0 THEN user_id END AS user_id, event_type,
+    value * 1e6 AS amount
+  FROM (SELECT * FROM events UNION ALL SELECT * FROM events)
+)
 """
     text = with_attributed("")
     return text.rstrip() + tables + "\nUNION ALL\n".join(parts)
@@ -314,7 +343,7 @@ ORACLE: dict[str, str] = {
        product_category, product_price, session_id, device_type,
        concat('/products/', product_id) AS page_url, referrer, event_timestamp FROM raw_clicks"""),
     "parse_checkouts_nested": """SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
-       concat('USER-', lpad(CAST(o_custkey AS VARCHAR), greatest(length(CAST(o_custkey AS VARCHAR)), 9), '0')) AS user_id,
+       concat('USER-', lpad(CAST(o_custkey AS VARCHAR), greatest(length(CAST(o_custkey AS VARCHAR)), 9)::INTEGER, '0')) AS user_id,
        o_orderdate AS event_timestamp,
        CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS total_amount,
        COUNT(*) AS item_count, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity,
@@ -345,6 +374,7 @@ GROUP BY o_orderkey, o_custkey, o_orderdate, o_totalprice""",
     "top_products": with_attributed(TOP_PRODUCTS),
     "top_products_24h": with_attributed(TOP_PRODUCTS, "24 hour"),
     "click_to_checkout_rate": with_feeds(CLICK_RATE),
+    "stored_click_to_checkout_rate": with_feeds(CLICK_RATE),
     "clicks_per_checkout": clicks_per_checkout("1 hour"),
     "clicks_per_checkout_24h": clicks_per_checkout("24 hour"),
     "clicks_per_checkout_30d": clicks_per_checkout("30 day"),
@@ -353,15 +383,7 @@ GROUP BY o_orderkey, o_custkey, o_orderdate, o_totalprice""",
     "mv_category_performance": with_attributed(CATEGORY),
     "mv_device_analysis": with_attributed(MV_DEVICE),
     "refresh_summaries": with_attributed(MV_SOURCE),
-    "users_dimension": """SELECT concat('USER-', lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 9), '0')) AS user_id,
-       concat('user', CAST(c_custkey AS VARCHAR), '@email.com') AS email,
-       concat('FirstName', CAST(c_custkey AS VARCHAR)) AS first_name,
-       concat('LastName', CAST(c_custkey AS VARCHAR)) AS last_name,
-       DATE '2024-01-31' - CAST(c_custkey % 731 AS INTEGER) AS registration_date,
-       CASE c_custkey % 3 WHEN 0 THEN 'premium' WHEN 1 THEN 'regular' ELSE 'new' END
-         AS customer_segment,
-       CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS DOUBLE) AS lifetime_value
-FROM customer""",
+    "users_dimension": USERS_DIMENSION,
     "users_by_segment": with_feeds(f"""SELECT customer_segment, COUNT(*) AS user_count,
        {average("lifetime_value")} AS avg_lifetime_value,
        {amount("SUM(lifetime_value)")} AS total_lifetime_value

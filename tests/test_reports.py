@@ -14,6 +14,7 @@ from clickledger.plans.stats import table_sample, table_stats
 from clickledger.plans.summaries import SUMMARIES, read_summary, refresh_all
 from clickledger.queries import attributed
 from clickledger.schemas import RULES, TableRules
+from clickledger.sources import shop_events as shop
 from clickledger.sources import tables
 from conftest import SMALL
 
@@ -116,8 +117,16 @@ def test_users_by_rule(spark):
     assert users[0].email == "user16@email.com" and users[0].registration_date == date(2024, 1, 1)
 
 
+def test_long_user_numbers_stay_apart(spark):
+    numbers = [10000, 100000, 1000000, 10**9, 10**10]
+    rows = spark.createDataFrame([(n, 1, 1.0) for n in numbers], "i LONG, days_registered INT, lifetime_value DOUBLE")
+    assert len({u.user_id for u in tables.users_dimension(rows, date(2024, 1, 31)).collect()}) == 5
+    keys = rows.selectExpr(f"{shop.user_key('i')} AS user_id").collect()
+    assert keys[0].user_id == "USER-000010000" and keys[-1].user_id == "USER-10000000000"
+
+
 def test_audit_counts_violations(spark):
-    rules = TableRules(("id",), ("id", "name"), {"name": 3}, ("amount",))
+    rules = TableRules(("id",), ("id", "name", "absent"), {"name": 3}, ("amount",))
     table = spark.createDataFrame(
         [("a", "long name", 1.0), ("a", None, 1e9), ("a", "ok", 1.0), (None, "ok", None)],
         "id STRING, name STRING, amount DOUBLE",
@@ -127,11 +136,20 @@ def test_audit_counts_violations(spark):
         ("UNIQUE", "id"): 1,
         ("NOT NULL", "id"): 1,
         ("NOT NULL", "name"): 1,
+        ("NOT NULL", "absent"): 4,
         ("MAX LENGTH", "name"): 1,
         ("MONEY RANGE", "amount"): 1,
     }
 
 
+def test_audit_without_its_key_and_of_no_rows(spark):
+    table = spark.range(3).withColumnRenamed("id", "other")
+    found = audit_table("t", table, TableRules(("id",), ("id",))).collect()
+    assert [(r.rule, r.violations) for r in found] == [("UNIQUE", 3), ("NOT NULL", 3)]
+    found = audit_table("t", table.limit(0), TableRules(("other",), ("other",))).collect()
+    assert [(r.rule, r.violations) for r in found] == [("UNIQUE", 0), ("NOT NULL", 0)]
+
+
 def test_audit_of_a_good_table(small):
     table = tables.with_load_time(small[2], "processed_at")
     rows = audit_table("attributed_checkouts", table, RULES["attributed_checkouts"]).collect()
