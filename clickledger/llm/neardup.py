@@ -17,8 +17,8 @@ from clickledger.llm.components import components
 
 SLOTS = 128
 BANDS = 32
-#: A large cluster is compared tile by tile, each tile about so many shingles.
-TILE_ITEMS = 1 << 21
+#: A large cluster is compared tile by tile, each tile about so many shingles and rows at most.
+TILE_ITEMS, TILE_ROWS = 1 << 20, 1024
 #: One-bit signatures of documents at the threshold differ in fewer slots, but for six deviations.
 DEVIATIONS = 6.0
 
@@ -191,10 +191,11 @@ def _links_across(members: DataFrame, percent: int) -> DataFrame:
     """Confirmed links that join different components of a cluster, enough to span what they join.
 
     ``members(cluster, rep, component, n, bits_a, bits_b, items)``. A cluster is cut into tiles of about
-    TILE_ITEMS shingles, and each pair of tiles is compared in one task on the full sets, so neither
+    TILE_ITEMS shingles or TILE_ROWS rows, and each pair of tiles is compared in one task on the full sets, so neither
     plausible pairs nor a whole cluster are ever held.
     """
-    totals = members.groupBy("cluster").agg(F.ceil(F.sum("n") / TILE_ITEMS).cast("int").alias("tiles"))
+    share = F.greatest(F.sum("n") / TILE_ITEMS, F.count("*") / TILE_ROWS)
+    totals = members.groupBy("cluster").agg(F.ceil(share).cast("int").alias("tiles"))
     placed = members.join(totals, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     placed = placed.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
