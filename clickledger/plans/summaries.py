@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from clickledger.functions.measures import mean, total
 from clickledger.functions.times import hour_of
 from clickledger.plans.reports import category_totals
-from clickledger.sources.versioned import publish_version, read_version
+from clickledger.sources.versioned import publish, read_version
 
 
 def mv_revenue_by_source(attributed: DataFrame) -> DataFrame:
@@ -53,14 +54,12 @@ SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def refresh_all(attributed: DataFrame, root: str) -> dict[str, str]:
-    """Recompute every summary as a new version; readers keep the old one until it is published."""
-    return {
-        name: publish_version(build(attributed), f"{root}/{name}")
-        for name, build in SUMMARIES.items()
-    }
+def refresh_all(attributed: DataFrame, root: str) -> str:
+    """Recompute the summaries as one new version; readers keep the old ones until all are there."""
+    builds = {name: partial(build, attributed) for name, build in SUMMARIES.items()}
+    return publish(attributed.sparkSession, root, builds)
 
 
 def read_summary(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Latest published version of a summary."""
-    return read_version(spark, f"{root}/{name}")
+    return read_version(spark, root, name)

@@ -18,10 +18,21 @@ def read_jdbc(
     table: str,
     properties: dict[str, str],
     predicates: list[str] | None = None,
+    column: str | None = None,
+    bounds: tuple | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Table scan over JDBC. Each predicate is one partition, so a large table is read in parallel."""
+    """Table scan over JDBC, in parallel by predicates or by ranges of a numeric or time column.
+
+    ``bounds`` are the column's lowest and highest value and only place the cuts between ``partitions``
+    ranges; rows outside them are read too. Without either the scan is one task.
+    """
     if predicates:
         return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
+    if column:
+        return spark.read.jdbc(
+            url, table, column, bounds[0], bounds[1], partitions, properties=properties
+        )
     return spark.read.jdbc(url, table, properties=properties)
 
 

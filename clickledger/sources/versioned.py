@@ -1,36 +1,62 @@
-"""Tables that are replaced as a whole: each refresh is a new version, readers follow a log.
+"""Tables that are replaced together: each refresh is a new version of all, readers follow a log.
 
-A version is written to its own folder first. Only then one row naming it is appended to the log, so a
-reader sees the old version or the new one, never a half-written table, and a failed refresh leaves
-nothing visible.
+The tables of a refresh are written to a folder of their own first. Only then one row naming it is
+appended to the log, so a reader sees all old tables or all new ones, and a refresh that fails on the way
+shows nothing. Versions are ordered by their number in the log, not by a clock.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-_LOG_SCHEMA = "version STRING, published_at TIMESTAMP"
-
-
-def publish_version(table: DataFrame, root: str) -> str:
-    """Write the table as a new version and make it the current one; returns the version."""
-    version = uuid.uuid4().hex
-    table.write.parquet(f"{root}/versions/{version}")
-    entry = table.sparkSession.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
+from pyspark.sql import types as T
+
+_LOG_SCHEMA = "number BIGINT, version STRING, schemas MAP<STRING, STRING>, published_at TIMESTAMP"
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/published")
+
+
+def publish(spark: SparkSession, root: str, builds: dict[str, Callable[[], DataFrame]]) -> str:
+    """Write every table as part of one new version and make it the current one; returns the version."""
+    spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").parquet(f"{root}/published")
+    version, schemas = uuid.uuid4().hex, {}
+    for name, build in builds.items():
+        table = build()
+        table.write.parquet(f"{root}/versions/{version}/{name}")
+        schemas[name] = table.schema.json()
+    last = _log(spark, root).agg(F.coalesce(F.max("number"), F.lit(0)).alias("last"))
+    listed = F.create_map(*[F.lit(x) for pair in schemas.items() for x in pair])
+    entry = last.select(
+        (F.col("last") + 1).alias("number"),
+        F.lit(version).alias("version"),
+        listed.alias("schemas"),
+        F.current_timestamp().alias("published_at"),
     )
     entry.coalesce(1).write.mode("append").parquet(f"{root}/published")
     return version
 
 
-def current_version(spark: SparkSession, root: str) -> str:
-    log = spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/published")
-    return log.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
+def read_version(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the version that is current now; the returned DataFrame stays on it."""
+    newest = F.max_by(F.struct("version", "schemas"), F.struct("number", "version"))
+    current = _log(spark, root).agg(newest.alias("v")).first().v
+    schema = T.StructType.fromJson(json.loads(current.schemas[name]))
+    return spark.read.schema(schema).parquet(f"{root}/versions/{current.version}/{name}")
 
 
-def read_version(spark: SparkSession, root: str) -> DataFrame:
-    """The version that is current now; the returned DataFrame stays on it."""
-    return spark.read.parquet(f"{root}/versions/{current_version(spark, root)}")
+def drop_old_versions(spark: SparkSession, root: str, age: timedelta) -> list[str]:
+    """Remove versions that were replaced at least ``age`` ago; readers may hold one for so long."""
+    log = _log(spark, root).orderBy("number", "version").collect()  # one row a refresh
+    now = spark.range(1).select(F.current_timestamp().alias("now")).first().now
+    dropped = [old.version for old, new in zip(log, log[1:]) if new.published_at <= now - age]
+    for version in dropped:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/versions/{version}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped

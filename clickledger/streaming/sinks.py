@@ -57,9 +57,9 @@ def checkpoint_run(spark: SparkSession, checkpoint: str, name: str) -> str:
     """Name of the run that goes with a query's checkpoint; made up and stored at its first start."""
     path = f"{checkpoint}/{name}_run"
     stored = read_if_there(spark, path, "run STRING")
-    if stored is None:
+    if stored is None or stored.isEmpty():  # empty if an earlier start stopped between the two
         fresh = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run"))
-        fresh.coalesce(1).write.parquet(path)
+        fresh.coalesce(1).write.mode("overwrite").parquet(path)
         stored = spark.read.schema("run STRING").parquet(path)
     return stored.first().run
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from clickledger.plans import reports
 from clickledger.plans.quality import audit_table
 from clickledger.plans.stats import table_sample, table_stats
 from clickledger.plans.summaries import SUMMARIES, read_summary, refresh_all
+from clickledger.sources.versioned import drop_old_versions
 from clickledger.queries import attributed
 from clickledger.schemas import RULES, TableRules
 from clickledger.sources import shop_events as shop
@@ -98,6 +99,26 @@ def test_refresh_keeps_the_old_version_for_its_readers(spark, small, tmp_path):
     }
 
 
+def test_a_failed_refresh_shows_nothing_and_old_versions_go(spark, small, tmp_path, monkeypatch):
+    root = str(tmp_path / "mv")
+    first = refresh_all(small[2], root)
+    old = {name: sorted(read_summary(spark, root, name).collect()) for name in SUMMARIES}
+
+    def broken(attributed):
+        raise RuntimeError("no device")
+
+    monkeypatch.setitem(SUMMARIES, "mv_device_analysis", broken)
+    with pytest.raises(RuntimeError, match="no device"):
+        refresh_all(small[2].where("checkout_id = 'k1'"), root)
+    assert {name: sorted(read_summary(spark, root, name).collect()) for name in SUMMARIES} == old
+    monkeypatch.undo()
+    assert drop_old_versions(spark, root, timedelta(0)) == []
+    refresh_all(small[2], root)
+    assert drop_old_versions(spark, root, timedelta(hours=1)) == []
+    assert drop_old_versions(spark, root, timedelta(0)) == [first]
+    assert {name: sorted(read_summary(spark, root, name).collect()) for name in SUMMARIES} == old
+
+
 def test_users_get_defaults(spark):
     row = ("U1", "a@x.org", "A", "B", datetime(2024, 1, 1), "new", None)
     user = tables.users_from_rows(spark, [row]).first()
