@@ -1,9 +1,8 @@
-"""What the operators share: staged tables, bounded slices of texts, words as integer codes."""
+"""What the operators share: staged tables, folds, bounded slices of texts, a mix of integers."""
 
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -58,21 +57,6 @@ def slices(
             start = stop
 
 
-def coded(lists: Iterable[list]) -> tuple[np.ndarray, np.ndarray, list]:
-    """All items as codes, the bounds of each list among them, and the distinct items by code."""
-    index: defaultdict = defaultdict()
-    index.default_factory = index.__len__
-    parts = [np.fromiter(map(index.__getitem__, x), np.int64, len(x)) for x in lists]
-    bounds = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(p) for p in parts], out=bounds[1:])
-    return (np.concatenate(parts) if parts else np.empty(0, np.int64)), bounds, list(index)
-
-
-def ascii_words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space (space, tab to carriage return), as UTF-8."""
-    return text.encode().split() if text else []
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix; equal inputs give equal outputs on every machine."""
     with np.errstate(over="ignore"):
