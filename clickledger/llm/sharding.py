@@ -116,13 +116,11 @@ def even_out(rows: DataFrame, shards: int) -> DataFrame:
     row = rows.withColumns({"bytes_2": before("size", own), "n_2": F.row_number().over(own) - 1})
     same = [row[c].eqNullSafe(blocks[c]) for c in block]
     row = row.join(blocks, same).drop(*[blocks[c] for c in block])
-    whole = rows.agg(F.sum("size").alias("whole"))
+    whole = rows.agg(F.sum("size")).scalar()
     place = F.col("bytes_0") + F.col("bytes_2")
-    cut = F.floor((2 * place + F.col("size")) * shards / (2 * F.col("whole"))).cast("int")
-    row = row.crossJoin(F.broadcast(whole)).withColumns(  # one row
-        {"shard": F.least(cut, F.lit(shards - 1)), "index": F.col("n_0") + F.col("n_2")}
-    )
-    row = stage(row.drop(*block[1:], "parts", "bytes_0", "bytes_2", "n_0", "n_2", "whole"), "line", narrow=True)
+    cut = F.floor((2 * place + F.col("size")) * shards / (2 * whole)).cast("int")
+    row = row.withColumns({"shard": F.least(cut, F.lit(shards - 1)), "index": F.col("n_0") + F.col("n_2")})
+    row = stage(row.drop(*block[1:], "parts", "bytes_0", "bytes_2", "n_0", "n_2"), "line", narrow=True)
     first = row.groupBy("shard").agg(F.min("index").alias("first"))  # one row per shard
     return row.join(F.broadcast(first), "shard").withColumn("slot", (F.col("index") - F.col("first")).cast("long")).drop("index", "first")
 
