@@ -94,7 +94,10 @@ def events_of(root: str) -> str:
 
 
 def attributing_writer(
-    root: str, window: timedelta = ATTRIBUTION_WINDOW, run: str = ""
+    root: str,
+    window: timedelta = ATTRIBUTION_WINDOW,
+    run: str = "",
+    also: BatchWriter | None = None,
 ) -> BatchWriter:
     """Writer of :func:`event_stream` batches: stores the events, then the credits that they change.
 
@@ -103,7 +106,8 @@ def attributing_writer(
     own users from one window before its earliest to one window after its latest event. Only credits
     that involve an event of the batch are stored, one row per checkout at most. The watermark keeps
     batches, and so these spans, near the present. Both stores are laid out by batch, and a replay
-    finds the same events and overwrites the same folders.
+    finds the same events and overwrites the same folders. ``also`` gets the changed rows of the
+    attribution table, for a second store.
     """
     whole_seconds(window)
 
@@ -133,6 +137,8 @@ def attributing_writer(
                 .select(*WINNER_SCHEMA.names)
             )
             write_by_date(changed, name, root, "checkout_timestamp")
+            if also is not None:
+                also(attribution_columns(changed), batch_id)
         finally:
             batch.unpersist()
 

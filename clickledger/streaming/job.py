@@ -5,13 +5,16 @@
         --checkouts kafka.bootstrap.servers=host:9092 subscribe=checkouts \
         --payload value --tables <folder> --checkpoint <folder>
 
-Source options are passed to the connector as they are. File sources take ``path=<folder>``.
+Source options are passed to the connector as they are. File sources take ``path=<folder>``. With
+``--database`` the tables are also appended to a database; ``--close-days`` settles and compacts stored
+days instead of reading the streams.
 """
 
 from __future__ import annotations
 
 import argparse
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -20,7 +23,8 @@ from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA
 from clickledger.session import build_session
 from clickledger.sources.feeds import decode, read_stream
 from clickledger.streaming.attribution import WATERMARK
-from clickledger.streaming.pipeline import start_pipeline, wait
+from clickledger.streaming.pipeline import close_days, start_pipeline, wait
+from clickledger.streaming.sinks import jdbc_writer
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -34,6 +38,9 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--window-minutes", type=int, default=60)
     parser.add_argument("--watermark", default=WATERMARK)
     parser.add_argument("--trigger", default="30 seconds")
+    parser.add_argument("--database", metavar="URL", help="JDBC address to append the tables to")
+    parser.add_argument("--database-options", nargs="+", default=[], metavar="OPTION=VALUE")
+    parser.add_argument("--close-days", nargs="+", metavar="YYYY-MM-DD")
     parser.add_argument("--once", action="store_true", help="process what is there, then end")
     return parser.parse_args(arguments)
 
@@ -47,6 +54,13 @@ def open_feed(
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.close_days:
+        close_days(spark, args.tables, args.close_days)
+        return
+    second = None
+    if args.database:
+        options = dict(option.split("=", 1) for option in args.database_options)
+        second = partial(jdbc_writer, args.database, properties=options)
     queries = start_pipeline(
         open_feed(spark, args.source, args.clicks, args.payload, CLICK_SCHEMA),
         open_feed(spark, args.source, args.checkouts, args.payload, CHECKOUT_SCHEMA),
@@ -55,6 +69,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         timedelta(minutes=args.window_minutes),
         args.watermark,
         {"availableNow": True} if args.once else {"processingTime": args.trigger},
+        second,
     )
     wait(queries, until_all=args.once)
 

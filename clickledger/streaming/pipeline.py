@@ -19,11 +19,15 @@ from clickledger.streaming.attribution import (
     attributing_writer,
     event_stream,
     events_of,
+    settle_days,
 )
 from clickledger.streaming.sinks import (
     BatchWriter,
     checkpoint_run,
+    compact_days,
+    each_of,
     ensure_table,
+    first_copies,
     keyed_writer,
     quarantining_writer,
     read_once,
@@ -32,6 +36,9 @@ from clickledger.streaming.sinks import (
 
 TRIGGER = {"processingTime": "30 seconds"}
 
+# Gives the writer that a table's batches go to besides the Parquet store, for example a JDBC append.
+SecondStore = Callable[[str], BatchWriter]
+
 
 def start_query(
     stream: DataFrame, writer: BatchWriter, checkpoint: str, name: str, trigger: dict
@@ -55,30 +62,42 @@ def start_attribution(
     window: timedelta = ATTRIBUTION_WINDOW,
     delay: str = WATERMARK,
     trigger: dict = TRIGGER,
+    second: SecondStore | None = None,
 ) -> StreamingQuery:
     """Current-winner attribution into the batch store under ``root`` and the event store beside it."""
     spark = clicks.sparkSession
     ensure_table(spark, root, stored_schema(WINNER_SCHEMA))
     ensure_table(spark, events_of(root), stored_schema(EVENT_SCHEMA))
     run = checkpoint_run(spark, checkpoint, "attribution")
-    writer = attributing_writer(root, window, run)
+    also = second("attributed_checkouts") if second else None
+    writer = attributing_writer(root, window, run, also)
     events = event_stream(clicks, checkouts, delay)
     return start_query(events, writer, checkpoint, "attribution", trigger)
 
 
 def start_raw_clicks(
-    clicks: DataFrame, root: str, checkpoint: str, trigger: dict = TRIGGER
+    clicks: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: dict = TRIGGER,
+    second: SecondStore | None = None,
 ) -> StreamingQuery:
     """All clicks, late ones included, once per event id; unusable ones in ``<root>_quarantine``."""
-    return _start_raw(clicks, valid_clicks, raw_clicks, root, checkpoint, "clicks", trigger)
+    also = second("raw_clicks") if second else None
+    return _start_raw(clicks, valid_clicks, raw_clicks, root, checkpoint, "clicks", trigger, also)
 
 
 def start_raw_checkouts(
-    checkouts: DataFrame, root: str, checkpoint: str, trigger: dict = TRIGGER
+    checkouts: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: dict = TRIGGER,
+    second: SecondStore | None = None,
 ) -> StreamingQuery:
     """All checkouts, late ones included, once per event id; unusable ones in ``<root>_quarantine``."""
+    also = second("raw_checkouts") if second else None
     return _start_raw(
-        checkouts, valid_checkouts, raw_checkouts, root, checkpoint, "checkouts", trigger
+        checkouts, valid_checkouts, raw_checkouts, root, checkpoint, "checkouts", trigger, also
     )
 
 
@@ -90,12 +109,14 @@ def _start_raw(
     checkpoint: str,
     name: str,
     trigger: dict,
+    also: BatchWriter | None = None,
 ) -> StreamingQuery:
     schema = shape(split(stream)[0]).schema
     ensure_table(stream.sparkSession, root, stored_schema(schema))
     run = checkpoint_run(stream.sparkSession, checkpoint, name)
     keyed = keyed_writer(root, schema, "event_id", TIME, run)
-    writer = quarantining_writer(split, shape, keyed, f"{root}_quarantine", run)
+    valid = each_of(keyed, also)
+    writer = quarantining_writer(split, shape, valid, f"{root}_quarantine", run)
     return start_query(stream, writer, checkpoint, name, trigger)
 
 
@@ -107,6 +128,7 @@ def start_pipeline(
     window: timedelta = ATTRIBUTION_WINDOW,
     delay: str = WATERMARK,
     trigger: dict = TRIGGER,
+    second: SecondStore | None = None,
 ) -> list[StreamingQuery]:
     """Start all three queries on decoded feeds; :func:`wait` for them."""
     return [
@@ -118,9 +140,10 @@ def start_pipeline(
             window,
             delay,
             trigger,
+            second,
         ),
-        start_raw_clicks(clicks, f"{tables}/raw_clicks", checkpoint, trigger),
-        start_raw_checkouts(checkouts, f"{tables}/raw_checkouts", checkpoint, trigger),
+        start_raw_clicks(clicks, f"{tables}/raw_clicks", checkpoint, trigger, second),
+        start_raw_checkouts(checkouts, f"{tables}/raw_checkouts", checkpoint, trigger, second),
     ]
 
 
@@ -150,3 +173,14 @@ def read_raw_clicks(spark: SparkSession, root: str, days: list[str] | None = Non
 def read_raw_checkouts(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:
     """The stored checkout table, each event once."""
     return read_once(spark, root, RAW_CHECKOUT_SCHEMA, "event_id", TIME, days)
+
+
+def close_days(spark: SparkSession, tables: str, days: list[str]) -> None:
+    """Settle the attribution and compact the raw tables of days that no batch adds to any more."""
+    settle_days(spark, f"{tables}/attributed_checkouts", f"{tables}/attributed_settled", days)
+
+    def once(stored: DataFrame) -> DataFrame:
+        return first_copies(stored, "event_id", TIME)
+
+    for name, schema in (("raw_clicks", RAW_CLICK_SCHEMA), ("raw_checkouts", RAW_CHECKOUT_SCHEMA)):
+        compact_days(spark, f"{tables}/{name}", schema, days, TIME, once)

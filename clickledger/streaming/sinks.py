@@ -202,6 +202,17 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def each_of(*writers: BatchWriter | None) -> BatchWriter:
+    """One writer that hands the batch to several; an error of any ends the query."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for one in writers:
+            if one is not None:
+                one(batch, batch_id)
+
+    return write
+
+
 def quarantining_writer(
     split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
     shape: Callable[[DataFrame], DataFrame],

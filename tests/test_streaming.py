@@ -237,6 +237,32 @@ def test_job_runs_from_the_command_line_arguments(spark, feeds):
     assert read_raw_checkouts(spark, f"{feeds.root}/out/raw_checkouts").count() == 2
 
 
+def test_job_appends_to_a_database_and_closes_days(spark, feeds, monkeypatch):
+    """No database here: only the calls to Spark's own writer are checked."""
+    calls = []
+
+    def jdbc(self, url, table, mode=None, properties=None):
+        calls.append((url, table, mode, properties))
+        self.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.jdbc", jdbc)
+    feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k1", "u", "2024-01-01T10:40:00")])
+    args = [
+        *["--source", "text", "--clicks", f"path={feeds.root}/clicks"],
+        *["--checkouts", f"path={feeds.root}/checkouts", "--once", "--database", "jdbc:some:db"],
+        *["--database-options", "user=me", "--tables", f"{feeds.root}/out"],
+        *["--checkpoint", f"{feeds.root}/cp"],
+    ]
+    run(spark, parse_arguments(args))
+    tables = ["attributed_checkouts", "raw_checkouts", "raw_clicks"]
+    assert sorted(calls) == [("jdbc:some:db", t, "append", {"user": "me"}) for t in tables]
+    for _ in range(2):
+        run(spark, parse_arguments([*args, "--close-days", "2024-01-01"]))
+    store = f"{feeds.root}/out/attributed_checkouts"
+    assert credited(read_attributed(spark, store, f"{feeds.root}/out/attributed_settled")) == [("k1", "c1")]
+    assert read_raw_clicks(spark, f"{feeds.root}/out/raw_clicks").count() == 1
+
+
 def test_waiting_ends_with_a_failed_query_and_leaves_others_alone(spark, feeds, tmp_path, monkeypatch):
     """The 30-second form, with a failing raw sink: the pipeline stops, another query runs on."""
     feeds.add([("c1", "u", "2024-01-01T10:30:00")], [("k1", "u", "2024-01-01T10:40:00")])
