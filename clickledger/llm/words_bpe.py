@@ -17,7 +17,7 @@ from clickledger.llm.bytewords import Words, coded_ranges, cut_marks, lowered, t
 #: Characters whose case, class and normal form every library agrees on.
 _PLAIN = re.compile("[!-~¡-įı-ɏ]+")
 #: Words a worker remembers; a full cache starts anew, so memory is bounded.
-CACHE = 600_000
+CACHE = 200_000
 _JOINED = 256
 
 
