@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from clickledger.llm.licence_texts import LICENCES
 
-#: Lines that name owners and years say nothing about the terms.
-OWNER_LINE = r"\n[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+_EDGE = r"[ \t\r*#/;!-]*+"
+_SIGN = r"(?:copyright[ \t]*+(?:\(c\)|©|\d{4}|[\[{<(]y)|\(c\)|©)"
+#: Words after which "copyright" speaks of the terms and not of an owner.
+_TERMS = "notices?|holders?|owners?|laws?|licen[sc]es?|interests?|statements?|permissions?|disclaimers?|and|or|in|of|on|is|to"
+_TITLE = "the|mit|expat|x11|isc|0?bsd|zero|zlib|[0-9]|new|simplified|revised|modified|clause|licen[sc]e|unlicense|all rights reserved"
+#: Lines that name owners and years say nothing about the terms. They stand before the terms, where only
+#: titles may precede them, or after the end; a line of the terms may begin with "copyright" too.
+OWNER_BEFORE = rf"\G((?:[\s*#/;!.,:()\"'-]*+(?:{_TITLE})(?![a-z0-9]))*+[\s.*#/;!)-]*+)(?<=\n[ \t\r*#/;!-]{{0,80}})(?:{_SIGN}|copyright[ \t]++(?!(?:{_TERMS})(?![a-z])))[^\n]*+"
+OWNER_AFTER = rf"\A((?s:.*)\n(?!{_EDGE}(?:\n|\z|{_SIGN}))[^\n]*+)(?s:.*+)\z"
 #: ASCII and Latin-1 signs and white space, dashes and curly quotes: all one space.
 SIGNS = r"[\x{1}-\x{2f}\x{3a}-\x{60}\x{7b}-\x{bf}\x{2010}-\x{201f}]+"
 #: Spellings that count as equal, as they stand once signs are spaces. Fixed values.
@@ -31,13 +38,18 @@ SPELLINGS = (
 
 
 def canonical(text: Column) -> Column:
-    """A to Z lower-cased, owner lines gone, signs and white space one space, spellings levelled."""
+    """A to Z lower-cased, owner lines before and after the terms gone, signs and white space one space, spellings levelled.
+
+    "All rights reserved" goes wherever it stands, once white space is levelled. So where the lines of the
+    terms are wrapped makes no difference.
+    """
     text = F.concat(F.lit("\n"), F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase))
-    text = F.regexp_replace(text, OWNER_LINE, "\n")
-    text = F.regexp_replace(text, SIGNS, " ")
+    text = F.regexp_replace(text, OWNER_BEFORE, "$1")
+    text = F.regexp_replace(text, OWNER_AFTER, "$1")
+    text = F.concat(F.regexp_replace(text, SIGNS, " "), F.lit(" "))
     for other, one in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(one))
-    return F.trim(text)
+    return F.trim(F.replace(text, F.lit(" all rights reserved "), F.lit(" ")))
 
 
 def digest(text: Column) -> Column:

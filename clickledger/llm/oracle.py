@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from clickledger.llm.licence_texts import LICENCES
-from clickledger.llm.licences import OWNER_LINE, SIGNS, SPELLINGS
+from clickledger.llm.licences import SIGNS, SPELLINGS
+
+#: As the SQL has stated it from the start; the operator drops fewer lines, see licences.py.
+OWNER_LINE = r"\n[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+import textwrap
+
 from clickledger.llm.licence_texts import LICENCES
 from clickledger.llm.licences import known_licences, scan
 from small import make_docs  # noqa: F401
@@ -30,3 +33,39 @@ def test_edge_cases(spark, make_docs):
     assert sorted(rows, key=str) == [(1, None), (2, None), (3, None), (4, "A"), (4, "A"), (None, "A")]
     assert scan(make_docs([]), known).collect() == []
     assert {r.license_id for r in scan(docs, known.limit(0)).collect()} == {None}
+
+
+def wrapped(text, width):
+    """The paragraphs of ``text`` set anew in lines of ``width``."""
+    parts = [" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text)]
+    return "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in parts)
+
+
+def test_line_breaks_make_no_difference(spark, make_docs):
+    known = [(r.license_id, r.text) for r in known_licences(spark).collect()]
+    forms = [(name, form) for name, text in known for w in (*range(10, 110, 3), 10**6) for form in (wrapped(text, w), " \r\n".join(textwrap.wrap(text, w, break_long_words=False, break_on_hyphens=False)))]
+    found = {r.doc_id: r.license_id for r in scan(make_docs((i, f) for i, (_, f) in enumerate(forms)), known_licences(spark)).collect()}
+    assert [(found[i], forms[i][1][:200]) for i, (name, _) in enumerate(forms) if found[i] != name] == []
+
+
+def test_only_lines_that_name_owners_go(spark, make_docs):
+    isc = next(body for name, _, body in LICENCES if name == "ISC")
+    usual = isc.replace("the above copyright notice", "the above\ncopyright notice")
+    owned = [
+        f"ISC License\n\nCopyright 2020 A\nCopyright The Authors of B\n\n{usual}",
+        f"/*\n * Copyright © 2020 A. All rights reserved.\n */\n{usual}",
+        f"{usual}\n\nCopyright (c) 2020 A\n(c) 2021 B\n",
+    ]
+    others = [
+        usual.replace("copyright notice and this permission notice appear in all copies.", ""),
+        usual.replace("\ncopyright", "\ncopyright (c) 2020 A\ncopyright"),
+        f"Copyright notices must be printed in red.\n{isc}",
+        f"All rights reserved. You may not copy this.\n{isc}",
+    ]
+    found = {r.doc_id: r.license_id for r in scan(make_docs(enumerate(owned + others)), known_licences(spark)).collect()}
+    assert [found[i] for i in range(7)] == ["ISC"] * 3 + [None] * 4
+
+
+def test_long_runs_are_no_trouble(spark, make_docs):
+    rows = [(0, "\n" * 10**6), (1, "the " * 10**6 + "end"), (2, "\n# " * 10**6), (3, "© A\n\n" * 10**5), (4, "x\n" * 10**5 + "(c) 2020\n" * 10**5 + "x")]
+    assert {r.license_id for r in scan(make_docs(rows), known_licences(spark)).collect()} == {None}
