@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ SPELLINGS = (
     ("http www", "https www"),
     ("per cent", "percent"),
 )
+#: The place of the owner in the appendix of Apache-2.0.
+APACHE_OWNER = r"( third party archives )copyright .{1,200}?( licensed under the apache license version 2 0 )"
 
 
 def canonical(text: Column) -> Column:
@@ -49,6 +52,7 @@ def canonical(text: Column) -> Column:
     text = F.concat(F.regexp_replace(text, SIGNS, " "), F.lit(" "))
     for other, one in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(one))
+    text = F.regexp_replace(text, APACHE_OWNER, "$1$2")
     return F.trim(F.replace(text, F.lit(" all rights reserved "), F.lit(" ")))
 
 
@@ -56,10 +60,26 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """``(license_id, text)``: short licences with and without titles, and the files of ``known/``.
+
+    A file is named by its licence, up to a plus sign. Where it has an appendix after the end of its
+    terms, the terms alone count too.
+    """
+    rows = []
+    for name, title, body in LICENCES:
+        titles = (title, f"The {title.removeprefix('The ')}", f"{title} ({name})", f"The {title} ({name})")
+        rows += [(name, body)] + [(name, f"{t}\n\n{body}") for t in titles]
+    for path in sorted((Path(__file__).parent / "known").glob("*.txt")):
+        name, text = path.stem.split("+")[0], path.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        rows += [(name, text)] + ([(name, terms), (name, terms + end)] if end else [])
+    return rows
+
+
 def known_licences(spark: SparkSession) -> DataFrame:
-    """``license_id, text`` of the known licences, with and without their titles."""
-    rows = [(name, body) for name, _, body in LICENCES] + [(name, f"{title}\n\n{body}") for name, title, body in LICENCES]
-    return spark.createDataFrame(rows, "license_id string, text string")
+    """``license_id, text`` of the known licences."""
+    return spark.createDataFrame(known_texts(), "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:

@@ -70,8 +70,9 @@ def op4_conditional_random_field(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def op5_canonical_digests(spark: SparkSession, folder: str) -> DataFrame:
-    return scan(table(spark, folder, "documents"), known_licences(spark))
+def op5_canonical_digests(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
+    """``known(license_id, text)``: other known texts than those of the library."""
+    return scan(table(spark, folder, "documents"), known_licences(spark) if known is None else known)
 
 
 def op6_label_propagation(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,8 +4,9 @@ import re
 import textwrap
 
 from clickledger.llm.licence_texts import LICENCES
-from clickledger.llm.licences import known_licences, scan
-from small import make_docs  # noqa: F401
+from clickledger.llm.licences import known_licences, known_texts, scan
+from clickledger.llm.queries import op5_canonical_digests
+from small import SMALL, make_docs  # noqa: F401
 
 
 def test_every_known_text_is_found_however_it_is_set(spark, make_docs):
@@ -69,3 +70,20 @@ def test_only_lines_that_name_owners_go(spark, make_docs):
 def test_long_runs_are_no_trouble(spark, make_docs):
     rows = [(0, "\n" * 10**6), (1, "the " * 10**6 + "end"), (2, "\n# " * 10**6), (3, "© A\n\n" * 10**5), (4, "x\n" * 10**5 + "(c) 2020\n" * 10**5 + "x")]
     assert {r.license_id for r in scan(make_docs(rows), known_licences(spark)).collect()} == {None}
+
+
+def test_common_long_licences_are_known(spark, make_docs):
+    texts = dict(known_texts()[::-1])
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0"} <= set(texts)
+    apache = texts["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 A. Person")
+    mit = f"The MIT License (MIT)\n\nCopyright (c) 2020 A\n\n{texts['MIT']}"
+    gpl = texts["GPL-3.0"].partition("How to Apply")[0]
+    docs = make_docs(enumerate([apache, mit, gpl, texts["GPL-3.0"].replace("three years", "two years")]))
+    found = {r.doc_id: r.license_id for r in scan(docs, known_licences(spark)).collect()}
+    assert "2020 A. Person" in apache and found == {0: "Apache-2.0", 1: "MIT", 2: "GPL-3.0", 3: None}
+
+
+def test_the_query_takes_known_texts(spark):
+    text = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id = 1").first().text
+    known = spark.createDataFrame([("own", text)], "license_id string, text string")
+    assert 1 in {r.doc_id for r in op5_canonical_digests(spark, SMALL, known).filter("license_id = 'own'").collect()}
