@@ -35,15 +35,25 @@ def _quotas(loads: dict[int, float], flows: dict[tuple[int, int], float], capaci
     return share
 
 
+def _two_quotas(loads: dict[int, float], small: dict[tuple[int, int], float], large: dict[tuple[int, int], float], capacity: float, shards: int) -> tuple[list[float], list[float]]:
+    """Quotas of small links, and of large ones in the room that those leave; what is refused keeps its claim."""
+    first = _quotas(loads, small, capacity, shards)
+    left = dict(loads)
+    for (a, b), size in small.items():
+        left[a] = left.get(a, 0.0) - first[b] * size
+        left[b] = left.get(b, 0.0) + size
+    return first, _quotas(left, large, capacity, shards)
+
+
 def propagate(nodes: DataFrame, members: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
     """``node, shard``: shards of ``nodes(node, size)`` that few of the links in ``members`` cross.
 
     ``members(node, link)`` says which links a node is part of; the nodes of one link are neighbours of
     each other, and no pair of them is ever formed: a link carries one count per shard. In each round
     every node wants the shard that most of its neighbours are in, equal counts by a hash of the link so
-    that neighbours agree; from the flows between shards (shards squared numbers, all that the driver
-    sees) follow quotas, and a mover is let in by a hash below its quota. A group of links moves
-    together unless it is large against a shard. Nodes are unique and not null; nodes without links keep
+    that neighbours agree; from the flows between shards (twice shards squared numbers, all that the
+    driver sees) follow quotas, and a mover is let in by a hash below its quota. A group of links moves
+    together unless it is large against a shard; large ones get the room that the others leave. Nodes are unique and not null; nodes without links keep
     their first shard, a hash. Rounds are written to the shared folder.
     """
     state = nodes.select("node", "size", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"))
@@ -59,23 +69,25 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int, rounds: int = R
             .agg(F.sum("votes").alias("votes"), F.max(F.xxhash64("link", "shard")).alias("tie"), F.min("link").alias("link"))
         )
         wanted = heard.groupBy("node").agg(F.max(F.struct("votes", "tie", "shard", "link")).alias("best"))
-        large = votes.groupBy("link").agg(F.sum("bytes").alias("bytes"))
+        weights = votes.groupBy("link").agg(F.sum("bytes").alias("bytes"))
         moves = (
             wanted.select("node", F.col("best.shard").alias("to"), F.col("best.link").alias("link"))
             .join(state, "node")
             .filter("to <> shard")
-            .join(large, "link")
+            .join(weights, "link")
         )
         moves = stage(moves.select("node", "link", "size", "shard", "to", "bytes"), "moves", narrow=True)
-        flows = {(r["shard"], r["to"]): float(r["size"]) for r in moves.groupBy("shard", "to").agg(F.sum("size").alias("size")).collect()}
-        if not flows:
-            break
         loads = {r["shard"]: float(r["size"]) for r in state.groupBy("shard").agg(F.sum("size").alias("size")).collect()}
         capacity = sum(loads.values()) / shards * (1 + SLACK)
-        share = F.array(*[F.lit(x) for x in _quotas(loads, flows, capacity, shards)])
         apart = F.col("bytes") > TOGETHER * capacity
+        flows = moves.groupBy("shard", "to", apart.alias("apart")).agg(F.sum("size").alias("size")).collect()
+        if not flows:
+            break
+        small, large = ({(r["shard"], r["to"]): float(r["size"]) for r in flows if r["apart"] == kind} for kind in (False, True))
+        quotas = [F.array(*[F.lit(x) for x in q]) for q in _two_quotas(loads, small, large, capacity, shards)]
         drawn = F.when(apart, _unit("node", F.lit(number))).otherwise(_unit("link", F.lit(number)))
-        let_in = moves.filter(drawn < F.element_at(share, F.col("to") + 1)).select("node", "to")
+        share = F.when(apart, F.element_at(quotas[1], F.col("to") + 1)).otherwise(F.element_at(quotas[0], F.col("to") + 1))
+        let_in = moves.filter(drawn < share).select("node", "to")
         state = state.join(let_in, "node", "left").select("node", "size", F.coalesce("to", "shard").alias("shard"))
         state = stage(state, "shards", narrow=True)
     return state.select("node", "shard")

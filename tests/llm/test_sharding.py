@@ -67,3 +67,10 @@ def test_edge_cases(make_docs):
         by_shard.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
     assert shard_documents(make_docs([]), 3).collect() == [] and callable(even_out)
+
+
+def test_small_groups_meet_beside_a_very_large_one(make_docs):
+    texts = {i: f"copied {i % 2000:05d}" for i in range(4000)} | {4000 + i: "common text" for i in range(2000)}
+    sizes, groups = check(shard_documents(make_docs(texts.items()), 16).collect(), texts, 16)
+    assert max(sizes.values()) - min(sizes.values()) < 30
+    assert sum(len(g) > 1 for g in groups.values()) <= 16  # the large one, and those at cuts
