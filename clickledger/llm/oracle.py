@@ -27,6 +27,12 @@ def _canonical(column: str) -> str:
 _KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, title, body in LICENCES for text in (body, f"{title}\n\n{body}"))
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _small(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+
 
 ORACLE: dict[str, str] = {
     "op3_zstandard_archives": """
@@ -105,5 +111,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
         OR 10 * n_commonest > 3 * n_words
         OR 5 * n_repeat_words > 2 * n_words) AS kept
 FROM judged
+""",
+    "op12_segment_resampling": rf"""
+WITH crc AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS steps
+), base AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all({_small("text")}, '{_LETTERS}') AS words
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT row_no, unnest(words) AS word FROM base
+), aimed AS MATERIALIZED (
+    SELECT unnest(regexp_extract_all({_small("text")}, '{_LETTERS}')) AS word FROM benchmark
+), spelled AS (
+    SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM placed UNION SELECT word FROM aimed)
+), hashed AS MATERIALIZED (
+    SELECT word, xor(list_reduce(
+        list_transform(range(strlen(word)), lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM spelled, crc
+), all_docs AS (
+    SELECT bucket, count(*) AS s FROM placed JOIN hashed USING (word) GROUP BY bucket
+), all_aimed AS (
+    SELECT bucket, count(*) AS t FROM aimed JOIN hashed USING (word) GROUP BY bucket
+), sums AS (
+    SELECT (SELECT count(*) FROM placed) AS all_s, (SELECT count(*) FROM aimed) AS all_t
+), gains AS (
+    SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)::DOUBLE)
+        / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM all_docs LEFT JOIN all_aimed USING (bucket), sums
+), weights AS (
+    SELECT row_no, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+    FROM placed JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row_no
+), scored AS (
+    SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln(
+            (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM base LEFT JOIN weights USING (row_no)
+), ranked AS (
+    SELECT *, n_features >= 20 AND doc_id IS NOT NULL AS fit,
+        row_number() OVER (PARTITION BY n_features >= 20 AND doc_id IS NOT NULL ORDER BY score DESC, doc_id) AS place,
+        count(*) OVER (PARTITION BY n_features >= 20 AND doc_id IS NOT NULL) AS n_fit
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 10 * n_fit // 100 THEN place END AS rank
+FROM ranked
 """,
 }

@@ -12,6 +12,7 @@ from clickledger.llm import langid
 from clickledger.llm.ann import nearest_neighbours
 from clickledger.llm.bpe import encode
 from clickledger.llm.common import fold, table
+from clickledger.llm.importance import resample
 from clickledger.llm.licences import known_licences, scan
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.packing import pack
@@ -110,6 +111,11 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
 
+def op12_segment_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resample(docs, target, width=1, buckets=10_000, percent=10, least_words=20, seed=2024)
+
+
 QUERIES: dict[str, Query] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -121,4 +127,5 @@ QUERIES: dict[str, Query] = {
     "op8_rule_cascade": op8_rule_cascade,
     "op9_one_bit_codes": op9_one_bit_codes,
     "op10_superminhash": op10_superminhash,
+    "op12_segment_resampling": op12_segment_resampling,
 }
