@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickledger.llm import langid
+from clickledger.llm.alignment import align
 from clickledger.llm.ann import nearest_neighbours
 from clickledger.llm.bpe import encode
 from clickledger.llm.common import fold, table
@@ -111,6 +112,11 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
 
+def op11_galloping_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    byte_level, pieces = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(table(spark, folder, "documents"), byte_level, pieces)
+
+
 def op12_segment_resampling(spark: SparkSession, folder: str) -> DataFrame:
     docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return resample(docs, target, width=1, buckets=10_000, percent=10, least_words=20, seed=2024)
@@ -127,5 +133,6 @@ QUERIES: dict[str, Query] = {
     "op8_rule_cascade": op8_rule_cascade,
     "op9_one_bit_codes": op9_one_bit_codes,
     "op10_superminhash": op10_superminhash,
+    "op11_galloping_alignment": op11_galloping_alignment,
     "op12_segment_resampling": op12_segment_resampling,
 }
