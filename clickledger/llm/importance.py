@@ -141,7 +141,7 @@ def gains(docs: DataFrame, target: DataFrame, width: int, buckets: int) -> DataF
     both = docs.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
     for side in (counted, aimed):
         both = both.join(side, "bucket", "left")
-    both = stage(both.fillna(0).coalesce(1), "gains")  # one row a bucket: a fixed number
+    both = stage(both.fillna(0), "gains", narrow=True)  # one row a bucket: a fixed number
     whole = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
     share = ((F.col("t") + 1).cast("double") * (F.col("all_s") + buckets).cast("double")) / (
         (F.col("s") + 1).cast("double") * (F.col("all_t") + buckets).cast("double")
