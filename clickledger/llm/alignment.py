@@ -23,7 +23,9 @@ from clickledger.llm.bytewords import text_bytes
 from clickledger.llm.common import slices, stage
 
 #: Texts of one block share one list of id pairs; its size bounds the memory of a task.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
+#: Characters given to a tokenizer at a time, since its own results are many times as large.
+_GIVEN = 1 << 18
 #: Groups with more links than this are counted by their distinct ids; results are the same.
 WIDE = 4096
 #: The pattern that byte-level tokenizer files split by, unless told otherwise.
@@ -47,6 +49,21 @@ class Side:
         self.size = np.fromiter(map(len, table), np.int64, len(table))
         self.first = np.cumsum(self.size) - self.size
 
+    def arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, a few texts at a time; an empty text has none."""
+        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+        given: list[int] = []
+        size = 0
+        for i, text in enumerate(texts):
+            if text:
+                given.append(i)
+                size += len(text)
+            if given and (size >= _GIVEN or i == len(texts) - 1):
+                for j, ids in zip(given, self.encode([texts[k] for k in given])):
+                    out[j] = np.asarray(ids, np.int32)
+                given, size = [], 0
+        return out
+
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         size = self.size[ids]
         ends = np.cumsum(size)
@@ -146,12 +163,18 @@ class Tokens:
     ends: np.ndarray
 
     @classmethod
-    def of(cls, side: Side, parts: list[list[int]]) -> "Tokens":
-        ids = np.concatenate([np.empty(0, np.int32), *(np.array(p, np.int32) for p in parts)])
+    def of(cls, side: Side, parts: list[np.ndarray]) -> "Tokens":
+        ids = np.concatenate([np.empty(0, np.int32), *parts])
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int64)
         running = np.concatenate([[0], np.cumsum(side.size[ids])])
         return cls(ids, bounds, running[1:] - np.repeat(running[bounds[:-1]], np.diff(bounds)))
 
+    def only(self, texts: np.ndarray) -> "Tokens":
+        """Without the tokens of the other texts, which stay as texts without tokens."""
+        n = np.diff(self.bounds)
+        kept = np.repeat(texts, n)
+        return Tokens(self.ids[kept], np.concatenate([[0], np.cumsum(n * texts)]), self.ends[kept])
+
 
 def common_ends(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Places in ``a`` and in ``b`` of all tokens that end at the same byte of the same text.
@@ -266,16 +289,12 @@ def tokenised(texts: pa.Array, a: Side, b: Side) -> tuple[Tokens, Tokens]:
     """Tokens of both sides; a text whose tokens do not spell a space and the text has none on either."""
     texts = texts.fill_null("")
     strings = texts.to_pylist()
-    full = [i for i, t in enumerate(strings) if t]
-    parts_a: list[list[int]] = [[] for _ in strings]
-    parts_b: list[list[int]] = [[] for _ in strings]
-    for i, one, two in zip(full, a.encode([" " + strings[i] for i in full]), b.encode([strings[i] for i in full])):
-        parts_a[i], parts_b[i] = one, two
     wanted, ends = text_bytes(texts)
     starts = ends - np.diff(ends, prepend=0)
     good = np.ones(len(strings), bool)
-    for side, parts in ((a, parts_a), (b, parts_b)):
-        tokens = Tokens.of(side, parts)
+    both = []
+    for side, given in ((a, [" " + t if t else t for t in strings]), (b, strings)):
+        tokens = Tokens.of(side, side.arrays(given))
         spelled = side.bytes_of(tokens.ids)
         length = np.concatenate([[0], np.cumsum(side.size[tokens.ids])])[tokens.bounds]
         same = np.diff(length) == ends - starts + 1
@@ -285,7 +304,8 @@ def tokenised(texts: pa.Array, a: Side, b: Side) -> tuple[Tokens, Tokens]:
         differ = spelled[_ranges(length[rows] + 1, size)] != wanted[_ranges(starts[rows], size)]
         same[np.repeat(rows, size)[differ]] = False
         good &= same
-    return tuple(Tokens.of(s, [p if g else [] for p, g in zip(parts, good)]) for s, parts in ((a, parts_a), (b, parts_b)))
+        both.append(tokens)
+    return both[0].only(good), both[1].only(good)
 
 
 _BLOCKS = (
