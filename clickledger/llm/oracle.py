@@ -156,5 +156,33 @@ WITH crc AS MATERIALIZED (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 10 * n_fit // 100 THEN place END AS rank
 FROM ranked
+""",
+    "op13_prefix_tree_join": rf"""
+WITH RECURSIVE cut AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all({_small("text")}, '{_WORD}') AS words
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT row_no, doc_id, list_distinct(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS items
+    FROM cut
+), placed AS MATERIALIZED (
+    SELECT row_no, doc_id, len(items) AS n, unnest(items) AS item FROM sets WHERE doc_id IS NOT NULL
+), links AS MATERIALIZED (
+    SELECT DISTINCT a, b FROM (
+        SELECT one.doc_id AS a, two.doc_id AS b
+        FROM placed AS one JOIN placed AS two ON one.item = two.item AND one.row_no <> two.row_no
+        GROUP BY one.row_no, two.row_no, one.doc_id, two.doc_id, one.n, two.n
+        HAVING 100 * count(*) >= 85 * (one.n + two.n - count(*)))
+), reach AS (
+    SELECT DISTINCT doc_id, doc_id AS other FROM placed
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+), lowest AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(items)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN lowest USING (doc_id)
 """,
 }

@@ -16,6 +16,7 @@ from clickledger.llm.common import fold, table
 from clickledger.llm.importance import resample
 from clickledger.llm.licences import known_licences, scan
 from clickledger.llm.neardup import near_duplicates
+from clickledger.llm.ngram_join import ngram_join
 from clickledger.llm.packing import pack
 from clickledger.llm.quality import score, train
 from clickledger.llm.rules import apply_rules
@@ -122,6 +123,10 @@ def op12_segment_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(docs, target, width=1, buckets=10_000, percent=10, least_words=20, seed=2024)
 
 
+def op13_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(table(spark, folder, "documents"), width=4, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -135,4 +140,5 @@ QUERIES: dict[str, Query] = {
     "op10_superminhash": op10_superminhash,
     "op11_galloping_alignment": op11_galloping_alignment,
     "op12_segment_resampling": op12_segment_resampling,
+    "op13_prefix_tree_join": op13_prefix_tree_join,
 }
