@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 
 from clickledger.operators.click_counts import clicks_in_window
 from clickledger.operators.dedup import dedup_events
-from clickledger.operators.first_click import ATTRIBUTION_WINDOW, first_click_attribution
+from clickledger.operators.first_click import ATTRIBUTION_WINDOW, first_click_attribution, first_clicks
 from clickledger.operators.interval_join import attribution_pairs
-from clickledger.plans import reports
+from clickledger.plans import reports, rollups
 from clickledger.plans.quality import audit_constraints
 from clickledger.plans.stats import table_sample, table_stats
 from clickledger.plans.summaries import SUMMARIES, read_summary, refresh_all
@@ -29,14 +29,23 @@ from clickledger.schemas import (
     RAW_CHECKOUT_SCHEMA,
     RAW_CLICK_SCHEMA,
     RULES,
+    WINNER_SCHEMA,
     TableRules,
 )
 from clickledger.session import shared_dir
 from clickledger.sources import feeds, tables
 from clickledger.sources import shop_events as shop
-from clickledger.streaming.attribution import read_attributed
-from clickledger.streaming.pipeline import start_attribution, start_raw_checkouts, start_raw_clicks
-from clickledger.streaming.sinks import keyed_writer, read_recent, read_store
+from clickledger.streaming import late
+from clickledger.streaming.attribution import final_winners, pair_stream, read_attributed
+from clickledger.streaming.pipeline import start_attribution, start_raw_checkouts, start_raw_clicks, wait
+from clickledger.streaming.sinks import (
+    ensure_table,
+    keyed_writer,
+    read_recent,
+    read_store,
+    stored_schema,
+    write_by_date,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,7 +225,7 @@ def stored_click_to_checkout_rate(spark: SparkSession, folder: str) -> DataFrame
     def stored(feed: DataFrame, name: str, schema: T.StructType) -> DataFrame:
         timed = feed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
         keyed_writer(f"{root}/{name}", schema, "event_id", "event_timestamp")(timed, 0)
-        return read_recent(spark, f"{root}/{name}", schema, "event_timestamp", clock(HOUR).cast("timestamp"))
+        return read_recent(spark, f"{root}/{name}", schema, "event_id", "event_timestamp", clock(HOUR).cast("timestamp"))
 
     raw = raw_tables(spark, folder)
     return reports.click_to_checkout_rate(
@@ -316,13 +325,6 @@ def refreshed_summary(spark: SparkSession, folder: str) -> DataFrame:
 # --- streaming ----------------------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    stream = feeds.read_stream(
-        spark, "parquet", folder, shop.SCHEMAS["events"], pathGlobFilter="events.parquet"
-    )
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
-
-
 @contextmanager
 def state_partitions(spark: SparkSession) -> Iterator[None]:
     """One state partition per core: a streaming query keeps the number it is started with."""
@@ -335,42 +337,123 @@ def state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def zone_less(df: DataFrame) -> DataFrame:
+    """Instants as the zone-less times of the test tables."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, k in kinds.items() if k == T.TimestampType()})
+
+
+def delivered(spark: SparkSession, folder: str, root: str, closing: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Clicks and checkouts of the whole event table, as a stream of several deliveries."""
+    shop.deliver(spark, folder, f"{root}/feed", closing)
+    events = shop.delivered_stream(spark, f"{root}/feed")
+    return shop.shape_clicks(events), shop.shape_checkouts(events)
+
+
+def fresh_root(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def streamed_attribution(window: timedelta) -> Query:
-    """Replay of the whole event table through the streaming join and its sink."""
+    """The deliveries through the attribution and its stores."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        root = f"{shared_dir(spark)}/attribution-{uuid.uuid4().hex}"
-        events = event_stream(spark, folder)
-        clicks, checkouts = shop.shape_clicks(events), shop.shape_checkouts(events)
+        root = fresh_root(spark, "attribution")
+        feeds_of = delivered(spark, folder, root)
         with state_partitions(spark):
-            query = start_attribution(
-                clicks, checkouts, f"{root}/table", f"{root}/checkpoint", window, trigger=ONCE
-            )
+            query = start_attribution(*feeds_of, f"{root}/table", f"{root}/checkpoint", window, shop.DELAY, ONCE)
         query.awaitTermination()
-        winners = read_attributed(spark, f"{root}/table").drop("processed_at")
-        zone_less = {
-            c: F.col(c).cast("timestamp_ntz")
-            for c in ("checkout_timestamp", "first_click_timestamp")
-        }
-        return comparable(winners.withColumns(zone_less))
+        return comparable(zone_less(read_attributed(spark, f"{root}/table").drop("processed_at")))
 
     return query
 
 
-def streamed_raw(shape: Callable, start: Callable, stored: Callable) -> Query:
-    """Replay of one feed, through its keyed sink."""
+def streamed_raw(which: int, start: Callable, stored: Callable) -> Query:
+    """The deliveries of one feed, through its keyed sink."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        root = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
-        feed = shape(event_stream(spark, folder))
+        root = fresh_root(spark, "raw")
+        feed = delivered(spark, folder, root)[which]
         with state_partitions(spark):
             query = start(feed, f"{root}/table", f"{root}/checkpoint", ONCE)
         query.awaitTermination()
         columns = stored(feed).schema
-        table = read_store(spark, f"{root}/table", columns).select(*columns.names)
-        return comparable(
-            table.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+        return comparable(zone_less(read_store(spark, f"{root}/table", columns).select(*columns.names)))
+
+    return query
+
+
+def streamed_pairs(final: bool) -> Query:
+    """The deliveries through the stream-stream join; ``final`` keeps the winner of each closed window."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = fresh_root(spark, "pairs")
+        clicks, checkouts = delivered(spark, folder, root, closing=final)
+        pairs = pair_stream(clicks, checkouts, delay=shop.DELAY)
+        if final:
+            out = final_winners(pairs).drop("processed_at")
+        else:
+            out = pairs.withColumn("click_id", F.col("click.event_id")).drop("click")
+        with state_partitions(spark):
+            query = (
+                out.writeStream.format("parquet")
+                .option("path", f"{root}/table")
+                .option("checkpointLocation", f"{root}/checkpoint")
+                .outputMode("append")
+                .trigger(**ONCE)
+                .start()
+            )
+        query.awaitTermination()
+        return comparable(zone_less(spark.read.schema(out.schema).parquet(f"{root}/table")))
+
+    return query
+
+
+def checkout_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of all checkouts of the deliveries: attributed, unmatched, or behind the watermark."""
+    root = fresh_root(spark, "outcomes")
+    clicks, checkouts = delivered(spark, folder, root)
+    with state_partitions(spark):
+        started = [
+            start_attribution(
+                clicks, checkouts, f"{root}/attributed_checkouts", f"{root}/checkpoint", HOUR, shop.DELAY, ONCE
+            ),
+            start_raw_checkouts(checkouts, f"{root}/raw_checkouts", f"{root}/checkpoint", ONCE),
+        ]
+    wait(started, until_all=True)
+    return comparable(late.checkout_outcomes(spark, root))
+
+
+def incremental_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly summary as the batches of the deliveries left it."""
+    root = fresh_root(spark, "rollups")
+    feeds_of = delivered(spark, folder, root)
+    with state_partitions(spark):
+        query = start_attribution(
+            *feeds_of, f"{root}/table", f"{root}/checkpoint", HOUR, shop.DELAY, ONCE, summaries=f"{root}/summaries"
         )
+    query.awaitTermination()
+    return comparable(zone_less(rollups.revenue_by_source(spark, f"{root}/summaries")))
+
+
+def merged(report: Callable[[SparkSession, str], DataFrame], batches: int = 3) -> Query:
+    """A report merged from partial tables, which several batches of stored credits brought up to date."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = fresh_root(spark, "merged")
+        winners = first_clicks(shop.clicks(spark, folder), shop.checkouts(spark, folder), HOUR)
+        timed = {c: F.col(c).cast("timestamp") for c in ("checkout_timestamp",)}
+        click = F.col("click").withField("event_timestamp", F.col("click.event_timestamp").cast("timestamp"))
+        winners = winners.withColumns(timed).withColumn("click", click).select(*WINNER_SCHEMA.names)
+        winners.write.parquet(f"{root}/credits")
+        winners = spark.read.schema(WINNER_SCHEMA).parquet(f"{root}/credits")
+        ensure_table(spark, f"{root}/store", stored_schema(WINNER_SCHEMA))
+        update = rollups.summarising_writer(f"{root}/store", f"{root}/summaries", users=shop.users(spark, folder))
+        for number in range(batches):
+            batch = winners.where(F.pmod(F.xxhash64("checkout_id"), F.lit(batches)) == number)
+            write_by_date(batch, str(number), f"{root}/store", "checkout_timestamp")
+            update(batch, number)
+        return comparable(report(spark, f"{root}/summaries"))
 
     return query
 
@@ -426,8 +509,12 @@ QUERIES: dict[str, Query] = {
     **{name: _comparable(query) for name, query in _REPORTS.items()},
     "streaming_attribution": streamed_attribution(HOUR),
     "streaming_attribution_24h": streamed_attribution(DAY),
-    "streaming_raw_clicks": streamed_raw(shop.shape_clicks, start_raw_clicks, tables.raw_clicks),
-    "streaming_raw_checkouts": streamed_raw(
-        shop.shape_checkouts, start_raw_checkouts, tables.raw_checkouts
-    ),
+    "streaming_raw_clicks": streamed_raw(0, start_raw_clicks, tables.raw_clicks),
+    "streaming_raw_checkouts": streamed_raw(1, start_raw_checkouts, tables.raw_checkouts),
+    "streaming_pairs": streamed_pairs(final=False),
+    "streaming_final_winner": streamed_pairs(final=True),
+    "streaming_checkout_outcomes": checkout_outcomes,
+    "refresh_summaries_incremental": incremental_summary,
+    "category_performance_merged": merged(rollups.category_performance),
+    "segment_performance_merged": merged(rollups.segment_performance),
 }

@@ -17,15 +17,21 @@ def read_stream(
     fmt: str,
     path: str | None = None,
     schema: T.StructType | str | None = None,
+    limit: int | None = None,
     **options: str | int,
 ) -> DataFrame:
-    """Streaming read from the oldest record on.
+    """Streaming read from the oldest record on, at most ``limit`` files or records a micro-batch.
+
+    Without a limit a first start takes a whole backlog as one batch, which every sink then has to hold.
+    With one, batches follow each other, also under ``availableNow``, and the watermark moves between.
 
     ``fmt`` is any streaming source on the classpath. Files are read from the oldest by nature; for
     Kafka the earliest offset is asked for. Other connectors take their own option from the caller.
     """
     if fmt == "kafka":
         options.setdefault("startingOffsets", "earliest")
+    if limit is not None:
+        options.setdefault("maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger", limit)
     reader = spark.readStream.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

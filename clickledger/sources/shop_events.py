@@ -12,6 +12,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickledger.sources.feeds import read_stream
+
 PRODUCTS = 50
 CATEGORIES = ["Electronics", "Clothing", "Home", "Books", "Sports", "Toys", "Beauty", "Garden"]
 REFERRERS = ["google", "facebook", "direct", "email", "organic"]
@@ -114,3 +116,57 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
 def clock(spark: SparkSession, folder: str) -> Callable[[timedelta], Column]:
     """The latest event stands for now: gives the time so long before it, as a scalar subquery."""
     return lambda back: table(spark, folder, "events").agg(F.max("ts") - F.lit(back)).scalar()
+
+
+#: The feed's deliveries: how many, in files how many each, and how far events may lag behind.
+DROPS, FILES, LAG, DELAY = 8, 4, timedelta(hours=6), "12 hours"
+
+
+def deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table with ``drop``, the delivery each event comes in, repeats included.
+
+    Deliveries are equal spans of time. A third of what happens less than LAG before a delivery's end
+    comes with the next one; one in 50 comes three deliveries late, behind any watermark of DELAY; one in
+    10 comes twice, and one in 11 again with the next delivery.
+    """
+    events = table(spark, folder, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    since = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{first}', {{}})"
+    span = F.expr(f"{since.format(f"TIMESTAMP_NTZ'{last}'")} + 1")
+    passed = F.expr(since.format("ts"))
+
+    def drop_at(microseconds: Column) -> Column:
+        return F.floor(microseconds * DROPS / span).cast("int")
+
+    on_time, lagging = drop_at(passed), drop_at(passed + int(LAG.total_seconds()) * 1_000_000)
+    number, end = F.col("event_id"), F.lit(DROPS - 1)
+    late = (number % 50 == 7) & (on_time <= DROPS - 4)
+    held = (number % 3 == 1) & (lagging > on_time) & (on_time < end)
+    drop = F.when(late, on_time + 3).when(held, on_time + 1).otherwise(on_time)
+    again = F.array(drop, F.when(number % 10 == 3, drop), F.when(number % 11 == 5, F.least(drop + 1, end)))
+    return events.withColumn("drop", F.explode(F.array_compact(again)))
+
+
+def deliver(spark: SparkSession, folder: str, path: str, closing: bool = False) -> None:
+    """Write the deliveries to ``path`` one after another, as a file source would find them.
+
+    ``closing`` adds a last one, of events far ahead by a user of their own, which closes all windows.
+    """
+    delivered = deliveries(spark, folder)
+    parts = [delivered.where(F.col("drop") == k).drop("drop") for k in range(DROPS)]
+    if closing:
+        last = table(spark, folder, "events").agg((F.max("ts") + F.expr("INTERVAL 60 DAYS")).alias("ts"))
+        kinds = F.explode(F.array(F.lit("click"), F.lit("purchase")))
+        row = last.select(F.explode(F.sequence(F.lit(1), F.lit(4 * FILES))).alias("i"), "ts").select("i", "ts", kinds.alias("event_type"))
+        away = row.selectExpr("-2 * i - int(event_type = 'click') AS event_id", "ts", "-i AS user_id", "event_type", "1.0D AS value", "'{\"k\": 0}' AS props")
+        # Purchases before clicks: none of these is attributed.
+        parts.append(away.withColumn("ts", F.when(F.col("event_type") == "click", F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))))
+    for part in parts:
+        columns = [F.col(f.name).cast(f.dataType) for f in delivered.drop("drop").schema]
+        part.select(*columns).repartition(FILES).write.mode("append").parquet(path)
+
+
+def delivered_stream(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`deliver` wrote, one delivery a micro-batch, with instants for times."""
+    stream = read_stream(spark, "parquet", path, SCHEMAS["events"], limit=FILES)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))

@@ -115,16 +115,16 @@ def attributing_writer(
         spark, name = batch.sparkSession, batch_name(run, batch_id)
         batch = batch.where(F.col("user_id").isNotNull() & F.col(TIME).isNotNull()).persist()
         try:
-            span = batch.agg(F.min(TIME).alias("low"), F.max(TIME).alias("high")).first()
+            first, last = F.min(TIME) - F.lit(window), F.max(TIME) + F.lit(window)
+            days = F.sequence(F.to_date(first), F.to_date(last))
+            span = batch.agg(first.alias("low"), last.alias("high"), days.alias("days")).first()
             if span.low is None:
                 log.info("batch %s: nothing to write to %s", name, root)
                 return
             write_by_date(batch, name, events_of(root), TIME)
-            low, high = span.low - window, span.high + window
             near = (
-                read_store(spark, events_of(root), EVENT_SCHEMA)
-                .where(F.col("event_date").between(F.lit(low.date()), F.lit(high.date())))
-                .where(F.col(TIME).between(F.lit(low), F.lit(high)))
+                read_store(spark, events_of(root), EVENT_SCHEMA, span.days)
+                .where(F.col(TIME).between(F.lit(span.low), F.lit(span.high)))
                 .join(batch.select("user_id").distinct(), "user_id", "left_semi")
             )
             winners = first_clicks(_feed(near, "click"), _feed(near, "checkout"), window)
@@ -162,6 +162,11 @@ def first_of_pairs(pairs: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def earliest_credits(stored: DataFrame) -> DataFrame:
+    """One stored credit per checkout, with the time it was stored: what readers of the store count."""
+    return first_of_pairs(stored, "created_at").select(*WINNER_SCHEMA.names, "created_at")
+
+
 def current_winners(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:
     """Attribution table over all stored batches: the earliest click any of them found.
 

@@ -6,8 +6,9 @@
         --payload value --tables <folder> --checkpoint <folder>
 
 Source options are passed to the connector as they are. File sources take ``path=<folder>``. With
-``--database`` the tables are also appended to a database; ``--close-days`` settles and compacts stored
-days instead of reading the streams.
+``--database`` the tables are also appended to a database, with ``--summaries`` the summaries follow each
+batch; ``--close-days`` settles and compacts stored days and sets their late events apart, instead of
+reading the streams, and ``--expire-days`` then drops older days from the event store.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from clickledger.schemas import CHECKOUT_SCHEMA, CLICK_SCHEMA
 from clickledger.session import build_session
 from clickledger.sources.feeds import decode, read_stream
 from clickledger.streaming.attribution import WATERMARK
+from clickledger.streaming.late import WatermarkDrops
 from clickledger.streaming.pipeline import close_days, start_pipeline, wait
 from clickledger.streaming.sinks import jdbc_writer
 
@@ -41,35 +43,40 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--database", metavar="URL", help="JDBC address to append the tables to")
     parser.add_argument("--database-options", nargs="+", default=[], metavar="OPTION=VALUE")
     parser.add_argument("--close-days", nargs="+", metavar="YYYY-MM-DD")
+    parser.add_argument("--limit", type=int, help="files or records a micro-batch takes at most")
+    parser.add_argument("--expire-days", nargs="+", default=[], metavar="YYYY-MM-DD")
+    parser.add_argument("--summaries", metavar="FOLDER", help="keep summaries up to date there")
     parser.add_argument("--once", action="store_true", help="process what is there, then end")
     return parser.parse_args(arguments)
 
 
 def open_feed(
-    spark: SparkSession, source: str, options: list[str], payload: str, schema: T.StructType
+    spark: SparkSession, source: str, options: list[str], payload: str, schema: T.StructType, limit: int | None = None
 ) -> DataFrame:
     settings = dict(option.split("=", 1) for option in options)
-    stream = read_stream(spark, source, settings.pop("path", None), **settings)
+    stream = read_stream(spark, source, settings.pop("path", None), limit=limit, **settings)
     return decode(stream, schema, payload)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.close_days:
-        close_days(spark, args.tables, args.close_days)
+        close_days(spark, args.tables, args.close_days, args.expire_days)
         return
+    spark.streams.addListener(WatermarkDrops())
     second = None
     if args.database:
         options = dict(option.split("=", 1) for option in args.database_options)
         second = partial(jdbc_writer, args.database, properties=options)
     queries = start_pipeline(
-        open_feed(spark, args.source, args.clicks, args.payload, CLICK_SCHEMA),
-        open_feed(spark, args.source, args.checkouts, args.payload, CHECKOUT_SCHEMA),
+        open_feed(spark, args.source, args.clicks, args.payload, CLICK_SCHEMA, args.limit),
+        open_feed(spark, args.source, args.checkouts, args.payload, CHECKOUT_SCHEMA, args.limit),
         args.tables,
         args.checkpoint,
         timedelta(minutes=args.window_minutes),
         args.watermark,
         {"availableNow": True} if args.once else {"processingTime": args.trigger},
         second,
+        args.summaries,
     )
     wait(queries, until_all=args.once)
 

@@ -12,21 +12,25 @@ from pyspark.sql.streaming import StreamingQuery
 from clickledger.operators.first_click import ATTRIBUTION_WINDOW
 from clickledger.sources.feeds import valid_checkouts, valid_clicks
 from clickledger.sources.tables import raw_checkouts, raw_clicks
+from clickledger.plans.rollups import summarising_writer
 from clickledger.schemas import EVENT_SCHEMA, RAW_CHECKOUT_SCHEMA, RAW_CLICK_SCHEMA, WINNER_SCHEMA
 from clickledger.streaming.attribution import (
     TIME,
     WATERMARK,
     attributing_writer,
+    earliest_credits,
     event_stream,
     events_of,
     settle_days,
 )
+from clickledger.streaming.late import store_late
 from clickledger.streaming.sinks import (
     BatchWriter,
     checkpoint_run,
     compact_days,
     each_of,
     ensure_table,
+    expire_days,
     first_copies,
     keyed_writer,
     quarantining_writer,
@@ -63,13 +67,22 @@ def start_attribution(
     delay: str = WATERMARK,
     trigger: dict = TRIGGER,
     second: SecondStore | None = None,
+    summaries: str | None = None,
+    users: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Current-winner attribution into the batch store under ``root`` and the event store beside it."""
+    """Current-winner attribution into the batch store under ``root`` and the event store beside it.
+
+    With ``summaries``, a folder, each batch also brings the summaries of its hours up to date, by
+    segment too where ``users`` are given.
+    """
     spark = clicks.sparkSession
     ensure_table(spark, root, stored_schema(WINNER_SCHEMA))
     ensure_table(spark, events_of(root), stored_schema(EVENT_SCHEMA))
     run = checkpoint_run(spark, checkpoint, "attribution")
-    also = second("attributed_checkouts") if second else None
+    also = each_of(
+        second("attributed_checkouts") if second else None,
+        summarising_writer(root, summaries, run, users) if summaries else None,
+    )
     writer = attributing_writer(root, window, run, also)
     events = event_stream(clicks, checkouts, delay)
     return start_query(events, writer, checkpoint, "attribution", trigger)
@@ -129,6 +142,7 @@ def start_pipeline(
     delay: str = WATERMARK,
     trigger: dict = TRIGGER,
     second: SecondStore | None = None,
+    summaries: str | None = None,
 ) -> list[StreamingQuery]:
     """Start all three queries on decoded feeds; :func:`wait` for them."""
     return [
@@ -141,6 +155,7 @@ def start_pipeline(
             delay,
             trigger,
             second,
+            summaries,
         ),
         start_raw_clicks(clicks, f"{tables}/raw_clicks", checkpoint, trigger, second),
         start_raw_checkouts(checkouts, f"{tables}/raw_checkouts", checkpoint, trigger, second),
@@ -175,9 +190,19 @@ def read_raw_checkouts(spark: SparkSession, root: str, days: list[str] | None =
     return read_once(spark, root, RAW_CHECKOUT_SCHEMA, "event_id", TIME, days)
 
 
-def close_days(spark: SparkSession, tables: str, days: list[str]) -> None:
-    """Settle the attribution and compact the raw tables of days that no batch adds to any more."""
-    settle_days(spark, f"{tables}/attributed_checkouts", f"{tables}/attributed_settled", days)
+def close_days(spark: SparkSession, tables: str, days: list[str], expired: list[str] = ()) -> None:
+    """Settle, compact and look for late events in days that no batch adds to any more.
+
+    ``expired`` names days, settled before, whose events no open day's window reaches: they leave the
+    event store, and their credits stay in the settled table only.
+    """
+    attributed = f"{tables}/attributed_checkouts"
+    settle_days(spark, attributed, f"{tables}/attributed_settled", days)
+    if days:
+        store_late(spark, tables, days)
+        compact_days(spark, events_of(attributed), EVENT_SCHEMA, days, TIME, DataFrame.distinct)
+        compact_days(spark, attributed, WINNER_SCHEMA, days, "checkout_timestamp", earliest_credits)
+    expire_days(spark, events_of(attributed), expired)
 
     def once(stored: DataFrame) -> DataFrame:
         return first_copies(stored, "event_id", TIME)

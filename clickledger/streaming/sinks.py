@@ -165,12 +165,15 @@ def read_once(
 
 
 def read_recent(
-    spark: SparkSession, root: str, schema: T.StructType, time: str, since: Column
+    spark: SparkSession, root: str, schema: T.StructType, key: str, time: str, since: Column
 ) -> DataFrame:
-    """Stored rows from a time on; both the day folders and the files' statistics prune the scan."""
-    stored = read_store(spark, root, schema)
-    recent = stored.where((F.col("event_date") >= since.cast("date")) & (F.col(time) >= since))
-    return recent.select(*schema.names)
+    """Stored rows from a time on, one per key; the day folders prune the scan.
+
+    Of copies with different times the earliest of those days counts, so the time is asked for after
+    the copies are told apart; a copy on a day before all of these is not looked for.
+    """
+    stored = read_store(spark, root, schema).where(F.col("event_date") >= since.cast("date"))
+    return first_copies(stored.select(*schema.names), key, time).where(F.col(time) >= since)
 
 
 def compact_days(
@@ -194,7 +197,14 @@ def compact_days(
     merged = merged.repartition("event_date")
     merged.write.mode("append").partitionBy("event_date", "batch_id").parquet(root)
     for row in folders:
-        _delete(spark, f"{root}/event_date={row.event_date}/batch_id={row.batch_id}")
+        day = NO_DAY if row.event_date is None else row.event_date
+        _delete(spark, f"{root}/event_date={day}/batch_id={row.batch_id}")
+
+
+def expire_days(spark: SparkSession, root: str, days: list) -> None:
+    """Remove the given days of a table."""
+    for day in days:
+        _delete(spark, f"{root}/event_date={NO_DAY if day is None else day}")
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

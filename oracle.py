@@ -46,6 +46,17 @@ def with_feeds(body: str) -> str:
     return f"WITH {FEEDS}\n{body}"
 
 
+# The deliveries of the streaming queries: one event in 50 of the first five spans comes behind the watermark.
+LATE = """event_id % 50 = 7 AND floor((epoch_us(ts) - epoch_us((SELECT min(ts) FROM events))) * 8
+    / (epoch_us((SELECT max(ts) FROM events)) - epoch_us((SELECT min(ts) FROM events)) + 1)) <= 4"""
+
+
+def on_time(sql: str) -> str:
+    """The SQL over the events that come before the watermark has passed them."""
+    taken = f"FROM (SELECT * FROM events WHERE NOT ({LATE})) AS on_time WHERE"
+    return sql.replace("FROM events WHERE event_type", f"{taken} event_type")
+
+
 def with_attributed(body: str, window: str = "1 hour") -> str:
     seconds = (
         "CAST(floor(epoch(checkout_timestamp)) AS BIGINT)"
@@ -404,8 +415,25 @@ UNION ALL SELECT 'attributed_checkouts', COUNT(*) FROM attributed"""),
         )
     ),
     "audit_constraints": audit(),
-    "streaming_attribution": with_attributed(FIRST_CLICK),
-    "streaming_attribution_24h": with_attributed(FIRST_CLICK, "24 hour"),
+    "streaming_attribution": on_time(with_attributed(FIRST_CLICK)),
+    "streaming_attribution_24h": on_time(with_attributed(FIRST_CLICK, "24 hour")),
+    "streaming_final_winner": on_time(with_attributed(FIRST_CLICK)),
+    "streaming_pairs": on_time(with_attributed("""SELECT checkout_id, user_id, checkout_timestamp,
+       CAST(revenue AS DOUBLE) AS revenue, attributed_click_id AS click_id FROM ranked""")),
+    "streaming_checkout_outcomes": with_attributed(f"""SELECT outcome, COUNT(*) AS checkouts,
+       {amount("SUM(total_amount)")} AS revenue
+FROM (SELECT r.total_amount, CASE WHEN late.id IS NOT NULL THEN 'late' WHEN a.checkout_id IS NULL THEN 'unmatched'
+        ELSE 'attributed' END AS outcome
+      FROM raw_checkouts r LEFT JOIN attributed_on_time a ON r.event_id = a.checkout_id
+      LEFT JOIN (SELECT CAST(event_id AS VARCHAR) AS id FROM events WHERE {LATE}) AS late ON r.event_id = late.id)
+GROUP BY outcome""").replace("\nattributed AS (", f"""
+attributed_on_time AS (SELECT DISTINCT checkout_id FROM ranked
+  WHERE checkout_id NOT IN (SELECT CAST(event_id AS VARCHAR) FROM events WHERE {LATE})
+    AND attributed_click_id NOT IN (SELECT CAST(event_id AS VARCHAR) FROM events WHERE {LATE})),
+attributed AS ("""),
+    "refresh_summaries_incremental": on_time(with_attributed(MV_SOURCE)),
+    "category_performance_merged": with_attributed(CATEGORY),
+    "segment_performance_merged": with_attributed(SEGMENT),
     "streaming_raw_clicks": with_feeds(RAW_CLICKS),
     "streaming_raw_checkouts": with_feeds(RAW_CHECKOUTS),
 }
