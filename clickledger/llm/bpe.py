@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,6 +133,11 @@ def _joined(parts: list[bytes]) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(size + b"".join(parts))
 
 
+def _digest(words: list[bytes]) -> int:
+    size = np.array(list(map(len, words)), "<u4").tobytes()
+    return int(np.uint64(xxhash.xxh3_64_intdigest(size + b"".join(words))).view(np.int64))
+
+
 def _parted(blob: bytes) -> list[bytes]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
@@ -154,7 +160,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
     a row no more than a rare one; each bucket encodes each of its words once for the whole corpus. The
     ids go back to the blocks, where every text's positions put them in order. A task holds one block,
     or the distinct words of one bucket. ``docs`` is read twice and must give the same rows in the same
-    partitions both times, as a table does; a difference is noticed and raises.
+    partitions both times, as a table does. Each word list travels with a digest, and positions with the
+    digests of the lists they were made for, so a difference raises and never gives wrong ids.
 
     Null texts are empty and give no ids. Null and repeated doc_ids are rows like others. Columns other
     than doc_id and text are ignored. An empty table gives no rows.
@@ -175,11 +182,14 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, block in blocks(batches):
             spans = zip(block.starts[:-1], block.starts[1:])
-            yield _rows([(number, k, _joined(block.words[a:b]), None, None) for k, (a, b) in enumerate(spans) if b > a])
+            listed = [(k, block.words[a:b]) for k, (a, b) in enumerate(spans) if b > a]
+            yield _rows([(number, k, _joined(part), [_digest(part)], None) for k, part in listed])
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows, block in blocks(batches):
-            codes = _joined([str(len(block.words)).encode(), block.codes.astype("<u4").tobytes()])
+            spans = zip(block.starts[:-1], block.starts[1:])
+            digests = np.array([_digest(block.words[a:b]) for a, b in spans if b > a], "<i8").tobytes()
+            codes = _joined([digests, block.codes.astype("<u4").tobytes()])
             counts = np.diff(block.bounds).astype(np.int32)
             yield _rows([(number, buckets, codes, rows.column("doc_id").to_pylist(), counts)])
 
@@ -187,25 +197,32 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
         encoding, at, known = _one_piece(rank_file), None, {}
         for batch in batches:
             out = []
-            for number, bucket, blob in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "blob"))):
+            for number, bucket, blob, digest in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "blob", "doc_ids"))):
                 if bucket != at:
                     at, known = bucket, {}
                 listed = _parted(blob)
                 for word in listed:
                     if word not in known:
                         known[word] = np.array(encoding.encode_ordinary(word.decode()), "<u4").tobytes()
-                out.append((number, bucket, _joined(list(map(known.__getitem__, listed))), None, None))
+                out.append((number, bucket, _joined(list(map(known.__getitem__, listed))), digest, None))
             yield _rows(out)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[bytes] = []
+        digests: list[int] = []
+        at = None
         for batch in batches:
             for row in batch.to_pylist():
+                if row["block"] != at:
+                    if parts:
+                        raise ValueError("the documents changed between two reads")
+                    at = row["block"]
                 if row["bucket"] < buckets:
                     parts += _parted(row["blob"])
+                    digests += row["doc_ids"]
                     continue
-                n, codes = _parted(row["blob"])
-                if int(n) != len(parts):
+                expected, codes = _parted(row["blob"])
+                if np.array(digests, "<i8").tobytes() != expected:
                     raise ValueError("the documents changed between two reads")
                 size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
                 flat = np.frombuffer(b"".join(parts), "<u4")
@@ -216,7 +233,9 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                 if round_trip:
                     columns["decoded"] = pa.array([decoded_bytes(i, rank_file) for i in ids], pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
-                parts = []
+                parts, digests = [], []
+        if parts:
+            raise ValueError("the documents changed between two reads")
 
     listed = texts.mapInArrow(words, _DDL).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     known = listed.mapInArrow(ids_of_words, _DDL)

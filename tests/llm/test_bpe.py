@@ -64,3 +64,27 @@ def test_empty_table_and_repeated_rows(make_docs):
     rows = encode(make_docs([(None, "a b"), (1, "a b"), (1, "a b")]), PATH, public_tokenizers.PATTERN).collect()
     assert len(rows) == 3 and len({bytes(r.ids) for r in rows}) == 1
     assert bpe.BLOCK_BYTES > 0
+
+
+def test_another_order_on_the_second_read_is_right_or_raises(spark, tmp_path):
+    """A source that gives other rows to a partition each time it is read, as a shuffled one may."""
+    seen, rank_file = str(tmp_path / "seen"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = spark.range(0, 4000, numPartitions=2).selectExpr("id AS doc_id", "concat('word', id, ' and more ', id % 7) AS text")
+
+    def other_order(batches):
+        import os
+
+        first = os.path.exists(seen)
+        for batch in batches:
+            yield batch.slice(1000) if first else batch.slice(0, 1000)
+        open(seen, "w").close()
+
+    moving = rows.coalesce(1).mapInArrow(other_order, "doc_id long, text string")
+    try:
+        encoded = encode(moving, rank_file, public_tokenizers.PATTERN, buckets=4).collect()
+    except Exception as error:
+        assert "changed between two reads" in str(error)
+    else:
+        known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(rank_file), special_tokens={})
+        texts = {r.doc_id: r.text for r in rows.collect()}
+        assert all(np.frombuffer(r.ids, "<u4").tolist() == known.encode_ordinary(texts[r.doc_id]) for r in encoded)
