@@ -21,6 +21,7 @@ from clickledger.operators.first_click import ATTRIBUTION_WINDOW, first_click_at
 from clickledger.operators.interval_join import attribution_pairs
 from clickledger.plans import reports, rollups
 from clickledger.plans.quality import audit_constraints
+from clickledger.plans.sql_reports import register_reports
 from clickledger.plans.stats import table_sample, table_stats
 from clickledger.plans.summaries import SUMMARIES, read_summary, refresh_all
 from clickledger.schemas import (
@@ -246,6 +247,26 @@ def pipeline_health(hours: float) -> Query:
     )
 
 
+# --- reports called from SQL --------------------------------------------------------------------
+
+
+def sql_report(call: str) -> Query:
+    """A report called by name in SQL; ``{clock}`` in the call is the time of the latest event."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        tables.register_views(
+            raw_clicks=shop.clicks(spark, folder),
+            raw_checkouts=shop.checkouts(spark, folder),
+            attributed_checkouts=attributed(spark, folder),
+            users=shop.users(spark, folder),
+        )
+        register_reports(spark)
+        latest = shop.table(spark, folder, "events").agg(F.max("ts").alias("ts")).first().ts
+        return spark.sql(f"SELECT * FROM {call.format(clock=f"TIMESTAMP_NTZ'{latest}'")}")
+
+    return query
+
+
 # --- tables -------------------------------------------------------------------------------------
 
 
@@ -495,6 +516,16 @@ _REPORTS: dict[str, Query] = {
     "mv_category_performance": on_attributed(SUMMARIES["mv_category_performance"]),
     "mv_device_analysis": on_attributed(SUMMARIES["mv_device_analysis"]),
     "refresh_summaries": refreshed_summary,
+    "sql_revenue_by_source": sql_report("revenue_by_source()"),
+    "sql_time_to_purchase": sql_report("time_to_purchase()"),
+    "sql_category_performance": sql_report("category_performance()"),
+    "sql_device_conversion": sql_report("device_conversion()"),
+    "sql_hourly_revenue_720h": sql_report("hourly_revenue(hours => 720, as_of => {clock})"),
+    "sql_segment_performance": sql_report("segment_performance()"),
+    "sql_top_products": sql_report("top_products()"),
+    "sql_click_to_checkout_rate": sql_report("click_to_checkout_rate(as_of => {clock})"),
+    "sql_clicks_per_checkout_24h": sql_report("clicks_per_checkout(window_seconds => 86400)"),
+    "sql_pipeline_health": sql_report("pipeline_health(as_of => {clock})"),
     "users_dimension": users_dimension,
     "users_by_segment": lambda s, f: reports.users_by_segment(shop.users(s, f)),
     "seed_summary": lambda s, f: reports.seed_summary(shop.users(s, f)),

@@ -437,3 +437,20 @@ attributed AS ("""),
     "streaming_raw_clicks": with_feeds(RAW_CLICKS),
     "streaming_raw_checkouts": with_feeds(RAW_CHECKOUTS),
 }
+
+# The reports called by name in SQL are checked against the same text as the others.
+ORACLE |= {
+    f"sql_{name}": ORACLE[name]
+    for name in (
+        "revenue_by_source",
+        "time_to_purchase",
+        "category_performance",
+        "device_conversion",
+        "hourly_revenue_720h",
+        "segment_performance",
+        "top_products",
+        "click_to_checkout_rate",
+        "clicks_per_checkout_24h",
+        "pipeline_health",
+    )
+}
