@@ -28,7 +28,7 @@ ONLY = os.environ.get("BENCH_QUERIES", "").split()
 
 
 #: Replays of many micro-batches, long enough to be timed once.
-REPLAYS = ("streaming_", "refresh_summaries_incremental")
+REPLAYS = ("streaming_", "refresh_summaries_incremental", "category_performance_merged", "segment_performance_merged")
 
 
 def timed(spark, name: str) -> float:

@@ -2,7 +2,8 @@
 
 The tables of a refresh are written to a folder of their own first. Only then one row naming it is
 appended to the log, so a reader sees all old tables or all new ones, and a refresh that fails on the way
-shows nothing. Versions are ordered by their number in the log, not by a clock.
+shows nothing. Versions are ordered by their number in the log, not by a clock. A number is claimed by
+creating a file of that name, which only one of several publishers can do.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,23 @@ _LOG_SCHEMA = "number BIGINT, version STRING, schemas MAP<STRING, STRING>, publi
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/published")
+    return spark.read.schema(_LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{root}/published")
+
+
+def _claim(spark: SparkSession, root: str, number: int) -> int:
+    """The first number from ``number`` on that no other publisher has claimed."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/claims")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    while True:
+        claim = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}")
+        try:
+            files.create(claim, False).close()
+            return number
+        except Py4JJavaError:
+            if not files.exists(claim):
+                raise
+            number += 1
 
 
 def publish(spark: SparkSession, root: str, builds: dict[str, Callable[[], DataFrame]]) -> str:
@@ -31,15 +49,21 @@ def publish(spark: SparkSession, root: str, builds: dict[str, Callable[[], DataF
         table = build()
         table.write.parquet(f"{root}/versions/{version}/{name}")
         schemas[name] = table.schema.json()
-    last = _log(spark, root).agg(F.coalesce(F.max("number"), F.lit(0)).alias("last"))
+    last = _log(spark, root).agg(F.coalesce(F.max("number"), F.lit(0)).alias("last")).first().last
     listed = F.create_map(*[F.lit(x) for pair in schemas.items() for x in pair])
-    entry = last.select(
-        (F.col("last") + 1).alias("number"),
+    number = _claim(spark, root, last + 1)
+    entry = spark.range(1).select(
+        F.lit(number).cast("bigint").alias("number"),
         F.lit(version).alias("version"),
         listed.alias("schemas"),
         F.current_timestamp().alias("published_at"),
     )
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    # Written aside and moved, so that readers and other publishers never meet unfinished files.
+    entry.coalesce(1).write.parquet(f"{root}/versions/{version}/entry")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done, listed_at = path(f"{root}/versions/{version}/entry"), path(f"{root}/published/{number:012d}")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(done, listed_at):
+        raise OSError(f"version {version} could not be listed")
     return version
 
 
