@@ -56,6 +56,16 @@ def slots_between(first: Column, last: Column, seconds: int) -> Column:
     return F.sequence(slot_of(first, seconds), slot_of(last, seconds))
 
 
+def slot_start(slot: Column, seconds: int) -> Column:
+    """The instant a slot begins."""
+    return F.timestamp_seconds(slot * F.lit(seconds))
+
+
+def days_between(first: Column, last: Column) -> Column:
+    """All days from that of one time to that of another, both included."""
+    return F.sequence(F.to_date(first), F.to_date(last))
+
+
 def whole_seconds(window: timedelta) -> int:
     """Length of an attribution window, which must be a positive whole number of seconds."""
     seconds = int(window.total_seconds())

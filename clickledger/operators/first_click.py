@@ -75,7 +75,7 @@ def first_clicks(
         F.struct(*CHECKOUT_FIELDS).alias("checkout"),
         F.explode(slots_between(until - length, until, width)).alias("slot"),
     )
-    matched = _nearest_click(clicks.unionByName(probes, allowMissingColumns=True))
+    matched = nearest_click(clicks.unionByName(probes, allowMissingColumns=True))
 
     # Answers of several slots and repeated deliveries end as one row a checkout, combined map-side.
     return (
@@ -121,7 +121,7 @@ def slot_seconds(window: timedelta) -> int:
     return max(1, whole_seconds(window) // 8)
 
 
-def _nearest_click(timeline: DataFrame) -> DataFrame:
+def nearest_click(timeline: DataFrame) -> DataFrame:
     """Probes of the timeline with their slot's first click at or after them, if not after ``until``.
 
     Walking backwards, a click at a probe's own instant has to be passed before the probe, and the

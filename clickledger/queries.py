@@ -34,7 +34,7 @@ from clickledger.schemas import (
     TableRules,
 )
 from clickledger.session import shared_dir
-from clickledger.sources import feeds, tables
+from clickledger.sources import colocated, feeds, tables
 from clickledger.sources import shop_events as shop
 from clickledger.streaming import late
 from clickledger.streaming.attribution import final_winners, pair_stream, read_attributed
@@ -140,13 +140,16 @@ def checkout_payloads(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.collect_list(item).alias("items"))
     )
+    countries = F.array(*map(F.lit, shop.COUNTRIES))
+    country = F.element_at(countries, (F.col("o_custkey") % len(shop.COUNTRIES) + 1).cast("int"))
+    postal = F.lpad((F.col("o_custkey") % 100_000).cast("string"), 5, "0")
     record = baskets.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey").cast("string").alias("event_id"),
         F.expr(shop.user_key("o_custkey")).alias("user_id"),
         wire_time("o_orderdate").alias("timestamp"),
         "items",
         F.col("o_totalprice").alias("total_amount"),
-        F.struct(F.lit("US").alias("country")).alias("shipping_address"),
+        F.struct(country.alias("country"), postal.alias("postal_code")).alias("shipping_address"),
     )
     return record.select(F.to_json(F.struct("*")).cast("binary").alias("data"))
 
@@ -174,6 +177,23 @@ def parse_checkouts_nested(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def shipped_by_country(spark: SparkSession, folder: str) -> DataFrame:
+    """Checkouts by a field that their schema does not know, read from the stored records."""
+    path = f"{fresh_root(spark, 'open')}/checkouts"
+    valid, _ = feeds.valid_checkouts(feeds.decode(checkout_payloads(spark, folder), CHECKOUT_SCHEMA, keep="payload"))
+    stored = valid.select("event_id", "total_amount", "payload")
+    stored.write.parquet(path)
+    stored = spark.read.schema(stored.schema).parquet(path)
+    return comparable(
+        stored.groupBy(feeds.open_field("$.shipping_address.country", "string").alias("country")).agg(
+            F.count("*").alias("checkouts"),
+            F.count_distinct(feeds.open_field("$.shipping_address.postal_code", "string")).alias("postal_codes"),
+            F.count(feeds.open_field("$.shipping_address.street", "string")).alias("streets"),
+            F.sum("total_amount").alias("revenue"),
+        )
+    )
+
+
 def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
     events = shop.table(spark, folder, "events")
     return events.unionAll(events)
@@ -218,14 +238,47 @@ def pairs(window: timedelta) -> Query:
     )
 
 
+def written_raw(feed: DataFrame, root: str, schema: T.StructType) -> None:
+    """One batch of a feed through the keyed sink, with instants for times."""
+    timed = feed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    keyed_writer(root, schema, "event_id", "event_timestamp")(timed, 0)
+
+
+def stored_pairs_of_a_payment(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of the last day's PayPal checkouts; their days prune the stored clicks while the query runs."""
+    root, raw = fresh_root(spark, "stored"), raw_tables(spark, folder)
+    written_raw(raw["raw_clicks"], f"{root}/raw_clicks", RAW_CLICK_SCHEMA)
+    written_raw(raw["raw_checkouts"], f"{root}/raw_checkouts", RAW_CHECKOUT_SCHEMA)
+    since = shop.clock(spark, folder)(DAY).cast("timestamp")
+    checkouts = read_recent(spark, f"{root}/raw_checkouts", RAW_CHECKOUT_SCHEMA, "event_id", "event_timestamp", since)
+    clicks = read_store(spark, f"{root}/raw_clicks", RAW_CLICK_SCHEMA)
+    pairs = attribution_pairs(clicks, checkouts.where("payment_method = 'paypal'"), DAY, day="event_date")
+    return zone_less(pairs)
+
+
+def stored_timeline(spark: SparkSession, folder: str) -> str:
+    """The feeds as a catalog table bucketed by user and slot; its name."""
+    name, buckets = f"timeline_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{fresh_root(spark, 'timeline')}/events"
+    colocated.write_timeline(shop.clicks(spark, folder), shop.checkouts(spark, folder), name, path, buckets)
+    return name
+
+
+def colocated_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The segment report over bucketed events and users."""
+    name, buckets = f"users_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    colocated.write_users(shop.users(spark, folder), name, f"{fresh_root(spark, 'users')}/users", buckets)
+    credits = colocated.first_click_attribution(spark, stored_timeline(spark, folder))
+    return colocated.segment_performance(credits, spark.table(name))
+
+
 def stored_click_to_checkout_rate(spark: SparkSession, folder: str) -> DataFrame:
     """The rate over stored raw tables, of which only the days and times in question are read."""
     root = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
     clock = shop.clock(spark, folder)
 
     def stored(feed: DataFrame, name: str, schema: T.StructType) -> DataFrame:
-        timed = feed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
-        keyed_writer(f"{root}/{name}", schema, "event_id", "event_timestamp")(timed, 0)
+        written_raw(feed, f"{root}/{name}", schema)
         return read_recent(spark, f"{root}/{name}", schema, "event_id", "event_timestamp", clock(HOUR).cast("timestamp"))
 
     raw = raw_tables(spark, folder)
@@ -508,6 +561,10 @@ _REPORTS: dict[str, Query] = {
     "top_products_24h": on_attributed(reports.top_products, DAY),
     "click_to_checkout_rate": click_to_checkout_rate,
     "stored_click_to_checkout_rate": stored_click_to_checkout_rate,
+    "stored_pairs_of_a_payment": stored_pairs_of_a_payment,
+    "colocated_first_click_attribution": lambda s, f: colocated.first_click_attribution(s, stored_timeline(s, f)),
+    "colocated_attribution_pairs": lambda s, f: colocated.attribution_pairs(s, stored_timeline(s, f)),
+    "colocated_segment_performance": colocated_segments,
     "clicks_per_checkout": clicks_per_checkout(HOUR),
     "clicks_per_checkout_24h": clicks_per_checkout(DAY),
     "clicks_per_checkout_30d": clicks_per_checkout(MONTH),
@@ -537,6 +594,7 @@ _REPORTS: dict[str, Query] = {
 QUERIES: dict[str, Query] = {
     "parse_clicks": parse_clicks,
     "parse_checkouts_nested": parse_checkouts_nested,
+    "shipped_by_country": shipped_by_country,
     **{name: _comparable(query) for name, query in _REPORTS.items()},
     "streaming_attribution": streamed_attribution(HOUR),
     "streaming_attribution_24h": streamed_attribution(DAY),

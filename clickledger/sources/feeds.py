@@ -38,10 +38,13 @@ def read_stream(
     return reader.load(path) if path is not None else reader.load()
 
 
-def decode(feed: DataFrame, schema: T.StructType, payload: str | Column = "data") -> DataFrame:
+def decode(
+    feed: DataFrame, schema: T.StructType, payload: str | Column = "data", keep: str | None = None
+) -> DataFrame:
     """Binary or text JSON payload to flat columns plus ``event_timestamp``.
 
-    Unknown fields are ignored and a field of the wrong type becomes NULL. Text that is no JSON gives
+    Unknown fields are ignored, unless ``keep`` names a VARIANT column that holds the whole record for
+    :func:`open_field`; it is NULL for text that is no JSON. A field of the wrong type becomes NULL. Text that is no JSON gives
     NULLs everywhere; the original stays in ``_corrupt_record`` for :func:`split_valid`.
 
     The record is flattened by a generator, which keeps later filters above the parser: pushed below
@@ -52,11 +55,20 @@ def decode(feed: DataFrame, schema: T.StructType, payload: str | Column = "data"
     parsed = F.from_json(
         text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return feed.select(F.inline(F.array(parsed))).withColumn(
+    whole = [] if keep is None else [F.try_parse_json(text).alias(keep)]
+    return feed.select(F.inline(F.array(parsed)), *whole).withColumn(
         "event_timestamp", parse_event_time(F.col("timestamp"))
     )
 
 
+def open_field(path: str, kind: str, column: str = "payload") -> Column:
+    """A field of a kept record by its path (``$.shipping_address.country``), whether a schema knows it or not.
+
+    NULL where the record has no such field, or holds something else than ``kind`` there.
+    """
+    return F.try_variant_get(column, path, kind)
+
+
 def split_valid(
     decoded: DataFrame, required: list[str], money: list[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

@@ -19,6 +19,7 @@ CATEGORIES = ["Electronics", "Clothing", "Home", "Books", "Sports", "Toys", "Bea
 REFERRERS = ["google", "facebook", "direct", "email", "organic"]
 DEVICES = ["desktop", "mobile", "tablet"]
 PAYMENTS = ["credit_card", "debit_card", "paypal", "apple_pay"]
+COUNTRIES = ["US", "CA", "GB", "DE", "FR"]
 USER_DIGITS = 9
 
 # Column types of the tables used, so that no read has to look at file footers first.

@@ -361,6 +361,12 @@ ORACLE: dict[str, str] = {
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS items_price
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 GROUP BY o_orderkey, o_custkey, o_orderdate, o_totalprice""",
+    "shipped_by_country": """SELECT CASE o_custkey % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' WHEN 2 THEN 'GB'
+       WHEN 3 THEN 'DE' ELSE 'FR' END AS country, COUNT(*) AS checkouts,
+       COUNT(DISTINCT o_custkey % 100000) AS postal_codes, CAST(0 AS BIGINT) AS streets,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS revenue
+FROM orders WHERE EXISTS (SELECT 1 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey = o_orderkey)
+GROUP BY 1""",
     "raw_clicks": with_feeds(RAW_CLICKS),
     "raw_checkouts": with_feeds(RAW_CHECKOUTS),
     "dedup_events": """SELECT DISTINCT * FROM
@@ -386,6 +392,11 @@ GROUP BY o_orderkey, o_custkey, o_orderdate, o_totalprice""",
     "top_products_24h": with_attributed(TOP_PRODUCTS, "24 hour"),
     "click_to_checkout_rate": with_feeds(CLICK_RATE),
     "stored_click_to_checkout_rate": with_feeds(CLICK_RATE),
+    "stored_pairs_of_a_payment": pairs("24 hour").replace(" cl.product_name AS click_product_name,", "") + f"""
+WHERE co.payment_method = 'paypal' AND co.event_timestamp >= {AS_OF} - INTERVAL 24 hour""",
+    "colocated_first_click_attribution": with_attributed(FIRST_CLICK),
+    "colocated_attribution_pairs": pairs("1 hour"),
+    "colocated_segment_performance": with_attributed(SEGMENT),
     "clicks_per_checkout": clicks_per_checkout("1 hour"),
     "clicks_per_checkout_24h": clicks_per_checkout("24 hour"),
     "clicks_per_checkout_30d": clicks_per_checkout("30 day"),
