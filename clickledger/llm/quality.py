@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickledger.llm.bytewords import byte_words, lowered, text_bytes
@@ -177,31 +177,43 @@ def fit(found: Rows, target: np.ndarray, epochs: int = 12, batch: int = 256, rat
     return model
 
 
-def _narrow(docs: DataFrame, metadata: Sequence[str]) -> DataFrame:
+def size_class(column: str) -> Column:
+    """How many binary digits a length has, as metadata; null for null."""
+    return F.length(F.bin(F.col(column).cast("long")))
+
+
+def _texts_of(metadata: Sequence[str | Column]) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).cast("string") for c in metadata]
+
+
+def _narrow(docs: DataFrame, metadata: Sequence[str | Column]) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        *[F.col(c).cast("string").alias(f"meta_{i}") for i, c in enumerate(metadata)],
+        *[c.alias(f"meta_{i}") for i, c in enumerate(_texts_of(metadata))],
     )
 
 
-def _found(part: pa.RecordBatch, metadata: Sequence[str]) -> Rows:
-    return features(part.column("text"), [part.column(f"meta_{i}") for i in range(len(metadata))])
+def _found(part: pa.RecordBatch, beside: int) -> Rows:
+    return features(part.column("text"), [part.column(f"meta_{i}") for i in range(beside)])
 
 
-def train(docs: DataFrame, labels: DataFrame, metadata: Sequence[str] = (), rows: int = TRAINING_ROWS) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, metadata: Sequence[str | Column] = (), rows: int = TRAINING_ROWS) -> Model | None:
     """Fit on up to ``rows`` documents of ``labels(doc_id, target)``, those with the least id hash.
 
     Null ids, null targets and labels without a document are left out; several labels of one document
-    are averaged. Without any label there is no model.
+    are averaged. Of several documents with one id the least text counts, found on the executors, so the
+    driver holds ``rows`` rows at most however often an id is repeated. ``metadata`` are columns or
+    expressions over them. Without any label there is no model.
     """
     targets = labels.filter("doc_id IS NOT NULL AND target IS NOT NULL").groupBy("doc_id").agg(F.avg("target").alias("target"))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     chosen = targets.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    beside = len(metadata)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            found = _found(part, metadata)
+            found = _found(part, beside)
             bounds = pa.array(found.bounds, pa.int32())
             wide = pa.array(np.arange(0, found.statistics.size + 1, STATISTICS), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -216,8 +228,10 @@ def train(docs: DataFrame, labels: DataFrame, metadata: Sequence[str] = (), rows
             )
 
     ddl = "doc_id long, target double, index array<int>, value array<float>, statistics array<double>"
-    rows_of = _narrow(docs, metadata).join(F.broadcast(chosen), "doc_id").mapInArrow(run, ddl)
-    table = rows_of.toArrow().combine_chunks()
+    copies = _narrow(docs, metadata).join(F.broadcast(chosen), "doc_id")
+    used = ["text", *[f"meta_{i}" for i in range(beside)]]
+    one = copies.groupBy("doc_id", "target").agg(F.min(F.struct(*used)).alias("copy"))
+    table = one.select("doc_id", "target", "copy.*").mapInArrow(run, ddl).toArrow().combine_chunks()
     if not table.num_rows:
         return None
     table = table.take(pa.compute.sort_indices(table, [("doc_id", "ascending")])).combine_chunks()
@@ -229,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, metadata: Sequence[str] = (), rows
     return fit(found, table["target"].to_numpy())
 
 
-def score(docs: DataFrame, model: Model | None, metadata: Sequence[str] = ()) -> DataFrame:
+def score(docs: DataFrame, model: Model | None, metadata: Sequence[str | Column] = ()) -> DataFrame:
     """``doc_id, score`` of every whole text, 0 to 1, higher for better texts.
 
     Null and empty texts are scored by their statistics like others; null and repeated doc_ids are rows
@@ -238,25 +252,30 @@ def score(docs: DataFrame, model: Model | None, metadata: Sequence[str] = ()) ->
     """
     if model is None:
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0.5).alias("score"))
+    beside = len(metadata)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            scores = pa.array(model.scores(_found(part, metadata)), pa.float64())
+            scores = pa.array(model.scores(_found(part, beside)), pa.float64())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), scores], ["doc_id", "score"])
 
     return _narrow(docs, metadata).mapInArrow(run, "doc_id long, score double")
 
 
-def keep_good(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+def keep_good(docs: DataFrame, model: Model | None, least: float, metadata: Sequence[str | Column] = ()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score ``least`` or more; in one pass, no shuffle.
 
-    Without a model every row stays.
+    ``metadata`` is what the model was fitted with. Without a model every row stays.
     """
     if model is None:
         return docs
+    width, mark = len(docs.columns), "_" * (1 + max(map(len, docs.columns)))  # no column's name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            yield part.filter(pa.array(model.scores(features(part.column("text"))) >= least))
+            beside = [part.column(i) for i in range(width, part.num_columns)]
+            good = pa.array(model.scores(features(part.column("text"), beside)) >= least)
+            yield part.select(range(width)).filter(good)
 
-    return docs.mapInArrow(run, docs.schema)
+    beside = [c.alias(f"{mark}{i}") for i, c in enumerate(_texts_of(metadata))]
+    return docs.select("*", *beside).mapInArrow(run, docs.schema)

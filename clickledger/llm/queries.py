@@ -18,7 +18,7 @@ from clickledger.llm.licences import known_licences, scan
 from clickledger.llm.neardup import near_duplicates
 from clickledger.llm.ngram_join import ngram_join
 from clickledger.llm.packing import pack
-from clickledger.llm.quality import score, train
+from clickledger.llm.quality import score, size_class, train
 from clickledger.llm.rules import apply_rules
 from clickledger.llm.sharding import shard_documents
 from clickledger.llm.warc import archive_and_read, page_of
@@ -29,8 +29,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 def op1_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").filter(fold("doc_id", 5) != 0)
-    model = train(docs, labels.select("doc_id", F.col("quality").alias("target")))
-    return score(docs, model).select(
+    metadata = [size_class("n_chars")]
+    model = train(docs, labels.select("doc_id", F.col("quality").alias("target")), metadata)
+    return score(docs, model, metadata).select(
         "doc_id",
         F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
         "score",

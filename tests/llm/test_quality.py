@@ -5,7 +5,9 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from clickledger.llm import quality
 from clickledger.llm.quality import BINS, BUCKETS, META_BUCKETS, STATISTICS, Model, features, score, train
 from clickledger.llm.queries import op1_factorisation_machine
 from small import SMALL, make_docs  # noqa: F401
@@ -54,3 +56,28 @@ def test_edge_cases(make_docs, spark):
     assert score(make_docs([]), model, []).collect() == []
     assert train(docs, labels.limit(0)) is None
     assert {r.score for r in score(docs, None).collect()} == {0.5}
+
+
+def test_an_id_on_most_rows_gives_one_training_row(spark, make_docs, monkeypatch):
+    docs = make_docs([(7, f"word{i % 3} again") for i in range(3000)] + [(i, f"text {i}") for i in range(20, 40)])
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in [7, *range(20, 40)]], "doc_id LONG, target DOUBLE")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda found, target: seen.append((found, target)))
+    train(docs, labels)
+    train(docs.orderBy("text", ascending=False).repartition(3), labels)
+    (first, target), (second, _) = seen
+    assert len(target) == len(first.bounds) - 1 == 21
+    assert (first.index == second.index).all() and (first.statistics == second.statistics).all()
+
+
+def test_lengths_are_metadata_and_all_columns_stay(spark, make_docs):
+    docs = make_docs([(i, "same text") for i in range(40)]).selectExpr("*", "IF(doc_id < 20, 3, 900) AS n_chars", "'x' AS _0", "doc_id AS DOC")
+    docs = docs.unionByName(docs.limit(1).withColumn("n_chars", F.lit(None).cast("int")))
+    labels = spark.createDataFrame([(i, float(i >= 20)) for i in range(40)], "doc_id LONG, target DOUBLE")
+    metadata = [quality.size_class("n_chars")]
+    model = train(docs, labels, metadata)
+    scores = {(r.doc_id, r.score > 0.5) for r in score(docs.where("n_chars IS NOT NULL"), model, metadata).collect()}
+    assert scores == {(i, i >= 20) for i in range(40)}
+    kept = quality.keep_good(docs, model, 0.5, metadata)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} >= set(range(20, 40))
+    assert [r[0] for r in spark.range(3).selectExpr("CASE id WHEN 0 THEN 0 WHEN 1 THEN 4096 END AS n").select(quality.size_class("n")).collect()] == [1, 13, None]
