@@ -35,11 +35,15 @@ _URN = "urn:x-page:"
 
 
 def train_dictionary(pages: DataFrame) -> bytes | None:
-    """A dictionary from a bounded sample of pages; none if they are too few or too short to train on."""
+    """A dictionary from a bounded sample of pages; none if they are too few or too short to train on.
+
+    Of several pages with one id the least head counts, found on the executors.
+    """
     chosen = pages.filter("page_id IS NOT NULL").select("page_id").distinct()
     chosen = chosen.orderBy(F.xxhash64("page_id"), "page_id").limit(DICTIONARY_PAGES)
-    heads = pages.join(F.broadcast(chosen), "page_id").select("page_id", F.substring("html", 1, DICTIONARY_HEAD).alias("head"))
-    samples = [r["head"].encode() for r in sorted(heads.collect(), key=lambda r: (r["page_id"], r["head"] or "")) if r["head"]]
+    head = F.substring("html", 1, DICTIONARY_HEAD)
+    heads = pages.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min(head).alias("head"))
+    samples = [r["head"].encode() for r in sorted(heads.collect(), key=lambda r: r["page_id"]) if r["head"]]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 16 else None
     except zstandard.ZstdError:

@@ -83,3 +83,11 @@ def test_broken_records_and_frames(spark, tmp_path):
     paths = spark.createDataFrame([(str(tmp_path / "a.warc.zst"),), (str(tmp_path / "b.warc.zst"),), (None,)], "path STRING")
     rows = sorted(read_archives(paths).collect(), key=lambda r: r.number)
     assert [r.error is None for r in rows] == [True, False, True, False]
+
+
+def test_an_id_on_most_rows_gives_one_sample(spark, monkeypatch):
+    pages = spark.range(2000).selectExpr("IF(id < 1900, 7, id) AS page_id", "CONCAT('<p>page ', id % 5, REPEAT(' body', 40)) AS html")
+    seen = []
+    monkeypatch.setattr(zstandard, "train_dictionary", lambda size, samples: seen.append(samples) or zstandard.ZstdCompressionDict(b"x" * 64))
+    assert train_dictionary(pages) == train_dictionary(pages.repartition(3)) == b"x" * 64
+    assert len(seen[0]) == 101 and seen[0] == seen[1]
