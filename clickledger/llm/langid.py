@@ -19,6 +19,8 @@ BUCKETS = 1 << 15
 #: Documents of each language that the model is fitted on, about, by a hash of the id; and how many
 #: runs of how many words of each are used. Nothing else bounds the work.
 TRAINING_DOCS, RUNS, RUN_WORDS = 500, 6, 24
+#: Languages that are learned at most, those of most rows, and documents of all languages together, about.
+LANGUAGES, ALL_TRAINING_DOCS = 64, 16_000
 #: Commonest training words of a language that make its lexicon.
 LEXICON = 300
 UNDETERMINED = "und"
@@ -224,33 +226,36 @@ def _improve(model: Model, seen: list[np.ndarray], chains: list[list[tuple[int,
 def train(docs: DataFrame, docs_per_language: int = TRAINING_DOCS) -> Model | None:
     """Fit on about ``docs_per_language`` documents of each language of ``docs(doc_id, text, lang)``.
 
-    Rows with a null text, lang or doc_id are left out. The driver holds at most RUNS * RUN_WORDS words
-    of each of these documents, taken at even distances from the whole text. Without any there is no
-    model.
+    Rows with a null text, lang or doc_id are left out. Of several documents with one id one counts, found
+    on the executors. The LANGUAGES values of lang with most rows are learned, ties by name; documents in
+    others are taken for one of these. The driver holds at most RUNS * RUN_WORDS words of about
+    ALL_TRAINING_DOCS documents, taken at even distances from the whole text. Without any there is no model.
     """
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).dropna()
-    named = labelled.select("doc_id", "lang")  # no text goes through the shuffle by language
-    counts = named.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("doc_id").alias("n"))
+    most = counts.orderBy(F.col("rows").desc(), "lang").limit(LANGUAGES).collect()
+    share = min(docs_per_language, ALL_TRAINING_DOCS // max(len(most), 1))
+    rates = docs.sparkSession.createDataFrame([(r.lang, share / r.n) for r in most], "lang string, rate double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_007)) / 1_000_000_007
-    ids = named.join(counts, "lang").filter(place < docs_per_language / F.col("n")).select("doc_id").distinct()
-    # about docs_per_language ids a language
-    chosen = labelled.join(F.broadcast(ids), "doc_id", "left_semi")
+    copies = labelled.join(F.broadcast(rates), "lang").filter(place < F.col("rate"))
+    chosen = copies.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("copy")).select("doc_id", "copy.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             words = byte_words(lowered(part.column("text")))
             plain = [letters(w) for w in words.distinct()]
             out = []
-            for a, b, lang in zip(words.bounds[:-1], words.bounds[1:], part.column("lang").to_pylist()):
+            for a, b, doc, lang in zip(words.bounds[:-1], words.bounds[1:], *(part.column(c).to_pylist() for c in ("doc_id", "lang"))):
                 for s in sorted({int(x) for x in np.linspace(a, max(a, b - RUN_WORDS), RUNS)}):
-                    out.append((lang, [p for c in words.codes[s : min(s + RUN_WORDS, b)] if (p := plain[c])]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.list_(pa.string()))], ["lang", "words"]
-            )
+                    out.append((doc, lang, [p for c in words.codes[s : min(s + RUN_WORDS, b)] if (p := plain[c])]))
+            columns = list(zip(*out)) or [[]] * 3
+            kinds = {"doc_id": pa.int64(), "lang": pa.string(), "words": pa.list_(pa.string())}
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
 
-    table = chosen.select("text", "lang").mapInArrow(run, "lang string, words array<string>").toArrow()
+    table = chosen.mapInArrow(run, "doc_id long, lang string, words array<string>").toArrow()
+    table = table.take(pa.compute.sort_indices(table, [("doc_id", "ascending")]))  # stable: a text's runs stay in order
     return fit(list(zip(table["lang"].to_pylist(), table["words"].to_pylist())))
 
 

@@ -70,3 +70,26 @@ def test_edge_cases(make_docs, spark):
     assert {r.lang_pred for r in identify(docs, train(named.filter("lang = 'xx'"))).collect()} == {"und"}
     assert identify(make_docs([]), train(named)).collect() == []
     assert isinstance(train(named), Model) and pa.types.is_struct(langid._SPAN)
+
+
+def test_an_id_on_most_rows_counts_once(make_docs, monkeypatch):
+    docs = make_docs([(7, "le la les")] * 3000 + [(i, "the of and") for i in range(100, 140)])
+    named = docs.selectExpr("*", "IF(doc_id = 7, 'fr', 'en') AS lang")
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda runs: seen.append(runs))
+    train(named)
+    train(named.repartition(3))
+    assert [lang for lang, _ in seen[0]].count("fr") == 1 and [lang for lang, _ in seen[0]].count("en") == 40
+    assert seen[0] == seen[1]
+
+
+def test_a_dirty_column_gives_a_bounded_model(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'some words here' AS text", "IF(id < 1000, CONCAT('x', id % 2), CONCAT('dirt', id)) AS lang")
+    monkeypatch.setattr(langid, "LANGUAGES", 8)
+    monkeypatch.setattr(langid, "ALL_TRAINING_DOCS", 160)
+    model = train(docs)
+    assert model.languages[-2:] == ["x0", "x1"] and len(model.languages) == 8
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda runs: seen.append(runs))
+    train(docs)
+    assert 6 <= len(seen[0]) < 300
