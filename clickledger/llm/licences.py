@@ -13,11 +13,11 @@ from clickledger.llm.licence_texts import LICENCES
 _EDGE = r"[ \t\r*#/;!-]*+"
 _SIGN = r"(?:copyright[ \t]*+(?:\(c\)|©|\d{4}|[\[{<(]y)|\(c\)|©)"
 #: Words after which "copyright" speaks of the terms and not of an owner.
-_TERMS = "notices?|holders?|owners?|laws?|licen[sc]es?|interests?|statements?|permissions?|disclaimers?|and|or|in|of|on|is|to"
-_TITLE = "the|mit|expat|x11|isc|0?bsd|zero|zlib|[0-9]|new|simplified|revised|modified|clause|licen[sc]e|unlicense|all rights reserved"
+TERMS = "notices?|holders?|owners?|laws?|licen[sc]es?|interests?|statements?|permissions?|disclaimers?|and|or|in|of|on|is|to"
+TITLE = "the|mit|expat|x11|isc|0?bsd|zero|zlib|[0-9]|new|simplified|revised|modified|clause|licen[sc]e|unlicense|all rights reserved"
 #: Lines that name owners and years say nothing about the terms. They stand before the terms, where only
 #: titles may precede them, or after the end; a line of the terms may begin with "copyright" too.
-OWNER_BEFORE = rf"\G((?:[\s*#/;!.,:()\"'-]*+(?:{_TITLE})(?![a-z0-9]))*+[\s.*#/;!)-]*+)(?<=\n[ \t\r*#/;!-]{{0,80}})(?:{_SIGN}|copyright[ \t]++(?!(?:{_TERMS})(?![a-z])))[^\n]*+"
+OWNER_BEFORE = rf"\G((?:[\s*#/;!.,:()\"'-]*+(?:{TITLE})(?![a-z0-9]))*+(?:[ \t\r\f\x0B.*#/;!)-]*+\n)++){_EDGE}(?:{_SIGN}|copyright[ \t]++(?!(?:{TERMS})(?![a-z])))[^\n]*+"
 OWNER_AFTER = rf"\A((?s:.*)\n(?!{_EDGE}(?:\n|\z|{_SIGN}))[^\n]*+)(?s:.*+)\z"
 #: ASCII and Latin-1 signs and white space, dashes and curly quotes: all one space.
 SIGNS = r"[\x{1}-\x{2f}\x{3a}-\x{60}\x{7b}-\x{bf}\x{2010}-\x{201f}]+"
@@ -37,7 +37,7 @@ SPELLINGS = (
     ("per cent", "percent"),
 )
 #: The place of the owner in the appendix of Apache-2.0.
-APACHE_OWNER = r"( third party archives )copyright .{1,200}?( licensed under the apache license version 2 0 )"
+APACHE_OWNER = r"\A(?>(.*? third party archives )copyright )(?>.*?(?= licensed under the apache license version 2 0 ))"
 
 
 def canonical(text: Column) -> Column:
@@ -52,7 +52,7 @@ def canonical(text: Column) -> Column:
     text = F.concat(F.regexp_replace(text, SIGNS, " "), F.lit(" "))
     for other, one in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(one))
-    text = F.regexp_replace(text, APACHE_OWNER, "$1$2")
+    text = F.regexp_replace(text, APACHE_OWNER, "$1")
     return F.trim(F.replace(text, F.lit(" all rights reserved "), F.lit(" ")))
 
 

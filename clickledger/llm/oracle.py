@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from clickledger.llm.licence_texts import LICENCES
-from clickledger.llm.licences import SIGNS, SPELLINGS
-
-#: As the SQL has stated it from the start; the operator drops fewer lines, see licences.py.
-OWNER_LINE = r"\n[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+from clickledger.llm.licences import SIGNS, SPELLINGS, TERMS, TITLE, known_texts
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -15,16 +11,30 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _canonical(column: str) -> str:
-    text = f"chr(10) || translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
-    text = f"regexp_replace({text}, {_quoted(OWNER_LINE)}, chr(10), 'g')"
-    text = f"regexp_replace({text}, {_quoted(SIGNS)}, ' ', 'g')"
+#: Lines of signs only, owner lines and titles as the operator has them, in patterns that look nowhere ahead:
+#: where "copyright" speaks of the terms a mark, which later becomes a space, is put behind it first.
+_EDGE = r"[ \t\r*#/;!-]*"
+_SIGN = r"(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|[\[{<(]y)|\(c\)|©)"
+_OF_TERMS = rf"(\n{_EDGE}copyright)([ \t]+(?:{TERMS})(?:[^a-z]|\z))"
+_OWNER = rf"\n{_EDGE}(?:{_SIGN}|copyright[ \t])[^\n]*"
+_TITLES = rf"(?:[\s\x0B*#/;!.,:()\"'-]*(?:{TITLE})\b)*"
+_HEAD = rf"\A((?:{_TITLES}(?:[ \t\r\f\x0B.*#/;!)-]*\n)*[ \t\r\f\x0B.*#/;!)-]*{_OWNER})*)"
+_TAIL = rf"(?:\n{_EDGE}(?:{_SIGN}[^\n]*)?)+"
+
+
+def _marked(text: str) -> str:
+    return rf"regexp_replace({text}, {_quoted(_OF_TERMS)}, '\1' || chr(1) || '\2', 'g')"
+
+
+def _level(text: str) -> str:
+    text = f"(regexp_replace({text}, {_quoted(SIGNS)}, ' ', 'g') || ' ')"
     for other, one in SPELLINGS:
         text = f"replace({text}, '{other}', '{one}')"
-    return f"trim({text})"
+    return text
 
 
-_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, title, body in LICENCES for text in (body, f"{title}\n\n{body}"))
+_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in known_texts())
+_APPENDIX, _LICENSED = " third party archives copyright ", " licensed under the apache license version 2 0 "
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -52,12 +62,42 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM joined
 """,
     "op5_canonical_digests": f"""
-WITH known (license_id, text) AS (VALUES {_KNOWN}), listed AS (
-    SELECT sha256({_canonical("text")}) AS license_digest, min(license_id) AS license_id FROM known GROUP BY 1
-), texts AS (
-    SELECT doc_id, sha256({_canonical("text")}) AS license_digest FROM documents
+WITH known (license_id, text) AS (VALUES {_KNOWN}), texts AS (
+    SELECT NULL AS doc_id, license_id, text, TRUE AS listed FROM known
+    UNION ALL SELECT doc_id, NULL, text, FALSE FROM documents
+), marked AS (
+    SELECT doc_id, license_id, listed,
+        {_marked(_marked("chr(10) || translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "')"))} AS t
+    FROM texts
+), parted AS (
+    SELECT *, regexp_extract(t, {_quoted(_HEAD)}, 1) AS head FROM marked
+), begun AS (
+    SELECT doc_id, license_id, listed,
+        regexp_replace(head, {_quoted(_OWNER)}, chr(10), 'g') || substr(t, length(head) + 1) AS t
+    FROM parted
+), ended AS (
+    SELECT doc_id, license_id, listed,
+        CASE WHEN regexp_full_match(t, {_quoted(_TAIL)}) THEN t
+            ELSE regexp_replace(t, {_quoted(_TAIL + chr(92) + "z")}, '') END AS t
+    FROM begun
+), level AS (
+    SELECT doc_id, license_id, listed, {_level("t")} AS t FROM ended
+), owned AS (
+    SELECT *, strpos(t, '{_APPENDIX}') + length(' third party archives ') AS first,
+        strpos(substr(t, strpos(t, '{_APPENDIX}') + length('{_APPENDIX}') - 1), '{_LICENSED}') AS further
+    FROM level
+), canonical AS (
+    SELECT doc_id, license_id, listed, CASE WHEN contains(t, '{_APPENDIX}') AND further > 0
+        THEN substr(t, 1, first - 1) || substr(t, first + length('copyright ') + further - 2) ELSE t END AS t
+    FROM owned
+), digests AS (
+    SELECT doc_id, license_id, listed, sha256(trim(replace(t, ' all rights reserved ', ' '))) AS license_digest
+    FROM canonical
+), named AS (
+    SELECT license_digest, min(license_id) AS license_id FROM digests
+    WHERE listed AND license_digest <> sha256('') GROUP BY license_digest
 )
-SELECT doc_id, license_digest, license_id FROM texts LEFT JOIN listed USING (license_digest)
+SELECT doc_id, license_digest, named.license_id FROM digests LEFT JOIN named USING (license_digest) WHERE NOT listed
 """,
     "op8_rule_cascade": rf"""
 WITH texts AS (

@@ -3,8 +3,12 @@ from __future__ import annotations
 import re
 import textwrap
 
+import duckdb
+import pandas as pd
+
 from clickledger.llm.licence_texts import LICENCES
 from clickledger.llm.licences import known_licences, known_texts, scan
+from clickledger.llm.oracle import ORACLE
 from clickledger.llm.queries import op5_canonical_digests
 from small import SMALL, make_docs  # noqa: F401
 
@@ -87,3 +91,34 @@ def test_the_query_takes_known_texts(spark):
     text = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id = 1").first().text
     known = spark.createDataFrame([("own", text)], "license_id string, text string")
     assert 1 in {r.doc_id for r in op5_canonical_digests(spark, SMALL, known).filter("license_id = 'own'").collect()}
+
+
+def test_long_owners_and_comment_edges_are_no_limit(spark, make_docs):
+    texts = dict(known_texts()[::-1])
+    owned = texts["Apache-2.0"].replace("[yyyy]", "2020").replace("[name of copyright owner]", "A. Person and " * 40)
+    docs = make_docs(enumerate([owned, f"{'#' * 300} Copyright (c) 2020 A\n{texts['MIT']}", f"{'* ' * 300}\n\n{texts['ISC']}"]))
+    found = {r.doc_id: r.license_id for r in scan(docs, known_licences(spark)).collect()}
+    assert "Person" in owned and found == {0: "Apache-2.0", 1: "MIT", 2: "ISC"}
+
+
+def test_the_sql_states_the_operators_rule(spark, make_docs):
+    texts = dict(known_texts()[::-1])
+    mit, isc = texts["MIT"], texts["ISC"]
+    forms = [text for _, text in known_texts()] + [wrapped(text, w) for _, text in known_texts() for w in (20, 43, 71)]
+    forms += [
+        isc.replace("copyright notice", "\ncopyright notice"),
+        f"/*\n * Copyright © 2020 A. All rights reserved.\n */\n{isc}",
+        f"{isc}\n\nCopyright (c) 2020 A\n(c) 2021 B\n",
+        f"Copyright notices must be printed in red.\n{isc}",
+        f"copyright and x\ncopyright or\ncopyright (c) 3\nmit\ncopyright x\n{mit}",
+        f"MIT License:\n\"mit\"\nCopyright B\n{mit}",
+        f"\r\nCopyright x\r\n\r\n{mit}\r\n\r\n(c) x\r\n",
+        f"{'#' * 300} Copyright (c) 2020 A\n{mit}",
+        texts["Apache-2.0"].replace("[name of copyright owner]", "A " * 260).replace("[yyyy]", "2020"),
+        "© A\n\n" * 50, "\n" * 100, "x\n" * 10 + "(c) 2020\n" * 10 + "x", "(c) only", "copyright", None, "",
+    ]
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame({"doc_id": range(len(forms)), "text": pd.array(forms, "string")}))
+    want = connection.execute(f"SELECT doc_id, license_digest, license_id FROM ({ORACLE['op5_canonical_digests']})").fetchall()
+    got = [tuple(r) for r in scan(make_docs(enumerate(forms)), known_licences(spark)).collect()]
+    assert sorted(got) == sorted(want) and sum(r[2] is not None for r in got) > 80
