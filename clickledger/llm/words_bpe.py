@@ -16,7 +16,8 @@ from clickledger.llm.bytewords import Words, coded_ranges, cut_marks, lowered, t
 
 #: Characters whose case, class and normal form every library agrees on.
 _PLAIN = re.compile("[!-~¡-įı-ɏ]+")
-#: Words a worker remembers; a full cache starts anew, so memory is bounded.
+#: Words a worker remembers at most, in two generations: words of the older that are met again move to the
+#: newer, and when that holds half, it becomes the older and the rest is forgotten.
 CACHE = 200_000
 _JOINED = 256
 
@@ -42,6 +43,7 @@ class WordEncoder:
         self.is_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -77,9 +79,12 @@ class WordEncoder:
         """Little-endian 32-bit ids of each text, closed by the end id; a null text is empty."""
         words = _cores_and_marks(lowered(texts))
         chunks = words.distinct()
-        if len(self.known) > CACHE:
-            self.known.clear()
-        self._learn([c for c in chunks if c not in self.known])
+        if len(self.known) > CACHE // 2:
+            self.known, self.older = {}, self.known
+        new = [c for c in chunks if c not in self.known]
+        again = {c: ids for c in new if (ids := self.older.get(c)) is not None}
+        self.known |= again
+        self._learn([c for c in new if c not in again])
         parts = [*map(self.known.__getitem__, chunks), self.end]
         codes = np.insert(words.codes, words.bounds[1:], len(parts) - 1)
         bounds = words.bounds + np.arange(len(words.bounds))

@@ -80,3 +80,16 @@ def test_encoder_equals_the_tokenizer(whole):
     got = WordEncoder(PATH, 2).encode(pa.array(texts))
     for text, ids in zip(texts, got):
         assert ids.tolist() == whole(text), text
+
+
+def test_words_are_remembered_for_two_generations(whole, monkeypatch):
+    monkeypatch.setattr("clickledger.llm.words_bpe.CACHE", 20)
+    small = WordEncoder(PATH, 2)
+    learned = []
+    learn = small._learn
+    monkeypatch.setattr(small, "_learn", lambda chunks: (learned.extend(chunks), learn(chunks)))
+    texts = [f"often again word{i} other{i} " + " ".join(f"w{i}x{k}" for k in range(4)) for i in range(30)]
+    for text in texts:
+        assert small.encode(pa.array([text, None, "often"]))[0].tolist() == whole(text)
+        assert len(small.known) + len(small.older) <= 20 + 8
+    assert learned.count(b"often") == 1 and learned.count(b"again") == 1
