@@ -18,7 +18,8 @@ LEAST_QUALITY, LEAST_SHARE = 0.3, 0.4
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on the labels, does not reject."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
-    return quality.keep_good(docs, quality.train(docs, labels), LEAST_QUALITY)
+    metadata = [quality.size_class("n_chars")]
+    return quality.keep_good(docs, quality.train(docs, labels, metadata), LEAST_QUALITY, metadata)
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
