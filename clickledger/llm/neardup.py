@@ -187,26 +187,47 @@ def _alike(percent: int) -> int:
     return int(np.ceil(SLOTS * (1 - agree) + DEVIATIONS * np.sqrt(SLOTS * agree * (1 - agree))))
 
 
-def _links_across(members: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links that join different components of a cluster, enough to span what they join.
+def _compared_groups(members: DataFrame) -> DataFrame:
+    """``bucketed, group, tiles, rep, component``: what is compared completely, from ``members(cluster, key, rep, component, n)``.
 
-    ``members(cluster, rep, component, n, bits_a, bits_b, items)``. A cluster is cut into tiles of about
-    TILE_ITEMS shingles or TILE_ROWS rows, and each pair of tiles is compared in one task on the full sets, so neither
-    plausible pairs nor a whole cluster are ever held.
+    That is a whole cluster or, where this copies fewer sets, each open bucket of it by itself. Documents that
+    only share boilerplate with their neighbours can chain up to a cluster far larger than any of its buckets.
     """
     share = F.greatest(F.sum("n") / TILE_ITEMS, F.count("*") / TILE_ROWS)
-    totals = members.groupBy("cluster").agg(F.ceil(share).cast("int").alias("tiles"))
-    placed = members.join(totals, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
+    size = [F.ceil(share).cast("int").alias("tiles"), F.count("*").alias("rows")]
+    copies = F.col("tiles") * F.col("rows")
+    once = members.select("cluster", "rep", "component", "n").distinct()
+    buckets = members.groupBy("cluster", "key").agg(*size)
+    apart = buckets.groupBy("cluster").agg(F.sum(copies).alias("apart"))
+    whole = once.groupBy("cluster").agg(*size).join(apart, "cluster")
+    whole = whole.select("cluster", "tiles", (F.col("apart") < copies).alias("bucketed"))
+    columns = ["bucketed", "group", "tiles", "rep", "component"]
+    together = once.join(whole.filter("NOT bucketed"), "cluster").withColumnRenamed("cluster", "group")
+    singly = members.join(whole.filter("bucketed").select("cluster", "bucketed"), "cluster")
+    singly = singly.join(buckets.select("key", "tiles"), "key").withColumnRenamed("key", "group")
+    return together.select(*columns).unionAll(singly.select(*columns))
+
+
+def _links_across(members: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links that join different components of a group, enough to span what they join.
+
+    ``members(bucketed, group, tiles, rep, component, n, bits_a, bits_b, bands, items)``. A group is cut into
+    tiles of about TILE_ITEMS shingles or TILE_ROWS rows, and each pair of tiles is compared in one task on the full sets, so
+    neither plausible pairs nor a whole group are ever held. A pair of documents that meets in several buckets
+    is compared in that of their first common band.
+    """
+    placed = members.withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     placed = placed.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
-    order = ["cluster", "low", "high"]
+    order = ["bucketed", "group", "low", "high"]
     columns = [*order, "tile", "rep", "component", "n", "bits_a", "bits_b", "items"]
-    grouped = placed.select(*columns).repartition(*order).sortWithinPartitions(*order)
+    grouped = placed.select(*columns, "bands").repartition(*order).sortWithinPartitions(*order)
     most = _alike(percent)
 
     def compare(rows: pd.DataFrame) -> list[tuple[int, int]]:
-        tile, rep, label, n, one, two, items = (rows[c].to_numpy() for c in columns[3:])
+        tile, rep, label, n, one, two, items = (rows[c].to_numpy() for c in columns[4:])
         label, inner = label.copy(), rows["low"].iloc[0] == rows["high"].iloc[0]
+        bands = np.stack(rows["bands"].to_numpy()) if rows["bucketed"].iloc[0] else None
         found = []
         for i in range(len(rows) - 1):
             rest = slice(i + 1, None)
@@ -215,6 +236,9 @@ def _links_across(members: DataFrame, percent: int) -> DataFrame:
                 near &= tile[rest] != tile[i]
             near &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
             j = np.flatnonzero(near) + i + 1
+            if bands is not None:
+                earlier = bands[i, : np.argmax(bands[i] == rows["group"].iloc[0])]
+                j = j[~(bands[j, : len(earlier)] == earlier).any(axis=1)]
             far = np.bitwise_count((one[j] ^ one[i]).view(np.uint64)).astype(int)
             far += np.bitwise_count((two[j] ^ two[i]).view(np.uint64))
             for k in j[np.argsort(far, kind="stable")][: int((far <= most).sum())]:
@@ -256,8 +280,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Returns ``doc_id, n_shingles, component_id, kept`` per row. Texts with equal sets are one class,
     joined later by its least doc_id, so thousands of copies cost one row. Bands put classes into
     buckets; each class is first compared with the least of its bucket, one row per member. Classes of
-    buckets that still hold several components form clusters, and these are compared completely, tile
-    by tile: every candidate that banding gives is decided on full sets, but no list of pairs is made.
+    buckets that still hold several components form clusters, and these are compared completely, as a whole
+    or bucket by bucket, tile by tile: every candidate that banding gives is decided on full sets, but no list of
+    pairs is made.
 
     Null or wordless texts have an empty set and are linked with nothing. Rows without a doc_id are
     linked with nothing either: component_id null and kept true. Rows that share a doc_id are one node.
@@ -303,13 +328,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     opened = stage(member.join(open_keys.select("key", "least"), "key"), "open", narrow=True)
     meeting = opened.filter("component <> least").select(F.col("least").alias("a"), F.col("component").alias("b"))
     clusters = components(meeting.distinct()).select(F.col("component").alias("cluster"), F.col("node").alias("component"))
-    members = (
-        opened.select("rep", "component")
-        .distinct()
-        .join(clusters, "component")
-        .join(facts, "rep")
-        .join(sets.withColumnRenamed("id", "rep"), "rep")
-    )
+    placed = opened.select("key", "rep", "component").join(clusters, "component").join(facts.select("rep", "n"), "rep")
+    groups = _compared_groups(stage(placed, "members", narrow=True))
+    details = classes.select("rep", "n", "bits_a", "bits_b", "bands").join(sets.withColumnRenamed("id", "rep"), "rep")
+    members = groups.join(details, "rep").withColumn("bands", F.when(F.col("bucketed"), F.col("bands")))
     later = stage(_links_across(members, percent), "links", narrow=True)
     if not later.isEmpty():
         labels = components(links.unionAll(later))

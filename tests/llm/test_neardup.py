@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from brute import near_components, shingles
+from clickledger.llm import neardup
 from clickledger.llm.neardup import near_duplicates, shingle_sets, signatures
 from small import SMALL, make_docs  # noqa: F401
 
@@ -45,6 +46,22 @@ def test_chains_groups_and_borderline_pairs(make_docs):
     assert got == near_components(texts, 4, 80)
 
 
+def test_chained_boilerplate_is_compared_by_bucket(make_docs, monkeypatch):
+    """Windows of one long text: neighbours share bands, the ends of the cluster nothing."""
+    rnd, seen = random.Random(8), []
+    texts = {i: " ".join(f"w{k}" for k in range(at, at + 60)) for i, at in enumerate(rnd.sample(range(6000), 900))}
+    across = neardup._links_across
+
+    def spy(members, percent):
+        seen.extend(r.bucketed for r in members.select("bucketed", "group").distinct().collect())
+        return across(members, percent)
+
+    monkeypatch.setattr(neardup, "_links_across", spy)
+    monkeypatch.setattr(neardup, "TILE_ROWS", 4)
+    assert result(near_duplicates(make_docs(texts.items()), 4)) == near_components(texts, 4, 80)
+    assert True in seen
+
+
 def test_edge_cases(make_docs, spark):
     docs = make_docs([(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one TWO"), (6, "É"), (7, "é"), (None, "one two")])
     docs = docs.selectExpr("*", "'x' AS component_id", "1 AS kept", "text AS key")
