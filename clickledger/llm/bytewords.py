@@ -127,13 +127,17 @@ def leading(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 
 def coded_ranges(data: np.ndarray, text_ends: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> Words:
-    """Equal byte ranges get equal codes; the second hash guards the first."""
+    """Equal byte ranges get equal codes; where different ones share the first hash, the second tells them apart."""
     one, two = hashed(data, starts, ends)
     codes, hashes = pd.factorize(one)
     first = np.empty(len(hashes), np.int64)
     first[codes[::-1]] = np.arange(len(codes))[::-1]
     if not (two[first][codes] == two).all():
-        raise ValueError("two different words have one hash")
+        other = pd.factorize(two)[0].astype(np.int64)
+        codes, pairs = pd.factorize(codes.astype(np.int64) * (other.max() + 1) + other)
+        first = np.empty(len(pairs), np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        hashes = one[first]
     return Words(data, text_ends, starts, ends, bounds, codes, hashes, first)
 
 
