@@ -54,25 +54,28 @@ class WordEncoder:
         for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(group) and len(ids) == ends[-1]:
-                blob, at = ids.tobytes(), [0, *(4 * ends).tolist()]
-                found.update((w, blob[a:b]) for w, a, b in zip(group, at, at[1:]))
+                blob, at = ids.tobytes(), (4 * ends).tolist()
+                found.update(zip(group, map(blob.__getitem__, map(slice, [0, *at], at))))
             else:
                 found.update((w, i.tobytes()) for w, i in zip(group, self._ids(group)))
 
     def _learn(self, chunks: list[bytes]) -> None:
+        whole: dict[str, bytes] = {}  # chunks that are one word of a to z
         parsed: dict[bytes, list[str]] = {}
-        for chunk in chunks:
-            text = chunk.decode()
-            if not _PLAIN.fullmatch(text):
+        for chunk, text in zip(chunks, b"\n".join(chunks).decode().split("\n")):
+            if text.isascii() and text.isalpha():
+                whole[text] = chunk
+            elif text.isalpha() or not _PLAIN.fullmatch(text):
                 parsed[chunk] = [text]
             else:
-                parsed[chunk] = [text] if text.isalpha() else self.pattern.findall(text.lower())
+                parsed[chunk] = self.pattern.findall(text.lower())
         found: dict[str, bytes] = {}
-        words = {w for part in parsed.values() for w in part}
+        words = {w for part in parsed.values() for w in part}.difference(whole)
         plain = sorted(filter(_PLAIN.fullmatch, words))
         other = sorted(words.difference(plain))
-        self._encode_words(plain, found)
+        self._encode_words([*whole, *plain], found)
         found.update((w, i.tobytes()) for w, i in zip(other, self._ids(other)))
+        self.known.update(zip(whole.values(), map(found.__getitem__, whole)))
         self.known.update((c, b"".join([found[w] for w in part])) for c, part in parsed.items())
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
