@@ -14,8 +14,11 @@ from clickledger.llm.common import stage
 
 #: Vectors, those with the least id hash, whose mean is the centre that codes are taken around.
 SAMPLE = 10_000
-#: Queries of one pass over the index: the bound of what goes with the tasks.
-QUERY_BLOCK = 4096
+#: A block of queries holds at most so many, a slice of the index so many vectors, and each so many bytes of
+#: vectors (or one longer vector): what a task holds of either side at once.
+QUERY_BLOCK, INDEX_SLICE, BLOCK_BYTES = 4096, 8192, 4 << 20
+#: Blocks of queries that a task keeps the nearest of while it goes through its part of the index.
+BLOCKS_A_TASK = 16
 #: Queries compared at once inside a task.
 _TOGETHER = 256
 #: Deviations of the estimate that the error bound allows for.
@@ -79,18 +82,36 @@ def centres(vectors: DataFrame, sample: int = SAMPLE) -> dict[int, np.ndarray]:
     return {size: np.mean(np.array(v), axis=0) for size, v in by_size.items()}
 
 
+_SLICE = ["size", "ids", "vectors", "codes", "norms", "corrections"]
+
+
 def build_index(vectors: DataFrame, middle: dict[int, np.ndarray]) -> DataFrame:
-    """Every usable vector with its code, norm and correction."""
+    """Every usable vector with its code, norm and correction, in slices: a row has packed arrays of one size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for size, part in _by_size(batch):
-                codes, norm, correction = encode(_matrix(part.column("embedding"), size), middle.get(size, np.zeros(size)))
-                columns = [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(correction)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], ["vec_id", "embedding", "code", "norm", "correction"])
+                step = max(1, min(INDEX_SLICE, BLOCK_BYTES // (8 * size)))
+                for low in range(0, part.num_rows, step):
+                    rows = part.slice(low, step)
+                    ids, vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("embedding"), size)
+                    arrays = [ids, vectors, *encode(vectors, middle.get(size, np.zeros(size)))]
+                    packed = [pa.array([x.tobytes()], pa.binary()) for x in arrays]
+                    yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), *packed], _SLICE)
 
-    ddl = "vec_id long, embedding array<double>, code binary, norm double, correction double"
-    return usable(vectors).mapInArrow(run, ddl)
+    return usable(vectors).mapInArrow(run, "size int, " + ", ".join(f"{c} binary" for c in _SLICE[1:]))
+
+
+def query_blocks(queries: DataFrame) -> DataFrame:
+    """``block, asked_size, asked``: queries of one size in lists of bounded length."""
+    size = F.size("embedding")
+    buckets = max(1, -(-queries.count() // QUERY_BLOCK))
+    named = queries.select("vec_id", "embedding", size.alias("asked_size"), F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).alias("bucket"))
+    order = F.row_number().over(Window.partitionBy("asked_size", "bucket").orderBy("vec_id")) - 1
+    most = F.greatest(F.lit(1), F.least(F.lit(QUERY_BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("asked_size")))))
+    named = named.withColumn("part", F.floor(order / most))
+    blocks = named.groupBy("asked_size", "bucket", "part").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("asked"))
+    return blocks.select(F.concat_ws("-", "asked_size", "bucket", "part").alias("block"), "asked_size", "asked")
 
 
 def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -106,12 +127,9 @@ class Nearest:
         self.ids, self.vectors, self.k = ids, vectors, k
         self.found = [(np.empty(0), np.empty(0, np.int64))] * len(ids)
 
-    def offer(self, index: pa.RecordBatch, centre: np.ndarray, epsilon: float) -> None:
-        size = self.vectors.shape[1]
-        ids = index.column("vec_id").to_numpy()
-        vectors = _matrix(index.column("embedding"), size)
-        codes = np.frombuffer(b"".join(index.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)
-        norm, correction = index.column("norm").to_numpy(), index.column("correction").to_numpy()
+    def offer(
+        self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, norm: np.ndarray, correction: np.ndarray, centre: np.ndarray, epsilon: float
+    ) -> None:
         for low in range(0, len(self.ids), _TOGETHER):
             block = slice(low, low + _TOGETHER)
             estimate, least = bounds(codes, norm, correction, self.vectors[block], centre, epsilon)
@@ -142,44 +160,39 @@ class Nearest:
 def search(index: DataFrame, queries: DataFrame, middle: dict[int, np.ndarray], k: int = 10, epsilon: float = EPSILON) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k nearest in the index but itself, nearest first.
 
-    Queries go through the index in blocks of QUERY_BLOCK, which bounds what a pass sends to the tasks;
-    the work is queries times vectors, mostly on one-bit codes. A vector is reranked by its exact
-    Euclidean distance, in double precision, where the lower bound of its estimate does not exceed the
-    k-th distance so far. Only vectors of a query's own size are its candidates; with fewer than k all
-    are returned. Ids are unique; rows that share one count once, with the smaller distance.
+    ``index`` is that of ``build_index``, written to a table. All blocks of queries meet all slices of the
+    index in one job, whose tasks are parts of the index times groups of BLOCKS_A_TASK blocks; nothing is
+    shuffled but the queries and each task's k nearest of a query. The work is queries times vectors, mostly
+    on one-bit codes. A vector is reranked by its exact Euclidean distance, in double precision, where the
+    lower bound of its estimate does not exceed the k-th distance so far. Only vectors of a query's own size
+    are its candidates; with fewer than k all are returned. Ids are unique; rows that share one count once,
+    with the smaller distance.
     """
-    spark, passes = index.sparkSession, []
-    order = F.row_number().over(Window.partitionBy("bucket").orderBy("vec_id")) - 1
-    buckets = max(1, -(-queries.count() // QUERY_BLOCK))
-    named = queries.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).alias("bucket"))
-    named = stage(named.withColumn("block", F.floor(order / QUERY_BLOCK)), "queries")
-    for number, part in [(r["bucket"], r["block"]) for r in named.select("bucket", "block").distinct().orderBy("bucket", "block").collect()]:
-        rows = named.filter((F.col("bucket") == number) & (F.col("block") == part)).select("vec_id", "embedding").toArrow().combine_chunks()
-        asked = {
-            size: (p.column("vec_id").to_numpy(), _matrix(p.column("embedding"), size))
-            for batch in rows.to_batches()
-            for size, p in _by_size(batch)
-        }
-        shipped = spark.sparkContext.broadcast(asked)  # at most QUERY_BLOCK vectors
-        passes.append(stage(index.mapInArrow(_pass(shipped, middle, k, epsilon), "query_id long, vec_id long, score double"), "near"))
-    if not passes:
-        empty = spark.createDataFrame([], "query_id long, vec_id long, score double")
-        passes = [empty]
-    near = passes[0]
-    for more in passes[1:]:
-        near = near.unionAll(more)
+    blocks = stage(query_blocks(queries), "queries")
+    blocks = blocks.repartition(max(1, -(-blocks.count() // BLOCKS_A_TASK)))
+    # The blocks are held by a task, the slices stream past them; other join forms would sort by size.
+    pairs = index.join(blocks.hint("shuffle_replicate_nl"), F.col("size") == F.col("asked_size"))
+    near = pairs.select(*_SLICE, "block", "asked").mapInArrow(_nearest_of(middle, k, epsilon), "query_id long, vec_id long, score double")
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
 
 
-def _pass(shipped, middle: dict[int, np.ndarray], k: int, epsilon: float):
+def _nearest_of(middle: dict[int, np.ndarray], k: int, epsilon: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nearest = {size: Nearest(ids, vectors, k) for size, (ids, vectors) in shipped.value.items()}
+        nearest: dict[str, Nearest] = {}
         for batch in batches:
-            for size, part in _by_size(batch):
-                if size in nearest:
-                    nearest[size].offer(part, middle.get(size, np.zeros(size)), epsilon)
+            for row in range(batch.num_rows):
+                size, block = batch.column("size")[row].as_py(), batch.column("block")[row].as_py()
+                if block not in nearest:
+                    asked = batch.column("asked")[row].values
+                    nearest[block] = Nearest(asked.field("vec_id").to_numpy(), _matrix(asked.field("embedding"), size), k)
+                ids, vectors, codes, norm, correction = (
+                    np.frombuffer(batch.column(c)[row].as_buffer(), kind)
+                    for c, kind in zip(_SLICE[1:], (np.int64, np.float64, np.uint8, np.float64, np.float64))
+                )
+                n, centre = len(ids), middle.get(size, np.zeros(size))
+                nearest[block].offer(ids, vectors.reshape(n, size), codes.reshape(n, -1), norm, correction, centre, epsilon)
         for some in nearest.values():
             count = [len(names) for _, names in some.found]
             if sum(count):
@@ -198,4 +211,4 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, k: int = 10) -> Dat
     taking_part = usable(vectors)
     middle = centres(taking_part)
     index = stage(build_index(vectors, middle), "index")
-    return search(index, index.filter(F.col("vec_id") % every == 0).select("vec_id", "embedding"), middle, k)
+    return search(index, taking_part.filter(F.col("vec_id") % every == 0), middle, k)
