@@ -21,7 +21,7 @@ TEXTS = ["a b c a b c d", "x\nx\n \n\nx ", "", "é É\té\n\x0b", "a a a a", "on
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     result = QUERIES[name](spark, SMALL)
     assert sorted(result.columns) == compare.column_names(connection, ORACLE[name])
