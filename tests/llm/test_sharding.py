@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import zlib
+from itertools import product
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickledger.llm.queries import op6_label_propagation
@@ -74,3 +77,38 @@ def test_small_groups_meet_beside_a_very_large_one(make_docs):
     sizes, groups = check(shard_documents(make_docs(texts.items()), 16).collect(), texts, 16)
     assert max(sizes.values()) - min(sizes.values()) < 30
     assert sum(len(g) > 1 for g in groups.values()) <= 16  # the large one, and those at cuts
+
+
+def split_groups(texts, shard_of):
+    where = {}
+    for i, text in texts.items():
+        where.setdefault(text, set()).add(shard_of[i])
+    return sum(len(s) - 1 for s in where.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_few_more_splits_than_the_best_of_all_even_placements(make_docs, seed):
+    """Every placement of 12 documents in 2 shards is tried; a cut of the line may split one group more."""
+    draw = random.Random(seed)
+    texts = {i: draw.choice("abcde") * 9 for i in range(12)}
+    even = (p for p in product(range(2), repeat=12) if abs(12 - 2 * sum(p)) <= 1)
+    best = min(split_groups(texts, dict(enumerate(p))) for p in even)
+    rows = shard_documents(make_docs(texts.items()), 2).collect()
+    sizes, _ = check(rows, texts, 2)
+    assert abs(sizes[0] - sizes[1]) <= 20
+    assert split_groups(texts, {r.doc_id: r.shard for r in rows}) <= best + 1
+
+
+def test_cuts_far_fewer_links_than_a_hash_of_the_document(make_docs):
+    draw = random.Random(7)
+    texts = {i: f"text {draw.randrange(800):04d}" for i in range(4000)}
+    shard_of = {r.doc_id: r.shard for r in shard_documents(make_docs(texts.items()), 16).collect()}
+
+    def cut_pairs(place):
+        groups = {}
+        for i, text in texts.items():
+            groups.setdefault(text, []).append(place[i])
+        return sum(a != b for g in groups.values() for k, a in enumerate(g) for b in g[:k])
+
+    by_hash = {i: zlib.crc32(str(i).encode()) % 16 for i in texts}
+    assert cut_pairs(shard_of) <= 0.02 * cut_pairs(by_hash)
