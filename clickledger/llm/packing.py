@@ -22,6 +22,8 @@ SLOTS = 16
 LEAST_PIECE = 32
 #: Leftovers of so many partitions meet in one task, round after round.
 FAN_IN = 32
+#: Texts are encoded in slices of so many bytes, whose words and ids a worker holds at once.
+TEXT_BYTES = 1 << 20
 
 _PIECE = [
     ("doc_id", pa.int64()),
@@ -128,7 +130,7 @@ def pack(
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId(), capacity, slots, least)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             ids = encoder(tokenizer, end_id).encode(part.column("text"))
             for doc_id, tokens in zip(part.column("doc_id").to_pylist(), ids):
                 packer.place(doc_id, 0, tokens, len(tokens))
