@@ -23,6 +23,9 @@ TRAINING_DOCS, RUNS, RUN_WORDS = 500, 6, 24
 LANGUAGES, ALL_TRAINING_DOCS = 64, 16_000
 #: Commonest training words of a language that make its lexicon.
 LEXICON = 300
+#: Texts are worked on in slices of so many bytes, whose messages a worker holds at once. Each slice scores
+#: its distinct words anew, so smaller ones cost time.
+TEXT_BYTES = 2 << 20
 UNDETERMINED = "und"
 
 _AFFIX, _GRAM, _WORD = 1, 2, 3
@@ -115,7 +118,7 @@ class Model:
     step: np.ndarray
     first: np.ndarray
 
-    def potentials(self, words: list[str], most: int = 40_000) -> np.ndarray:
+    def potentials(self, words: list[str], most: int = 10_000) -> np.ndarray:
         """exp of each word's score by language, its largest scaled to one."""
         parts = [np.empty((0, len(self.languages)))]
         for k in range(0, len(words), most):
@@ -157,7 +160,8 @@ def passes(potential: np.ndarray, sizes: np.ndarray, step: np.ndarray, first: np
 def posteriors(forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
     """Each word's label probabilities."""
     both = forward * backward
-    return both / both.sum(axis=1, keepdims=True)
+    both /= both.sum(axis=1, keepdims=True)
+    return both
 
 
 def fit(runs: list[tuple[str, list[str]]], epochs: int = 4, batch: int = 128, rate: float = 0.3, decay: float = 1e-4) -> Model | None:
@@ -243,7 +247,7 @@ def train(docs: DataFrame, docs_per_language: int = TRAINING_DOCS) -> Model | No
     chosen = copies.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("copy")).select("doc_id", "copy.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             words = byte_words(lowered(part.column("text")))
             plain = [letters(w) for w in words.distinct()]
             out = []
@@ -275,7 +279,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             yield _identified(part, model)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -324,7 +328,7 @@ def keep_identified(docs: DataFrame, model: Model | None, least: float) -> DataF
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             found = _identified(pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text")], ["doc_id", "text"]), model)
             told = pa.compute.not_equal(found.column("lang_pred"), UNDETERMINED)
             yield part.filter(pa.compute.and_(told, pa.compute.greater_equal(found.column("score"), least)))

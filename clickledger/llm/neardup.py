@@ -17,6 +17,8 @@ from clickledger.llm.components import components
 
 SLOTS = 128
 BANDS = 32
+#: Texts are worked on in slices of so many bytes, whose shingles and draws a worker holds at once.
+TEXT_BYTES = 2 << 20
 #: A large cluster is compared tile by tile, each tile about so many shingles and rows at most.
 TILE_ITEMS, TILE_ROWS = 1 << 20, 1024
 #: One-bit signatures of documents at the threshold differ in fewer slots, but for six deviations.
@@ -120,7 +122,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     """Per document: size and digest of its whole shingle set, band keys and one-bit signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             sets = shingle_sets(part.column("text"), width)
             signature = signatures(sets)
             keys, bits = band_keys(signature, BANDS), one_bit(signature)
@@ -151,7 +153,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """Whole shingle sets of the documents in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             sets = shingle_sets(part.column("text"), width)
             bounds = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([len(s) for s in sets], out=bounds[1:])

@@ -19,6 +19,8 @@ BUCKETS, META_BUCKETS, BINS, RANK = 1 << 13, 256, 12, 8
 #: Most labelled rows that the model is fitted on, taken by a hash of the id. Their features (at most
 #: BUCKETS a row) are all that the driver ever holds.
 TRAINING_ROWS = 8000
+#: Texts are worked on in slices of so many bytes, whose words and features a worker holds at once.
+TEXT_BYTES = 1 << 20
 
 _SIGNS = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "symbol": b"#*$%&|<>", "bang": b"!", "stop": b".,;:?", "high": bytes(range(128, 256))}
 STATISTICS = 13
@@ -63,8 +65,7 @@ def features(texts: pa.Array, metadata: Sequence[pa.Array] = ()) -> Rows:
     for name, chars in _SIGNS.items():
         table = np.zeros(256, bool)
         table[list(chars)] = True
-        total = np.concatenate([[0], np.cumsum(table[data])])
-        signs[name] = np.diff(total[ends], prepend=0)
+        signs[name] = np.diff(np.searchsorted(np.flatnonzero(table[data]), ends), prepend=0)
     same = np.zeros(len(owner), bool)
     same[1:] = (words.codes[1:] == words.codes[:-1]) & (owner[1:] == owner[:-1])
     lines, repeated = _lines(words, owner, docs)
@@ -212,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, metadata: Sequence[str | Column] =
     beside = len(metadata)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             found = _found(part, beside)
             bounds = pa.array(found.bounds, pa.int32())
             wide = pa.array(np.arange(0, found.statistics.size + 1, STATISTICS), pa.int32())
@@ -255,7 +256,7 @@ def score(docs: DataFrame, model: Model | None, metadata: Sequence[str | Column]
     beside = len(metadata)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             scores = pa.array(model.scores(_found(part, beside)), pa.float64())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), scores], ["doc_id", "score"])
 
@@ -272,7 +273,7 @@ def keep_good(docs: DataFrame, model: Model | None, least: float, metadata: Sequ
     width, mark = len(docs.columns), "_" * (1 + max(map(len, docs.columns)))  # no column's name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             beside = [part.column(i) for i in range(width, part.num_columns)]
             good = pa.array(model.scores(features(part.column("text"), beside)) >= least)
             yield part.select(range(width)).filter(good)

@@ -1,13 +1,18 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brute import near_components
+from clickledger.llm import langid, neardup, quality
 from clickledger.llm.words_bpe import WordEncoder
+from small import make_docs  # noqa: F401
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -56,3 +61,42 @@ def test_stages_stand_empty_and_null_documents(spark, steps):
     for name, step in corpus_pipeline.STAGES:
         assert step(spark, docs.limit(0), MEDIUM).collect() == []
         assert step(spark, docs, MEDIUM).count() <= 2, name
+
+
+def _model_of_quality() -> quality.Model:
+    width = quality.BUCKETS + quality.META_BUCKETS + quality.STATISTICS * quality.BINS
+    edges = np.tile(np.arange(quality.BINS - 1.0), (quality.STATISTICS, 1))
+    return quality.Model(edges, 0.0, np.zeros(width, "f4"), np.zeros((width, quality.RANK), "f4"))
+
+
+def _model_of_language() -> langid.Model:
+    return langid.Model(list("abcdefgh"), {}, np.zeros((langid.BUCKETS + 8, 8), "f4"), np.ones((8, 8)), np.ones(8))
+
+
+@pytest.mark.parametrize(
+    "step, most",
+    [
+        (lambda docs: quality.keep_good(docs, _model_of_quality(), 0.0), 45),
+        (lambda docs: quality.score(docs, _model_of_quality()), 45),
+        (lambda docs: langid.keep_identified(docs, _model_of_language(), 0.0), 150),
+        (lambda docs: neardup.sketches(docs, 5), 75),
+    ],
+)
+def test_workers_hold_little_beside_a_batch(make_docs, monkeypatch, step, most):
+    """Two workers share an executor with its heap, and a batch may hold many megabytes of text."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"{a}{b}" for a in "bcdfgh" for b in ("ab", "ecod", "ifogu", "o")] + ["Ab,", "1", "é"])
+    texts = [" ".join(rng.choice(words, 500)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    assert batch.nbytes > 5 << 20
+    docs, seen = make_docs([(1, "a")]), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: seen.append(run) or self)
+    step(docs)
+    (run,) = seen
+    tracemalloc.start()
+    try:
+        rows = sum(part.num_rows for part in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] / (1 << 20)
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < most
